@@ -8,9 +8,11 @@ they can change.  All other steps are JVM expressions.
 from __future__ import annotations
 
 import html
+import sys
 import unicodedata
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,12 +42,10 @@ def _decode(text: str | None) -> str | None:
     return None if text is None else html.unescape(unicodedata.normalize("NFKC", text))
 
 
-@F.arrow_udf(T.StringType())
 def _decode_column(texts: pa.Array) -> pa.Array:
     return pa.array([_decode(t) for t in texts.to_pylist()], pa.string())
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
 def _decode_lists(lists: pa.Array) -> pa.Array:
     return pa.array(
         [None if ts is None else [_decode(t) for t in ts] for ts in lists.to_pylist()],
@@ -53,6 +53,17 @@ def _decode_lists(lists: pa.Array) -> pa.Array:
     )
 
 
+# Executors get these two small functions by value; they need no package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+decode = F.arrow_udf(_decode_column, T.StringType())
+# Declared nondeterministic only so that Catalyst keeps the parse steps apart:
+# a filter on parsed columns would otherwise be pushed below them, repeating
+# every step inside the filter.
+decode_fenced = F.arrow_udf(_decode_column, T.StringType()).asNondeterministic()
+decode_lists = F.arrow_udf(_decode_lists, T.ArrayType(T.StringType())).asNondeterministic()
+
+
 def _fold(text: Column) -> Column:
     folded = F.translate(text, FOLD_FROM, FOLD_TO)
     for char, spelled in FOLD_LONG.items():
@@ -64,15 +75,16 @@ def _fold(text: Column) -> Column:
     return F.regexp_replace(folded, OUTER_SPACE, "")
 
 
-def normalize_text(text: Column) -> Column:
+def normalize_text(text: Column, fenced: bool = False) -> Column:
     """Canonical form of a text column; null and empty give ``''``."""
     raw = F.coalesce(text, F.lit(""))
-    decoded = _decode_column(F.when(raw.rlike(NEEDS_DECODING), raw))
+    step = decode_fenced if fenced else decode
+    decoded = step(F.when(raw.rlike(NEEDS_DECODING), raw))
     return _fold(F.coalesce(decoded, raw))
 
 
 def normalize_texts(texts: Column) -> Column:
     """``normalize_text`` over an array column; a null array stays null."""
     needed = F.exists(texts, lambda t: t.rlike(NEEDS_DECODING))
-    decoded = F.coalesce(_decode_lists(F.when(needed, texts)), texts)
+    decoded = F.coalesce(decode_lists(F.when(needed, texts)), texts)
     return F.transform(decoded, lambda t: _fold(F.coalesce(t, F.lit(""))))

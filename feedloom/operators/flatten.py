@@ -135,14 +135,16 @@ def flatten_timeline(payloads: DataFrame) -> DataFrame:
     candidate; null when it could not be read) and ``parent`` (handle and text
     of the post it replies to, when that post sits in the same module).
 
-    The ``_outer`` explodes keep Catalyst from repeating the exploded expression
-    in an inferred size filter.  No shuffle: a page is taken apart in the task that holds it.  Parents are
+    Empty pages and entries leave through filters on the exploded positions:
+    filtering (or inner-exploding) before would make Catalyst repeat the parsing
+    expressions inside the filter.  No shuffle: a page is taken apart in the task that holds it.  Parents are
     looked up inside the module before it is exploded, so a module's context is
     never copied to its rows.
     """
     keys = [c for c in payloads.columns if c not in RAW_COLUMNS + STATUS_COLUMNS]
-    instructions = payloads.where(F.col("status") == "ok").select(
-        *keys, F.posexplode_outer(instructions_of(F.col("v"))).alias("instr_pos", "_instr")
+    readable = F.when(F.col("status") == "ok", F.col("v"))
+    instructions = payloads.select(*keys, readable.alias("_v")).select(
+        *keys, F.posexplode_outer(instructions_of(F.col("_v"))).alias("instr_pos", "_instr")
     )
     entries = (
         instructions.where(F.col("instr_pos").isNotNull())
@@ -161,16 +163,12 @@ def flatten_timeline(payloads: DataFrame) -> DataFrame:
         .when(F.col("_read.entryType") == SINGLE, F.array(content))
         .when(F.col("_read.entryType") == MODULE, _module_contents(F.col("_read")))
     )
-    entries = (
-        entries.withColumn("_read", read)
-        .select(
-            *keys,
-            "instr_pos",
-            "entry_pos",
-            contents.alias("_contents"),
-            (F.col("_read.entryType") == MODULE).alias("_module"),
-        )
-        .where(F.size("_contents") > 0)
+    entries = entries.withColumn("_read", read).select(
+        *keys,
+        "instr_pos",
+        "entry_pos",
+        contents.alias("_contents"),
+        (F.col("_read.entryType") == MODULE).alias("_module"),
     )
     # A thread: some item replies to another item of the module.
     facts = F.when(
@@ -213,9 +211,10 @@ def flatten_timeline(payloads: DataFrame) -> DataFrame:
         ),
     )
     item = F.col("_item")
-    return entries.select(
+    items = entries.select(
         *keys, "instr_pos", "entry_pos", F.posexplode_outer("_items").alias("item_pos", "_item")
-    ).select(
+    )
+    return items.where(F.col("item_pos").isNotNull()).select(
         *keys,
         *POSITION,
         item["content"].alias("content"),

@@ -82,7 +82,7 @@ def close_runs(
     )
     chains = kept.groupBy(*FEED).agg(
         F.min_by(F.when(bad, error), F.when(bad, F.col("chain_no"))).alias("_error"),
-        F.max_by("next_cursor", F.when(F.col("next_cursor").isNotNull(), F.col("chain_no"))).alias(
+        F.max_by("next_cursor", F.when(F.col("next_cursor") != "", F.col("chain_no"))).alias(
             "_cursor"
         ),
     )

@@ -115,7 +115,7 @@ def parse_tweets(candidates: DataFrame, ingest_ts: datetime | str | Column) -> D
         "author_handle": F.col("_author.handle"),
         "author_name": F.col("_author.name"),
         "created_at": wire_date(actual["legacy"]["created_at"], stamp),
-        "text": normalize_text(F.when(kept, F.col("_text"))),
+        "text": normalize_text(F.when(kept, F.col("_text")), fenced=True),
         "reply_to_tweet_id": reply_id,
         "reply_to_author_handle": F.coalesce(
             blank_to_null(F.col("_reply_handle")),
@@ -124,7 +124,7 @@ def parse_tweets(candidates: DataFrame, ingest_ts: datetime | str | Column) -> D
         "reply_to_text": F.when(reply_id.isNotNull(), F.col("parent.text")),
         "quoted_tweet_id": F.nullif(safe_int(F.col("_quote.rest_id")), F.lit(0)),
         "quoted_author_handle": blank_to_null(F.col("_quoted.handle")),
-        "quoted_text": blank_to_null(normalize_text(F.when(kept, F.col("_quoted_text")))),
+        "quoted_text": blank_to_null(normalize_text(F.when(kept, F.col("_quoted_text")), fenced=True)),
         "urls": links,
         "media_urls": media,
         "source_operation": F.coalesce(operation, F.lit("")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +29,17 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """A fresh folder below the checkpoint folder that all executors reach.
+
+    Only where no such folder is configured (tests) a local one is used.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        return tempfile.mkdtemp(prefix="feedloom-")
+    return f"{base.rstrip('/')}/feedloom-{uuid.uuid4().hex}"
+
+
 def parse_pages(pages: DataFrame, ingest_ts: datetime | str) -> DataFrame:
     """Captured pages to parsed candidates in one shuffle-free stage."""
     return parse_tweets(flatten_timeline(ingest_payloads(pages)), ingest_ts)
