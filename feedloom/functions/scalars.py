@@ -11,14 +11,19 @@ WEEKDAY_PREFIX = r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)\s+(\S.*)$"
 WIRE_DATE_FORMAT = "MMM d HH:mm:ss Z yyyy"
 
 
+# What can be a number at all.  Testing first keeps casts from failing, as a
+# failed cast costs far more than a match.
+INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+
+
 def safe_int(text: Column, default: int | None = 0) -> Column:
     """Commas dropped, decimals truncated toward zero, anything else ``default``."""
     clean = F.replace(text, F.lit(","), F.lit(""))
-    return F.coalesce(
-        clean.try_cast("bigint"),
-        clean.try_cast("decimal(38,18)").try_cast("bigint"),
-        F.lit(default).cast("bigint"),
+    number = F.when(clean.rlike(INTEGER), clean.try_cast("bigint")).when(
+        clean.rlike(NUMBER), clean.try_cast("decimal(38,18)").try_cast("bigint")
     )
+    return F.coalesce(number, F.lit(default).cast("bigint"))
 
 
 def is_infinite(text: Column) -> Column:
@@ -29,7 +34,9 @@ def is_infinite(text: Column) -> Column:
 
 def strict_int(text: Column, default: int | None = 0) -> Column:
     """A plain integer or ``default``."""
-    return F.coalesce(text.try_cast("bigint"), F.lit(default).cast("bigint"))
+    return F.coalesce(
+        F.when(text.rlike(INTEGER), text.try_cast("bigint")), F.lit(default).cast("bigint")
+    )
 
 
 def wire_date(text: Column, fallback: Column) -> Column:

@@ -22,24 +22,27 @@ FOLD_FROM = "‘’“”–\u00a0«»"
 FOLD_TO = "''\"\"- \"\""
 FOLD_LONG = {"—": "--", "…": "..."}
 # Invisible characters that are removed.
-ZERO_WIDTH = (
-    r"[\u00ad\u180e\u200b\u200c\u200d\u200e\u200f"
-    r"\u2060\u2061\u2062\u2063\u2064\ufeff]"
+ZERO_WIDTH = "\u00ad\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff"
+# The characters Unicode text treats as blank.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
-# Fixed value: one short link at the very end of the text.
-_WS = r"[\s\x1c-\x1f]"
+# Fixed value: one short link at the very end of the text.  The look-behind
+# keeps long runs of blanks linear and changes no match.
+LINK_HOST = "://t.co/"
 TRAILING_LINK = (
-    rf"(?U)(?<!{_WS}){_WS}*+https?://t\.co/[\p{{L}}\p{{N}}_]++{_WS}*+\z"
+    rf"(?<![{BLANKS}])[{BLANKS}]*+https?://t\.co/[\p{{L}}\p{{N}}_]++[{BLANKS}]*+\z"
 )
-# The look-behinds keep long runs of blanks linear; they change no match.
-OUTER_SPACE = rf"(?U)\A{_WS}++|(?<!{_WS}){_WS}++\z"
-
-# A text of plain ASCII without '&' is a fixed point of both Python steps.
-NEEDS_DECODING = r"[^\x00-\x7F]|&"
 
 
 def _decode(text: str | None) -> str | None:
-    return None if text is None else html.unescape(unicodedata.normalize("NFKC", text))
+    if text is None:
+        return None
+    if not unicodedata.is_normalized("NFKC", text):
+        text = unicodedata.normalize("NFKC", text)
+    return html.unescape(text)
 
 
 def _decode_column(texts: pa.Array) -> pa.Array:
@@ -64,27 +67,75 @@ decode_fenced = F.arrow_udf(_decode_column, T.StringType()).asNondeterministic()
 decode_lists = F.arrow_udf(_decode_lists, T.ArrayType(T.StringType())).asNondeterministic()
 
 
-def _fold(text: Column) -> Column:
-    folded = F.translate(text, FOLD_FROM, FOLD_TO)
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
+def _needs_decoding(text: Column) -> Column:
+    """A text of plain ASCII without ``&`` is a fixed point of both Python steps."""
+    return ~_is_ascii(text) | F.contains(text, F.lit("&"))
+
+
+def _fold_characters(text: Column) -> Column:
+    # ``translate`` drops the characters that have no counterpart.
+    folded = F.translate(text, FOLD_FROM + ZERO_WIDTH, FOLD_TO)
     for char, spelled in FOLD_LONG.items():
         folded = F.replace(folded, F.lit(char), F.lit(spelled))
-    folded = F.regexp_replace(folded, ZERO_WIDTH, "")
-    folded = F.regexp_replace(folded, TRAILING_LINK, "")
-    folded = F.regexp_replace(folded, r"[ \t]+", " ")
-    folded = F.regexp_replace(folded, r"\n{3,}", "\n\n")
-    return F.regexp_replace(folded, OUTER_SPACE, "")
+    return folded
+
+
+def _only_if(condition: Column, changed: Column, text: Column) -> Column:
+    return F.when(condition, changed).otherwise(text)
+
+
+def _fold_link(text: Column) -> Column:
+    return _only_if(
+        F.contains(text, F.lit(LINK_HOST)), F.regexp_replace(text, TRAILING_LINK, ""), text
+    )
+
+
+def _fold_blanks(text: Column) -> Column:
+    return _only_if(
+        F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t")),
+        F.regexp_replace(text, r"[ \t]+", " "),
+        text,
+    )
+
+
+def _fold_lines(text: Column) -> Column:
+    return _only_if(
+        F.contains(text, F.lit("\n\n\n")), F.regexp_replace(text, r"\n{3,}", "\n\n"), text
+    )
+
+
+def _fold(texts: Column) -> Column:
+    """The remaining steps over an array; each ``transform`` names one step.
+
+    Every step is guarded by a cheap test that holds whenever it would act, so
+    long texts are not scanned by patterns that cannot match.
+    """
+    steps = (
+        lambda t: _only_if(_is_ascii(t), t, _fold_characters(t)),
+        _fold_link,
+        _fold_blanks,
+        _fold_lines,
+        lambda t: F.trim(t, F.lit(BLANKS)),
+    )
+    for step in steps:
+        texts = F.transform(texts, step)
+    return texts
 
 
 def normalize_text(text: Column, fenced: bool = False) -> Column:
     """Canonical form of a text column; null and empty give ``''``."""
     raw = F.coalesce(text, F.lit(""))
     step = decode_fenced if fenced else decode
-    decoded = step(F.when(raw.rlike(NEEDS_DECODING), raw))
-    return _fold(F.coalesce(decoded, raw))
+    decoded = step(F.when(_needs_decoding(raw), raw))
+    return F.get(_fold(F.array(F.coalesce(decoded, raw))), F.lit(0))
 
 
 def normalize_texts(texts: Column) -> Column:
     """``normalize_text`` over an array column; a null array stays null."""
-    needed = F.exists(texts, lambda t: t.rlike(NEEDS_DECODING))
+    needed = F.exists(texts, _needs_decoding)
     decoded = F.coalesce(decode_lists(F.when(needed, texts)), texts)
-    return F.transform(decoded, lambda t: _fold(F.coalesce(t, F.lit(""))))
+    return _fold(F.transform(decoded, lambda t: F.coalesce(t, F.lit(""))))

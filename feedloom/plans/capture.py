@@ -29,7 +29,8 @@ def template(pattern: str, *parts: Column) -> Column:
 
 def quoted(text: Column) -> Column:
     """JSON text literal of a text column."""
-    return F.regexp_extract(F.to_json(F.struct(text.alias("t"))), r'(?s)^\{"t":(.*)\}$', 1)
+    record = F.to_json(F.struct(text.alias("t")))
+    return F.substring(record, F.lit(len('{"t":') + 1), F.length(record) - len('{"t":}'))
 
 
 def wire_time(moment: Column) -> Column:

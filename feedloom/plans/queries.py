@@ -27,6 +27,7 @@ from feedloom.plans.ingest import parse_pages, shared_dir, stored
 from feedloom.schemas import TWEETS, USERS
 from feedloom.session import configure
 from feedloom.sources.payloads import ingest_payloads
+from feedloom.sources.tables import spread
 from feedloom.streaming.ingest import CAPTURE, read_capture_stream, stream_parse
 
 INGEST_TS = "2024-02-01 00:00:00"
@@ -37,7 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _stamp_text(name: str) -> Column:
