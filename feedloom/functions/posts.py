@@ -32,7 +32,7 @@ NESTED_ITEMS = f"array<struct<item:struct<itemContent:{ITEM}>>>"
 NAMES = "struct<screen_name:variant,name:variant>"
 
 POST = (
-    "struct<__typename:string,tweet:variant,rest_id:string,source:string,"
+    "struct<__typename:string,rest_id:string,source:string,"
     "card:struct<legacy:variant>,"
     "note_tweet:struct<note_tweet_results:struct<result:struct<text:variant>>>,"
     "core:struct<user_results:struct<result:"
@@ -45,7 +45,7 @@ POST = (
 )
 # The part of a post that reply context needs.
 CONTEXT_POST = (
-    "struct<__typename:string,tweet:variant,rest_id:string,"
+    "struct<rest_id:string,"
     "note_tweet:struct<note_tweet_results:struct<result:struct<text:variant>>>,"
     "core:struct<user_results:struct<result:"
     "struct<rest_id:string,core:variant,legacy:variant>>>,"
@@ -79,10 +79,15 @@ def find_result(content: Column) -> Column:
     )
 
 
-def unwrap(post: Column, shape: str) -> Column:
-    """Step inside a visibility wrapper (one level); null if that is no record."""
-    wrapped = (post["__typename"] == VISIBILITY_WRAPPER) & truthy_record(post["tweet"])
-    return F.when(wrapped, take(post["tweet"], shape)).otherwise(post)
+def unwrap(node: Column) -> Column:
+    """The post node inside a visibility wrapper (one level), else the node."""
+    inner = take(node, "variant", "$.tweet")
+    wrapped = (take(node, "string", "$.__typename") == VISIBILITY_WRAPPER) & truthy_record(inner)
+    return F.when(wrapped, inner).otherwise(node)
+
+
+def is_record(node: Column) -> Column:
+    return take(node, "struct<__typename:string>").isNotNull()
 
 
 def chosen_text(post: Column) -> Column:

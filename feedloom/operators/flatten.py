@@ -103,7 +103,7 @@ def _with_author(post: Column) -> Column:
     return F.struct(
         post.alias("post"),
         author(post).alias("author"),
-        take(repost, CONTEXT_POST).alias("repost"),
+        take(unwrap(repost), CONTEXT_POST).alias("repost"),
     )
 
 
@@ -111,7 +111,7 @@ def _context_facts(item: Column) -> Column:
     """What one module item offers as a parent and asks for as a reply."""
     post, who = item["post"], item["author"]
     usable = post["legacy"].isNotNull() & post["core"].isNotNull() & ~who["broken"]
-    reply_to = F.coalesce(unwrap(item["repost"], CONTEXT_POST)["legacy"], post["legacy"])
+    reply_to = F.coalesce(item["repost"]["legacy"], post["legacy"])
     return F.struct(
         F.when(usable, F.nullif(safe_int(post["rest_id"]), F.lit(0))).alias("id"),
         F.nullif(who["handle"], F.lit("")).alias("handle"),
@@ -123,8 +123,7 @@ def _context_facts(item: Column) -> Column:
 def _module_facts(contents: Column) -> Column:
     """``_context_facts`` per item; each ``transform`` names one step."""
     nodes = F.transform(F.transform(contents, lambda c: take(c, CONTENT)), find_result)
-    outers = F.transform(nodes, lambda n: take(n, CONTEXT_POST))
-    posts = F.transform(outers, lambda p: unwrap(p, CONTEXT_POST))
+    posts = F.transform(nodes, lambda n: take(unwrap(n), CONTEXT_POST))
     return F.transform(F.transform(posts, _with_author), _context_facts)
 
 

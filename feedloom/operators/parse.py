@@ -14,6 +14,7 @@ from feedloom.functions.posts import (
     author,
     chosen_text,
     find_result,
+    is_record,
     plain_media,
     read_links,
     read_media,
@@ -50,11 +51,6 @@ def _promoted_source(post: Column) -> Column:
     return _is(F.lower(both).rlike("advertiser|promoted"))
 
 
-def _broken_wrapper(node: Column, post: Column) -> Column:
-    """A node that should be a record, or its visibility wrapper, is not one."""
-    return node.isNotNull() & post.isNull()
-
-
 def parse_tweets(candidates: DataFrame, ingest_ts: datetime | str | Column) -> DataFrame:
     """Parse every candidate; dropped ones keep their keys and a ``drop_reason``.
 
@@ -65,28 +61,26 @@ def parse_tweets(candidates: DataFrame, ingest_ts: datetime | str | Column) -> D
     keys = [c for c in candidates.columns if c not in ("content", "parent")]
     rows = candidates.withColumn("_content", take(F.col("content"), CONTENT))
     rows = rows.withColumn("_node", find_result(F.col("_content")))
-    rows = rows.withColumn("_outer", take(F.col("_node"), POST))
-    rows = rows.withColumn("_post", unwrap(F.col("_outer"), POST))
-    rows = rows.withColumn(
-        "_repost_outer", take(F.col("_post.legacy.retweeted_status_result.result"), POST)
+    rows = rows.withColumn("_post", take(unwrap(F.col("_node")), POST))
+    repost_node = F.col("_post.legacy.retweeted_status_result.result")
+    is_repost = is_record(repost_node)
+    rows = rows.withColumns(
+        {"_is_repost": is_repost, "_repost": take(unwrap(repost_node), POST)}
     )
-    rows = rows.withColumn("_repost", unwrap(F.col("_repost_outer"), POST))
     rows = rows.withColumn(
-        "_actual",
-        F.when(F.col("_repost_outer").isNotNull(), F.col("_repost")).otherwise(F.col("_post")),
+        "_actual", F.when(F.col("_is_repost"), F.col("_repost")).otherwise(F.col("_post"))
     )
-    rows = rows.withColumn(
-        "_quote_outer", take(F.col("_actual.quoted_status_result.result"), POST)
+    quote_node = F.col("_actual.quoted_status_result.result")
+    rows = rows.withColumns(
+        {"_is_quote": is_record(quote_node), "_quote_any": take(unwrap(quote_node), POST)}
     )
-    rows = rows.withColumn("_quote_any", unwrap(F.col("_quote_outer"), POST))
     quote_usable = (
         F.col("_quote_any.legacy").isNotNull() & F.col("_quote_any.core").isNotNull()
     )
     rows = rows.withColumn("_quote", F.when(quote_usable, F.col("_quote_any")))
 
-    is_repost = F.col("_repost_outer").isNotNull()
     rows = rows.withColumn("_own", author(F.col("_actual")))
-    use_wrapper = is_repost & (F.col("_own.handle") == "")
+    use_wrapper = F.col("_is_repost") & (F.col("_own.handle") == "")
     rows = rows.withColumn("_wrapper", F.when(use_wrapper, author(F.col("_post"))))
     rows = rows.withColumn("_author", F.coalesce("_wrapper", "_own"))
     rows = rows.withColumn("_quoted", F.when(F.col("_quote").isNotNull(), author(F.col("_quote"))))
@@ -139,10 +133,9 @@ def parse_tweets(candidates: DataFrame, ingest_ts: datetime | str | Column) -> D
 
 def _drop_reason() -> Column:
     """First matching reason, in the order in which the checks are made."""
-    node, outer, post = F.col("_node"), F.col("_outer"), F.col("_post")
-    repost_outer, repost, actual = F.col("_repost_outer"), F.col("_repost"), F.col("_actual")
-    quote, quote_outer = F.col("_quote"), F.col("_quote_outer")
-    content = F.col("_content")
+    content, node, post = F.col("_content"), F.col("_node"), F.col("_post")
+    repost, actual, quote = F.col("_repost"), F.col("_actual"), F.col("_quote")
+    is_repost = F.col("_is_repost")
 
     # ``items`` of a plain candidate may be anything that can be iterated.
     items_text = text_of(content["items"])
@@ -157,7 +150,7 @@ def _drop_reason() -> Column:
         F.col("_own.broken")
         | _is(F.col("_wrapper.broken"))
         | is_infinite(actual["legacy"]["in_reply_to_status_id_str"])
-        | _broken_wrapper(quote_outer, F.col("_quote_any"))
+        | (F.col("_is_quote") & F.col("_quote_any").isNull())
         | _is(F.col("_quoted.broken"))
         | is_infinite(quote["rest_id"])
         | (quote.isNotNull() & F.col("_quoted_text").isNull())
@@ -178,16 +171,16 @@ def _drop_reason() -> Column:
         F.when(content.isNull(), "dropped_exception")
         .when(node.isNull() & items_unusable, "dropped_exception")
         .when(node.isNull(), "dropped_no_result")
-        .when(outer.isNull() | post.isNull(), "dropped_exception")
+        .when(post.isNull(), "dropped_exception")
         .when(post["__typename"].isin(*TOMBSTONES), "dropped_tombstone")
         .when(post["legacy"].isNull(), "dropped_no_legacy")
         .when(_promoted_source(post), "dropped_promoted")
         .when(_is(card_broken), "dropped_exception")
         .when(_is(F.lower(card["name"]).contains("promoted")), "dropped_promoted")
         .when(post["core"].isNull(), "dropped_no_legacy")
-        .when(_broken_wrapper(repost_outer, repost), "dropped_exception")
+        .when(is_repost & repost.isNull(), "dropped_exception")
         .when(
-            repost_outer.isNotNull() & (repost["legacy"].isNull() | repost["core"].isNull()),
+            is_repost & (repost["legacy"].isNull() | repost["core"].isNull()),
             "dropped_rt_unparseable",
         )
         .when(_is(unreadable), "dropped_exception")

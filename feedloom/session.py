@@ -33,6 +33,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small local inputs still deserve all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
