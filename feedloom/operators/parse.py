@@ -74,27 +74,27 @@ def parse_tweets(candidates: DataFrame, ingest_ts: datetime | str | Column) -> D
     rows = rows.withColumns(
         {"_is_quote": is_record(quote_node), "_quote_any": take(unwrap(quote_node), POST)}
     )
-    quote_usable = (
-        F.col("_quote_any.legacy").isNotNull() & F.col("_quote_any.core").isNotNull()
+    quote = F.col("_quote_any")
+    usable = quote["legacy"].isNotNull() & quote["core"].isNotNull()
+    actual = F.col("_actual")
+    rows = rows.withColumns(
+        {
+            "_own": author(actual),
+            "_media": read_media(actual["legacy"]["extended_entities"]["media"]),
+            "_links": read_links(actual["legacy"]["entities"]["urls"]),
+            "_text": chosen_text(actual),
+            "_reply_handle": text_or_empty(actual["legacy"]["in_reply_to_screen_name"]),
+            "_quote_id": F.when(usable, quote["rest_id"]),
+            "_quoted": F.when(usable, author(quote)),
+            "_quoted_text": F.when(usable, chosen_text(quote)),
+        }
     )
-    rows = rows.withColumn("_quote", F.when(quote_usable, F.col("_quote_any")))
-
-    rows = rows.withColumn("_own", author(F.col("_actual")))
     use_wrapper = F.col("_is_repost") & (F.col("_own.handle") == "")
     rows = rows.withColumn("_wrapper", F.when(use_wrapper, author(F.col("_post"))))
     rows = rows.withColumn("_author", F.coalesce("_wrapper", "_own"))
-    rows = rows.withColumn("_quoted", F.when(F.col("_quote").isNotNull(), author(F.col("_quote"))))
-    rows = rows.withColumn("_media", read_media(F.col("_actual.legacy.extended_entities.media")))
-    rows = rows.withColumn("_links", read_links(F.col("_actual.legacy.entities.urls")))
-    rows = rows.withColumn("_text", chosen_text(F.col("_actual")))
-    rows = rows.withColumn("_quoted_text", chosen_text(F.col("_quote")))
-    rows = rows.withColumn(
-        "_reply_handle", text_or_empty(F.col("_actual.legacy.in_reply_to_screen_name"))
-    )
     rows = rows.withColumn("drop_reason", _drop_reason())
     kept = F.col("drop_reason").isNull()
 
-    actual = F.col("_actual")
     reply_id = F.nullif(safe_int(actual["legacy"]["in_reply_to_status_id_str"]), F.lit(0))
     links = F.coalesce(F.col("_links.items"), F.array().cast("array<string>"))
     media = F.coalesce(
@@ -116,7 +116,7 @@ def parse_tweets(candidates: DataFrame, ingest_ts: datetime | str | Column) -> D
             F.when(reply_id.isNotNull(), F.col("parent.handle")),
         ),
         "reply_to_text": F.when(reply_id.isNotNull(), F.col("parent.text")),
-        "quoted_tweet_id": F.nullif(safe_int(F.col("_quote.rest_id")), F.lit(0)),
+        "quoted_tweet_id": F.nullif(safe_int(F.col("_quote_id")), F.lit(0)),
         "quoted_author_handle": blank_to_null(F.col("_quoted.handle")),
         "quoted_text": blank_to_null(normalize_text(F.when(kept, F.col("_quoted_text")), fenced=True)),
         "urls": links,
@@ -134,7 +134,7 @@ def parse_tweets(candidates: DataFrame, ingest_ts: datetime | str | Column) -> D
 def _drop_reason() -> Column:
     """First matching reason, in the order in which the checks are made."""
     content, node, post = F.col("_content"), F.col("_node"), F.col("_post")
-    repost, actual, quote = F.col("_repost"), F.col("_actual"), F.col("_quote")
+    repost, actual, quoted = F.col("_repost"), F.col("_actual"), F.col("_quoted")
     is_repost = F.col("_is_repost")
 
     # ``items`` of a plain candidate may be anything that can be iterated.
@@ -151,9 +151,9 @@ def _drop_reason() -> Column:
         | _is(F.col("_wrapper.broken"))
         | is_infinite(actual["legacy"]["in_reply_to_status_id_str"])
         | (F.col("_is_quote") & F.col("_quote_any").isNull())
-        | _is(F.col("_quoted.broken"))
-        | is_infinite(quote["rest_id"])
-        | (quote.isNotNull() & F.col("_quoted_text").isNull())
+        | _is(quoted["broken"])
+        | is_infinite(F.col("_quote_id"))
+        | (quoted.isNotNull() & F.col("_quoted_text").isNull())
         | F.col("_media.broken")
         | F.exists(F.col("_media.items"), lambda m: m["broken"])
         | F.col("_links.broken")
@@ -164,7 +164,7 @@ def _drop_reason() -> Column:
         | F.col("_author.handle").isNull()
         | F.col("_author.name").isNull()
         | F.col("_reply_handle").isNull()
-        | (quote.isNotNull() & F.col("_quoted.handle").isNull())
+        | (quoted.isNotNull() & quoted["handle"].isNull())
         | F.col("_links.odd")
     )
     return (

@@ -18,7 +18,7 @@ STOP_WORDS = tuple(
     same so than too very s t can will just don should now
     """.split()
 )
-BUCKETS = 64
+BUCKETS = 256
 
 
 def terms_of(text: Column) -> Column:
@@ -38,15 +38,14 @@ def build_text_index(tweets: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def write_text_index(index: DataFrame, path: str, files_per_bucket: int = 4) -> None:
+def write_text_index(index: DataFrame, path: str) -> None:
     """Store postings by word bucket, sorted, so a search reads few row groups.
 
-    A bucket is spread over several files by id; common words do not end up in
-    one task.
+    Rebalancing gathers a bucket into few files, but splits a bucket that is
+    too big for one task, as that of a very common word may be.
     """
-    spread = F.pmod(F.xxhash64("id"), F.lit(files_per_bucket))
     (
-        index.repartition("term_bucket", spread)
+        index.hint("rebalance", "term_bucket")
         .sortWithinPartitions("term_bucket", "term", "id")
         .write.mode("overwrite")
         .partitionBy("term_bucket")
