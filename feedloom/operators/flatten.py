@@ -13,6 +13,7 @@ from feedloom.functions.posts import (
     find_result,
     unwrap,
 )
+from feedloom.functions.reuse import reused
 from feedloom.functions.scalars import safe_int
 from feedloom.functions.text import normalize_texts
 from feedloom.functions.variants import present, take, text_of, truthy
@@ -81,7 +82,7 @@ def next_cursor_of(payload: Column) -> Column:
 def page_summary(payloads: DataFrame) -> DataFrame:
     """Payload columns without the payload, plus ``next_cursor``; narrow."""
     keep = [c for c in payloads.columns if c not in ("value", "v")]
-    cursor = F.when(F.col("status") == "ok", next_cursor_of(F.col("v")))
+    cursor = F.when(F.col("status") == "ok", _cursor("v"))
     return payloads.select(*keep, cursor.alias("next_cursor"))
 
 
@@ -127,6 +128,55 @@ def _module_facts(contents: Column) -> Column:
     return F.transform(F.transform(posts, _with_author), _context_facts)
 
 
+@reused
+def _instructions(payload: str) -> Column:
+    return instructions_of(F.col(payload))
+
+
+@reused
+def _cursor(payload: str) -> Column:
+    return next_cursor_of(F.col(payload))
+
+
+@reused
+def _entries(instruction: str) -> Column:
+    return _entries_of(F.col(instruction))
+
+
+@reused
+def _contents(entry: str, read: str) -> Column:
+    """Candidate contents of an entry; null for entries that hold none."""
+    content = F.col(f"{entry}.content")
+    unreadable = F.col(entry).isNull() | (present(content) & F.col(read).isNull())
+    kind = F.col(f"{read}.entryType")
+    return (
+        F.when(unreadable, F.array(F.lit(None).cast("variant")))
+        .when(kind == SINGLE, F.array(content))
+        .when(kind == MODULE, _module_contents(F.col(read)))
+    )
+
+
+@reused
+def _facts(contents: str) -> Column:
+    return _module_facts(F.col(contents))
+
+
+@reused
+def _offered(facts: str) -> Column:
+    """Parents a module offers: those with an id, a handle and a text."""
+    texts = normalize_texts(
+        F.transform(facts, lambda f: F.when(f["id"].isNotNull(), f["text"]))
+    )
+    return F.filter(
+        F.zip_with(
+            facts,
+            texts,
+            lambda f, t: F.struct(f["id"].alias("id"), f["handle"].alias("handle"), t.alias("text")),
+        ),
+        lambda p: p["id"].isNotNull() & p["handle"].isNotNull() & (p["text"] != ""),
+    )
+
+
 def flatten_timeline(payloads: DataFrame) -> DataFrame:
     """One row per candidate of every ``ok`` page.
 
@@ -136,61 +186,43 @@ def flatten_timeline(payloads: DataFrame) -> DataFrame:
 
     Empty pages and entries leave through filters on the exploded positions:
     filtering (or inner-exploding) before would make Catalyst repeat the parsing
-    expressions inside the filter.  No shuffle: a page is taken apart in the task that holds it.  Parents are
-    looked up inside the module before it is exploded, so a module's context is
-    never copied to its rows.
+    expressions inside the filter.  No shuffle: a page is taken apart in the
+    task that holds it.  Parents are looked up inside the module before it is
+    exploded, so a module's context is never copied to its rows.
     """
     keys = [c for c in payloads.columns if c not in RAW_COLUMNS + STATUS_COLUMNS]
     readable = F.when(F.col("status") == "ok", F.col("v"))
     instructions = payloads.select(*keys, readable.alias("_v")).select(
-        *keys, F.posexplode_outer(instructions_of(F.col("_v"))).alias("instr_pos", "_instr")
+        *keys, F.posexplode_outer(_instructions("_v")).alias("instr_pos", "_instr")
     )
     entries = (
         instructions.where(F.col("instr_pos").isNotNull())
         .select(
             *keys,
             "instr_pos",
-            F.posexplode_outer(_entries_of(F.col("_instr"))).alias("entry_pos", "_entry"),
+            F.posexplode_outer(_entries("_instr")).alias("entry_pos", "_entry"),
         )
         .where(F.col("entry_pos").isNotNull())
     )
-    content = F.col("_entry.content")
-    read = take(content, ENTRY)
-    unreadable = F.col("_entry").isNull() | (present(content) & read.isNull())
-    contents = (
-        F.when(unreadable, F.array(F.lit(None).cast("variant")))
-        .when(F.col("_read.entryType") == SINGLE, F.array(content))
-        .when(F.col("_read.entryType") == MODULE, _module_contents(F.col("_read")))
-    )
+    read = take(F.col("_entry.content"), ENTRY)
     entries = entries.withColumn("_read", read).select(
         *keys,
         "instr_pos",
         "entry_pos",
-        contents.alias("_contents"),
+        _contents("_entry", "_read").alias("_contents"),
         (F.col("_read.entryType") == MODULE).alias("_module"),
     )
     # A thread: some item replies to another item of the module.
     facts = F.when(
         F.col("_module") & (F.size("_contents") > 1),
-        _module_facts(F.col("_contents")),
+        _facts("_contents"),
     )
     entries = entries.withColumn("_facts", facts)
     thread = F.arrays_overlap(
         F.transform("_facts", lambda f: f["id"]), F.transform("_facts", lambda f: f["reply_to"])
     )
     entries = entries.withColumn("_facts", F.when(thread, F.col("_facts")))
-    texts = normalize_texts(
-        F.transform("_facts", lambda f: F.when(f["id"].isNotNull(), f["text"]))
-    )
-    offered = F.filter(
-        F.zip_with(
-            "_facts",
-            texts,
-            lambda f, t: F.struct(f["id"].alias("id"), f["handle"].alias("handle"), t.alias("text")),
-        ),
-        lambda p: p["id"].isNotNull() & p["handle"].isNotNull() & (p["text"] != ""),
-    )
-    entries = entries.withColumn("_offered", offered)
+    entries = entries.withColumn("_offered", _offered("_facts"))
 
     def parent(reply_to: Column) -> Column:
         return F.try_element_at(
