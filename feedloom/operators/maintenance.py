@@ -84,13 +84,15 @@ def _violations(required: tuple[str, ...], lengths: dict[str, int]) -> Column:
 
 
 def _with_violations(
-    table: DataFrame, required: tuple[str, ...], lengths: dict[str, int]
+    table: DataFrame, required: tuple[str, ...], lengths: dict[str, int], unique: bool
 ) -> DataFrame:
     """``violations`` per row; ``id_repeated`` marks rows sharing their key.
 
     Repeated keys are found by a pre-aggregated count and joined back, so the
     side that meets a hot key has one row for it and Spark may split the other.
     """
+    if not unique:
+        return table.withColumn("violations", _violations(required, lengths))
     repeated = (
         table.where("id IS NOT NULL")
         .groupBy("id")
@@ -103,13 +105,16 @@ def _with_violations(
     return joined.withColumn("violations", found).select(*table.columns, "violations")
 
 
-def validate_tweets(table: DataFrame) -> DataFrame:
-    """The posts with an array of the constraints each row breaks."""
-    return _with_violations(table, TWEET_REQUIRED, TWEET_LENGTHS)
+def validate_tweets(table: DataFrame, unique: bool = True) -> DataFrame:
+    """The posts with an array of the constraints each row breaks.
+
+    A batch to be merged may repeat ids: ``unique=False``, which needs no shuffle.
+    """
+    return _with_violations(table, TWEET_REQUIRED, TWEET_LENGTHS, unique)
 
 
-def validate_users(table: DataFrame) -> DataFrame:
-    return _with_violations(table, USER_REQUIRED, USER_LENGTHS)
+def validate_users(table: DataFrame, unique: bool = True) -> DataFrame:
+    return _with_violations(table, USER_REQUIRED, USER_LENGTHS, unique)
 
 
 def split_valid(validated: DataFrame, mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,7 @@ from feedloom.operators.digest import render_digest, write_digest
 from feedloom.operators.feed import FEED, OPERATION_ALIASES, assemble_feed
 from feedloom.operators.flatten import flatten_timeline, page_summary
 from feedloom.operators.ledger import close_runs, open_runs
+from feedloom.operators.maintenance import split_valid, validate_tweets
 from feedloom.operators.merge import merge_tweets
 from feedloom.operators.parse import parse_tweets
 from feedloom.schemas import TWEETS
@@ -65,6 +66,7 @@ def ingest_batch(
     ingest_ts: datetime | str | None = None,
     count: int = DEFAULT_COUNT,
     range_bits: int = RANGE_BITS,
+    on_violation: str = "quarantine",
 ) -> bool:
     """Bronze -> parse -> feed -> merge -> ledger -> digest under ``path``.
 
@@ -72,6 +74,8 @@ def ingest_batch(
     value`` and optionally ``http_status``; all pages of a run belong in one
     batch.  ``ingest_ts`` defaults to the latest capture time, so a replayed
     batch gives the same rows; a version that was stored is left as it is.
+    Posts that break a constraint of the table are kept aside under
+    ``quarantine``, or with ``on_violation="fail"`` stop the whole batch.
     """
     spark = configure(pages.sparkSession)
     posts = tweet_table(spark, path, range_bits)
@@ -87,7 +91,13 @@ def ingest_batch(
     parsed = stored(
         parse_tweets(flatten_timeline(bronze), ingest_ts), f"{path}/parsed/v={version}"
     )
-    feed = stored(assemble_feed(parsed, summary, count), f"{path}/feeds/v={version}")
+    checked = stored(
+        validate_tweets(assemble_feed(parsed, summary, count), unique=False),
+        f"{path}/checked/v={version}",
+    )
+    valid, broken = split_valid(checked, on_violation)
+    feed = stored(valid, f"{path}/feeds/v={version}")
+    broken.write.mode("overwrite").parquet(f"{path}/quarantine/v={version}")
     if not done:
         posts.commit(
             version, feed, lambda cur, new: merge_tweets(cur, new, ingest_ts, feed_order())

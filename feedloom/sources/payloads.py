@@ -19,6 +19,11 @@ def read_payload_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def stream_payload_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same as a stream over arriving files."""
+    return spark.readStream.text(path)
+
+
 def _reported_error(payload: Column) -> Column:
     """The first reported error, null when the payload reports none."""
     errors = take(payload, "variant", "$.errors")

@@ -5,6 +5,7 @@ import json
 import os
 import tempfile
 
+import pytest
 import shapes as s
 
 from feedloom.plans.ingest import ingest_batch, tweet_table
@@ -79,3 +80,18 @@ def test_batch_equals_stream(spark):
     ingest_batch(spark.read.schema(CAPTURE).json(inbox), f"{base}/batch", 0, count=12)
     streamed, batched = (table_rows(tweet_table(spark, f"{base}/{k}")) for k in ("stream", "batch"))
     assert streamed == batched and len(streamed) == 12
+
+
+def test_broken_constraints(spark):
+    base = tempfile.mkdtemp(prefix="feedloom-test-")
+    os.makedirs(f"{base}/in")
+    body = s.home(s.single(s.post(1)), s.single(s.post(2, handle="h" * 51)))
+    write_page(f"{base}/in", "a.json", "r", "home", 0, body, 1)
+    pages = spark.read.schema(CAPTURE).json(f"{base}/in")
+    with pytest.raises(Exception, match="constraint broken by id 2"):
+        ingest_batch(pages, f"{base}/out", 0, on_violation="fail")
+    assert tweet_table(spark, f"{base}/out").version() is None
+    assert ingest_batch(pages, f"{base}/out", 0)
+    assert [r.id for r in tweet_table(spark, f"{base}/out").read().collect()] == [1]
+    kept = spark.read.parquet(f"{base}/out/quarantine/v=0").collect()
+    assert [(r.id, r.violations) for r in kept] == [(2, ["author_handle_longer_than_50"])]
