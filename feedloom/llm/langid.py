@@ -25,8 +25,12 @@ HELD_OUT = 2
 # hash of their id, and so many characters from the middle of each.
 SAMPLE_DOCUMENTS = 64
 SAMPLE_CHARS = 2000
-LEVEL = 1
-CHUNK = 1 << 15
+# Texts are compressed in chunks, so the dictionary counts in all of a long one.
+# A compressible start keeps short texts from being stored as they are.
+CHUNK = 1024
+START = b" " * 64
+# Matches of three bytes: parts of words count.
+LEVEL, MIN_MATCH = 6, 3
 # A margin below this share of the second best size is narrow.
 NARROW = 0.005
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -73,15 +77,18 @@ class Compressors:
 
         self.names, self.ways = sorted(dictionaries), []
         for name in self.names:
+            how = zstandard.ZstdCompressionParameters(
+                compression_level=LEVEL,
+                min_match=MIN_MATCH,
+                strategy=zstandard.STRATEGY_BTOPT,
+                write_content_size=False,
+                write_dict_id=False,
+            )
             own = zstandard.ZstdCompressionDict(
                 dictionaries[name] or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT
             )
-            own.precompute_compress(level=LEVEL)
-            self.ways.append(
-                zstandard.ZstdCompressor(
-                    level=LEVEL, dict_data=own, write_content_size=False, write_dict_id=False
-                )
-            )
+            own.precompute_compress(compression_params=how)
+            self.ways.append(zstandard.ZstdCompressor(compression_params=how, dict_data=own))
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether it is rejected.
@@ -95,7 +102,7 @@ class Compressors:
         data = kept.encode()
         sizes = np.zeros(len(self.ways))
         for at in range(0, len(data), CHUNK):
-            part = data[at : at + CHUNK]
+            part = START + data[at : at + CHUNK]
             sizes += [len(way.compress(part)) for way in self.ways]
         if len(sizes) == 1:
             return self.names[0], 1.0, False

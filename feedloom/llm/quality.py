@@ -172,7 +172,7 @@ def fit(labelled: DataFrame, dim: int = len(NAMES)) -> Discriminant:
     means = flat[:, 1 : dim + 1] / n[:, None]
     squares = flat[:, dim + 1 :].reshape(2, dim, dim)
     center = flat[:, 1 : dim + 1].sum(axis=0) / n.sum()
-    scale = np.sqrt(np.maximum(np.diag(squares.sum(axis=0)) / n.sum() - center**2, 1e-9))
+    scale = np.sqrt(np.maximum(np.diag(squares.sum(axis=0)) / n.sum() - center**2, 1e-4))
     spread = [squares[k] / n[k] - np.outer(means[k], means[k]) for k in (0, 1)]
     spread = [s / np.outer(scale, scale) for s in spread]
     pooled = (n[0] * spread[0] + n[1] * spread[1]) / n.sum()
