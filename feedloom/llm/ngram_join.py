@@ -32,14 +32,17 @@ from feedloom.llm.common import WordHasher, components, need_columns, shingles,
 
 WORDS = 3
 PERCENT = 90
-BITS = 1024
+# Bits of a bitmap: LEAST_BITS, and four times as many while a set is larger.
+LEAST_BITS = 1024
+MOST_BITS = 1 << 16
 LEADERS = 4
 BLOCK = 2048
 FAN = 8
-# Shingles of at least HOT documents come last in the global order.  The list
-# is an ordering hint of bounded size; it cannot change a result.
-HOT = 64
-HOT_LIMIT = 1 << 16
+# Shingles of at least HOT documents come last in the global order, the most
+# frequent at the very end.  The list is an ordering hint of bounded size; it
+# cannot change a result.
+HOT = 8
+HOT_LIMIT = 1 << 18
 # Places of the filter that keeps documents without a candidate out of the
 # verification's shuffle; the broadcast never has more rows than this.
 PLACES = 1 << 18
@@ -80,28 +83,45 @@ def _count_hot(words: int, floor: int):
     return run
 
 
-def hot_shingles(docs: DataFrame, words: int = WORDS) -> np.ndarray:
-    """Shingles of many documents, counted over all texts, at most ``HOT_LIMIT``.
+def hot_shingles(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles, sorted, and their ranks by frequency; at most ``HOT_LIMIT``.
 
-    Tasks drop shingles seen less than three times in four million, so the
-    counts are lower bounds.
+    All texts are counted.  Tasks leave out shingles seen once in four million,
+    so the counts are lower bounds.
     """
-    counted = docs.select("text").mapInArrow(_count_hot(words, 3), "token long, docs long")
+    counted = docs.select("text").mapInArrow(_count_hot(words, 2), "token long, docs long")
     rows = (
         counted.groupBy("token")
         .agg(F.sum("docs").alias("docs"))
         .where(F.col("docs") >= HOT)
         .orderBy(F.desc("docs"), "token")
         .limit(HOT_LIMIT)
-        .select("token")
         .toPandas()
     )
-    return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
+    token = rows["token"].to_numpy(np.int64).view(np.uint64)
+    rank = np.lexsort((token, rows["docs"].to_numpy(np.int64))).argsort()
+    order = np.argsort(token)
+    return token[order], rank[order]
+
+
+def bitmap(s: np.ndarray) -> bytes:
+    """One bit per element's hash; four times as many bits for four times the elements."""
+    bits = LEAST_BITS
+    while bits < min(len(s), MOST_BITS):
+        bits *= 4
+    out = np.zeros(bits, bool)
+    out[(s >> np.uint64(7)) % np.uint64(bits)] = True
+    return np.packbits(out).tobytes()
+
+
+def folded(signs: np.ndarray, width: int) -> np.ndarray:
+    """The same bitmaps at a smaller width, in 64-bit words."""
+    return np.bitwise_or.reduce(signs.reshape(len(signs), -1, width), axis=1)
 
 
 def _facts(words: int, percent: int, hot_list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, hot = WordHasher(), hot_list.value
+        hasher, (hot, rank) = WordHasher(), hot_list.value
         for batch in batches:
             n, h1, h2, lead, prefix, signs = [], [], [], [], [], []
             for data in _texts(batch, "text"):
@@ -111,14 +131,14 @@ def _facts(words: int, percent: int, hot_list):
                 h2.append(int(np.bitwise_xor.reduce(s).view(np.int64)) if len(s) else 0)
                 lead.append(s[:LEADERS].view(np.int64))
                 keep = len(s) - (percent * len(s) + 99) // 100 + 1 if len(s) else 0
-                is_hot = np.zeros(len(s), bool)
-                if len(hot):
-                    is_hot = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s
-                first = s[~is_hot][:keep]
-                prefix.append(np.concatenate([first, s[is_hot][: keep - len(first)]]).view(np.int64))
-                bits = np.zeros(BITS, bool)
-                bits[(s >> np.uint64(7)) % np.uint64(BITS)] = True
-                signs.append(np.packbits(bits).tobytes())
+                first = s
+                if len(hot) and len(s):
+                    at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
+                    is_hot = hot[at] == s
+                    last = s[is_hot][np.argsort(rank[at[is_hot]])]
+                    first = np.concatenate([s[~is_hot], last])
+                prefix.append(first[:keep].view(np.int64))
+                signs.append(bitmap(s))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -136,11 +156,6 @@ def _facts(words: int, percent: int, hot_list):
     return run
 
 
-def _signs(column: pa.Array) -> np.ndarray:
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, np.uint64).reshape(-1, BITS // 64)
-
-
 def _ones(signs: np.ndarray) -> np.ndarray:
     return np.bitwise_count(signs).sum(axis=-1, dtype=np.int64)
 
@@ -219,11 +234,32 @@ def _tree_pairs(percent: int):
     """Sorted rows (token, lo, hi, part, doc_id, n, label, sign) to candidate pairs."""
 
     def one(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Traverses the trees of each two bitmap widths; the wider is folded."""
         lo, hi = rows["lo"][0], rows["hi"][0]
-        take = [rows["part"] == lo] if lo == hi else [rows["part"] == lo, rows["part"] == hi]
-        trees = [SignatureTree(rows["n"][t], rows["sign"][t], rows["label"][t]) for t in take]
-        i, j = traverse(trees[0], trees[-1], percent)
-        return rows["doc_id"][take[0]][i], rows["doc_id"][take[-1]][j]
+        sides = []
+        for part in [lo] if lo == hi else [lo, hi]:
+            own = np.flatnonzero(rows["part"] == part)
+            size = np.array([len(rows["sign"][r]) for r in own])
+            sides.append({w: own[size == w] for w in np.unique(size)})
+        left, right = [], []
+        for w, x in sides[0].items():
+            for v, y in sides[-1].items():
+                if lo == hi and v < w:
+                    continue
+                width = min(w, v) // 8
+                trees = [
+                    SignatureTree(
+                        rows["n"][r],
+                        folded(np.frombuffer(b"".join(rows["sign"][r]), np.uint64).reshape(len(r), -1), width),
+                        rows["label"][r],
+                    )
+                    for r in ([x] if x is y else [x, y])
+                ]
+                i, j = traverse(trees[0], trees[-1], percent)
+                left.append(rows["doc_id"][x][i])
+                right.append(rows["doc_id"][y][j])
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *left]), np.concatenate([none, *right])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held = ("token", "lo", "hi", "part", "doc_id", "n", "label"), None
@@ -242,7 +278,7 @@ def _tree_pairs(percent: int):
             if not batch.num_rows:
                 continue
             rows = {k: batch.column(k).to_numpy() for k in names}
-            rows["sign"] = _signs(batch.column("sign"))
+            rows["sign"] = np.array(batch.column("sign").to_pylist(), object)
             if held is not None:
                 rows = {k: np.concatenate([held[k], v]) for k, v in rows.items()}
             change = np.zeros(len(rows["n"]), bool)
@@ -263,13 +299,19 @@ def _bounded(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sides = []
-            for s in "ab":
-                n, sign = batch.column(f"n_{s}").to_numpy(), _signs(batch.column(f"sign_{s}"))
-                label = batch.column(s).to_numpy()
-                sides.append((sign, n, n, n - _ones(sign), label, label))
-            at = np.arange(batch.num_rows)
-            keep = pa.array(_possible(sides[0], at, sides[1], at, percent))
+            keep = np.zeros(batch.num_rows, bool)
+            signs = [np.array(batch.column(f"sign_{s}").to_pylist(), object) for s in "ab"]
+            sizes = np.array([[len(x) for x in side] for side in signs])
+            for w, v in np.unique(sizes, axis=1).T:
+                own, sides = np.flatnonzero((sizes[0] == w) & (sizes[1] == v)), []
+                for s, side in zip("ab", signs, strict=True):
+                    sign = np.frombuffer(b"".join(side[own]), np.uint64).reshape(len(own), -1)
+                    sign = folded(sign, min(w, v) // 8)
+                    n, label = (batch.column(c).to_numpy()[own] for c in (f"n_{s}", s))
+                    sides.append((sign, n, n, n - _ones(sign), label, label))
+                at = np.arange(len(own))
+                keep[own] = _possible(sides[0], at, sides[1], at, percent)
+            keep = pa.array(keep)
             yield batch.select(["a", "b"]).filter(keep)
 
     return run
@@ -330,18 +372,17 @@ def _leader_pairs(reps: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(_bounded(percent), "a long, b long").distinct()
 
 
-def _run_pairs(reps: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+def _run_pairs(facts: DataFrame, reps: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs from the runs of prefix shingles that span components."""
-    reps = reps.join(label, reps.doc_id == label.id, "left").select(
-        "doc_id", "n", "sign", "prefix", F.coalesce("component", "doc_id").alias("label")
-    )
-    reps = stored(reps)
-    rows = reps.select("doc_id", "label", F.explode("prefix").alias("token"))
+    reps = reps.join(label, reps.doc_id == label.id, "left")
+    reps = stored(reps.select("doc_id", "n", "sign", F.coalesce("component", "doc_id").alias("label")))
+    rows = facts.select("doc_id", "n", "prefix").join(reps.select("doc_id", "n", "label"), ["doc_id", "n"])
+    rows = rows.select("doc_id", "label", F.explode("prefix").alias("token"))
     runs = (
         rows.groupBy("token")
         .agg(
             F.count("*").alias("docs"),
-            F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("print"),
+            F.bit_xor(F.xxhash64("doc_id")).alias("print"),
             F.min("label").alias("low"),
             F.max("label").alias("high"),
         )
@@ -386,13 +427,17 @@ def jaccard_components(
         )
     )
     known = facts.where("doc_id IS NOT NULL AND n > 0")
-    classes = known.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
-    reps = known.join(classes.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "n", "doc_id"], "left_semi")
-    reps = stored(reps.select("doc_id", "n", "lead", "prefix", "sign").distinct())
+    # Equal sets have equal leads and bitmaps; the smallest doc_id stands for them.
+    classes = known.groupBy("h1", "h2", "n").agg(
+        F.min("doc_id").alias("doc_id"), F.first("lead").alias("lead"), F.first("sign").alias("sign")
+    )
+    classes = stored(classes)
+    reps = classes.select("doc_id", "n", "lead", "sign")
+    classes = classes.select("h1", "h2", "n", F.col("doc_id").alias("rep"))
     texts = docs.where("doc_id IS NOT NULL")
     near = verified(texts, stored(_leader_pairs(reps, percent)), words, percent)
     label = components(near)
-    rest = verified(texts, stored(_run_pairs(reps, label, percent)), words, percent)
+    rest = verified(texts, stored(_run_pairs(facts, reps, label, percent)), words, percent)
     texts_of = F.struct("h1", "h2", "n")
     repeated = known.groupBy("doc_id").agg(F.min(texts_of).alias("x"), F.max(texts_of).alias("y"))
     repeated = known.join(repeated.where("x < y").select("doc_id"), "doc_id", "left_semi")
