@@ -34,6 +34,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of whole texts that one Arrow batch may carry to a Python worker.
+TEXT_ROWS = 1024
+
+
+def long_rows(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches kept small enough for rows of long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= TEXT_ROWS:
+        df.sparkSession.conf.set(key, str(TEXT_ROWS))
+    return df
+
+
 def need_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

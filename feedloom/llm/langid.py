@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import need_columns
+from feedloom.llm.common import long_rows, need_columns
 
 UNKNOWN = "und"
 FOLDS = 4
@@ -51,6 +51,7 @@ def train(documents: DataFrame) -> dict[str, bytes]:
     Held-out rows and rows without an id, text or language are no part of it.
     """
     need_columns(documents, "doc_id", "text", "lang")
+    long_rows(documents)
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     rows = rows.where(fold(F.col("doc_id")) != HELD_OUT)
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")

@@ -26,9 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import WordHasher, components, need_columns, shingles, stored
+from feedloom.llm.common import WordHasher, components, long_rows, need_columns, shingles, stored
 
 WORDS = 3
 PERCENT = 90
@@ -74,7 +75,7 @@ def _count_hot(words: int, floor: int):
             for data in _texts(batch, "text"):
                 held.append(shingles(hasher.words(data), words))
                 size += len(held[-1])
-                if size > 4_000_000:
+                if size > 1_000_000:
                     yield flush()
                     held, size = [], 0
         if held:
@@ -86,7 +87,7 @@ def _count_hot(words: int, floor: int):
 def hot_shingles(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles, sorted, and their ranks by frequency; at most ``HOT_LIMIT``.
 
-    All texts are counted.  Tasks leave out shingles seen once in four million,
+    All texts are counted.  Tasks leave out shingles seen once in a million,
     so the counts are lower bounds.
     """
     counted = docs.select("text").mapInArrow(_count_hot(words, 2), "token long, docs long")
@@ -196,6 +197,7 @@ def traverse(a: SignatureTree, b: SignatureTree, percent: int) -> tuple[np.ndarr
     slices depth first, so it stays small.
     """
     same, found = a is b, []
+    piece = max(64, (1 << 19) // a.levels[0][0].shape[1])  # 4 MB of bitmaps
     todo = [(len(a.levels) - 1, len(b.levels) - 1, np.zeros(1, int), np.zeros(1, int))]
     while todo:
         p, q, i, j = todo.pop()
@@ -224,8 +226,8 @@ def traverse(a: SignatureTree, b: SignatureTree, percent: int) -> tuple[np.ndarr
             down_q = q - 1
         if same:
             i, j = i[i <= j], j[i <= j]
-        for cut in range(0, len(i), 1 << 16):
-            todo.append((down_p, down_q, i[cut : cut + (1 << 16)], j[cut : cut + (1 << 16)]))
+        for cut in range(0, len(i), piece):
+            todo.append((down_p, down_q, i[cut : cut + piece], j[cut : cut + piece]))
     none = np.zeros(0, int)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none)
 
@@ -264,15 +266,17 @@ def _tree_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held = ("token", "lo", "hi", "part", "doc_id", "n", "label"), None
 
-        def pairs(rows: dict, cuts: np.ndarray) -> pa.RecordBatch:
-            left, right = [], []
+        def pairs(rows: dict, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            left, right, size = [], [], 0
             for s, e in zip(cuts[:-1], cuts[1:], strict=True):
                 a, b = one({k: v[s:e] for k, v in rows.items()})
                 left.append(np.minimum(a, b))
                 right.append(np.maximum(a, b))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"]
-            )
+                size += len(a)
+                if size > 100_000 or e == cuts[-1]:
+                    found = [pa.array(np.concatenate(x)) for x in (left, right)]
+                    yield pa.RecordBatch.from_arrays(found, ["a", "b"])
+                    left, right, size = [], [], 0
 
         for batch in batches:
             if not batch.num_rows:
@@ -286,10 +290,10 @@ def _tree_pairs(percent: int):
                 change[1:] |= rows[k][1:] != rows[k][:-1]
             cuts = np.concatenate([[0], np.flatnonzero(change)])
             if len(cuts) > 1:
-                yield pairs(rows, cuts)
+                yield from pairs(rows, cuts)
             held = {k: v[cuts[-1] :] for k, v in rows.items()}
         if held is not None:
-            yield pairs(held, np.array([0, len(held["n"])]))
+            yield from pairs(held, np.array([0, len(held["n"])]))
 
     return run
 
@@ -377,7 +381,7 @@ def _run_pairs(facts: DataFrame, reps: DataFrame, label: DataFrame, percent: int
     reps = reps.join(label, reps.doc_id == label.id, "left")
     reps = stored(reps.select("doc_id", "n", "sign", F.coalesce("component", "doc_id").alias("label")))
     rows = facts.select("doc_id", "n", "prefix").join(reps.select("doc_id", "n", "label"), ["doc_id", "n"])
-    rows = rows.select("doc_id", "label", F.explode("prefix").alias("token"))
+    rows = rows.select("doc_id", "n", "label", F.explode("prefix").alias("token"))
     runs = (
         rows.groupBy("token")
         .agg(
@@ -392,7 +396,14 @@ def _run_pairs(facts: DataFrame, reps: DataFrame, label: DataFrame, percent: int
         .agg(F.min("token").alias("token"))
         .select("token", F.ceil(F.col("docs") / BLOCK).alias("parts"))
     )
-    members = rows.select("token", "doc_id").join(runs, "token")
+    members = rows.join(runs, "token")
+    # Of a run in one part, only documents with one of like size beside them matter.
+    beside = W.partitionBy("token").orderBy("n", "doc_id")
+    near = (100 * F.lag("n").over(beside) >= percent * F.col("n")) | (
+        100 * F.col("n") >= percent * F.lead("n").over(beside)
+    )
+    small = members.where("parts = 1").withColumn("near", near).where("near").drop("near")
+    members = small.union(members.where("parts > 1"))
     members = members.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     members = members.withColumn("other", other).select(
@@ -418,7 +429,7 @@ def jaccard_components(
     are one document for links and keep a row each.  Other columns are ignored.
     """
     need_columns(documents, "doc_id", "text")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    docs = long_rows(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs, words))
     facts = stored(
         docs.mapInArrow(

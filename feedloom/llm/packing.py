@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import need_columns
+from feedloom.llm.common import long_rows, need_columns
 
 WINDOW = 2048
 END_ID = 1
@@ -245,6 +245,6 @@ def pack_documents(
     is padded.
     """
     need_columns(documents, "doc_id", "text")
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = long_rows(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = PIECE + (", ids array<long>" if with_ids else "")
     return rows.mapInArrow(_pack(path or tokenizer_path(), window, with_ids), schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import WordHasher, need_columns, shingles, stored
+from feedloom.llm.common import WordHasher, long_rows, need_columns, shingles, stored
 
 THRESHOLD = 0.3
 FOLDS = 5
@@ -114,7 +114,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def text_statistics(documents: DataFrame, *keep: str) -> DataFrame:
     """The ``keep`` columns and x, the statistics of the whole text (null: empty)."""
     need_columns(documents, "text", *keep)
-    rows = documents.select(*keep, "text")
+    rows = long_rows(documents).select(*keep, "text")
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text")
     return rows.mapInArrow(_statistics, schema + "x array<double>")
 
