@@ -110,6 +110,9 @@ def mixture(sizes: DataFrame, targets: DataFrame, block_words: int = BLOCK_WORDS
     # A block's number is also a slot's number: the slots need no list of their own.
     slots = pieces.where("offset = 0").select("rank", F.col("block").alias("turn"))
     owed = targets.select("rank", F.col("source_size").alias("words"), F.round("target").cast("long").alias("owed"))
+    total = F.sum("owed").over(W.partitionBy())  # one row per source
+    shards = F.greatest(F.lit(1), F.ceil(total / (block_words * SHARD_SLOTS))).cast("long")
+    owed = owed.withColumn("shards", shards)
     slots = slots.join(owed, "rank").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))))
     blocks = F.expr(f"(words + {block_words - 1}) div {block_words}")
     index = _permuted(F.col("turn"), F.col("blocks"), F.col("pass") % 2 == 1, F.col("rank"))
@@ -121,9 +124,6 @@ def mixture(sizes: DataFrame, targets: DataFrame, block_words: int = BLOCK_WORDS
     done = F.col("pass") * F.col("words") + F.col("turn") * block_words
     done = done - F.when(F.col("turn") > F.col("short_turn"), short).otherwise(0)
     slots = slots.withColumn("left", F.col("owed") - done).where("left > 0")
-    shards = F.greatest(F.lit(1), F.ceil(F.sum("owed").over(W.partitionBy()) / (block_words * SHARD_SLOTS)))
-    shards = owed.select(shards.cast("long").alias("shards")).distinct()
-    slots = slots.join(F.broadcast(shards))  # one row
     shard = F.pmod(F.xxhash64("rank", "pass", "turn"), F.col("shards"))
     slots = slots.select("rank", "pass", "block", "left", shard.alias("shard"))
     taken = F.least("length", F.col("left") - F.col("offset"))
