@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,7 +30,7 @@ from feedloom.llm.common import long_rows, need_columns
 WINDOW = 2048
 END_ID = 1
 OPEN_WINDOWS = 4096
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 TOKENIZER = "word_bpe_49k.json"
 # A full stop or comma after a word, which the tokenizer sets apart anyway.
 MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
@@ -58,7 +60,9 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(self.END)]] = True
-        self.known: dict[bytes, bytes] = {}
+        # Kept as long as the Python process, which runs many tasks.
+        kept = sys.modules.setdefault("_feedloom_tokens", types.ModuleType("_feedloom_tokens"))
+        self.known: dict[bytes, bytes] = kept.__dict__.setdefault(path, {})
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -108,7 +112,8 @@ class WordTokens:
         distinct = set().union(*(w for w in words if w is not None))
         missing = distinct.difference(self.known)
         if len(self.known) + len(missing) > CACHE_WORDS:
-            self.known, missing = {}, distinct
+            self.known.clear()
+            missing = distinct
         self._learn(missing)
         get = self.known.__getitem__
         for text, own in zip(texts, words, strict=True):
