@@ -14,14 +14,20 @@ WIRE_DATE_FORMAT = "MMM d HH:mm:ss Z yyyy"
 # What can be a number at all.  Testing first keeps casts from failing, as a
 # failed cast costs far more than a match.
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+PLAIN = r"^\s*[+-]?(?:[0-9]+\.[0-9]*|\.[0-9]+)\s*$"
 NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
 
 def safe_int(text: Column, default: int | None = 0) -> Column:
     """Commas dropped, decimals truncated toward zero, anything else ``default``."""
     clean = F.replace(text, F.lit(","), F.lit(""))
-    number = F.when(clean.rlike(INTEGER), clean.try_cast("bigint")).when(
-        clean.rlike(NUMBER), clean.try_cast("decimal(38,18)").try_cast("bigint")
+    # A fraction is cut from the text: a cast to decimals would round it.
+    whole = F.substring_index(F.trim(clean), ".", 1)
+    whole = F.when(whole.isin("", "+", "-"), "0").otherwise(whole)
+    number = (
+        F.when(clean.rlike(INTEGER), clean.try_cast("bigint"))
+        .when(clean.rlike(PLAIN), whole.try_cast("bigint"))
+        .when(clean.rlike(NUMBER), clean.try_cast("decimal(38,18)").try_cast("bigint"))
     )
     return F.coalesce(number, F.lit(default).cast("bigint"))
 

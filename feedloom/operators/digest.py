@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.feed import FEED
+from feedloom.operators.feed import FEED, feed_changes
 
 
 def _lines(*parts: Column | str) -> Column:
@@ -55,10 +55,10 @@ def _section(title: str, count: str, change: str, *notes: str) -> Column:
 def render_digest(feed: DataFrame, changes: DataFrame, ledger: DataFrame) -> DataFrame:
     """``(run_id, operation, markdown)`` for every closed run of ``ledger``.
 
-    ``feed`` carries ``feed_pos``; the posts of one run are gathered only after
-    the feed cap, so a group never exceeds that many rows.
+    ``feed`` carries ``feed_pos``.  A section lists the posts that are new, or
+    updated, in that feed.  The posts of one feed make one text.
     """
-    posts = feed.join(changes.select("id", "change_type"), "id", "left").select(
+    posts = feed_changes(feed, changes).select(
         *FEED,
         F.struct(
             "feed_pos", "change_type", post_markdown(F.col("feed_pos")).alias("md")

@@ -45,35 +45,48 @@ def resolve_operations(requests: DataFrame, column: str = "operation") -> DataFr
     return requests.select(*others, F.posexplode(feeds).alias("feed_seq", column))
 
 
-def effective_count(count: int) -> int:
-    return max(0, min(count, MAX_COUNT))
+def effective_count(count: int, hard_cap: int = MAX_COUNT) -> int:
+    return max(0, min(count, hard_cap))
 
 
 def max_pages(count: int) -> int:
     return math.ceil(effective_count(count) / POSTS_PER_PAGE) + SPARE_PAGES
 
 
-def chain_pages(pages: DataFrame, count: int) -> DataFrame:
-    """Pages each feed keeps, with ``chain_no``.
+def chain_pages(
+    pages: DataFrame, count: int | None = None, parsed: DataFrame | None = None
+) -> DataFrame:
+    """Pages each feed keeps.
 
     A feed ends after a page without a next cursor, or whose next cursor is the
-    one that requested it, and never has more than ``max_pages(count)`` pages.
-    That bound is applied first: Spark limits each feed before the shuffle, so
-    the windows below see at most that many rows per feed and input task.
+    one that requested it.  Without ``count`` nothing else ends it: the first
+    such page is found by partial minima.  With ``count`` a feed has at most
+    ``max_pages(count)`` pages, and with ``parsed`` it also ends at the page
+    that brings its first-seen posts to ``count``.  The page bound is applied
+    first: Spark limits each feed before the shuffle, so the windows see at most
+    that many rows per feed and input task.
     """
-    feed = Window.partitionBy(*FEED)
-    ordered = feed.orderBy("page_no")
     cursor = F.col("next_cursor")
     stops = F.coalesce(cursor, F.lit("")).eqNullSafe("") | cursor.eqNullSafe(F.col("request_cursor"))
-    first = pages.withColumn("chain_no", F.row_number().over(ordered)).where(
-        F.col("chain_no") <= max_pages(count)
+    if count is None:
+        last = pages.where(stops).groupBy(*FEED).agg(F.min("page_no").alias("_last"))
+        kept = pages.join(last, list(FEED), "left")
+        return kept.where("_last IS NULL OR page_no <= _last").select(*pages.columns)
+    ordered = Window.partitionBy(*FEED).orderBy("page_no")
+    first = pages.withColumn("_no", F.row_number().over(ordered)).where(
+        F.col("_no") <= max_pages(count)
     )
+    if parsed is not None:
+        fresh = first_seen(parsed).groupBy(*PAGE).agg(F.count("*").alias("_fresh"))
+        first = first.join(fresh, list(PAGE), "left")
+        so_far = F.sum(F.coalesce("_fresh", F.lit(0))).over(
+            ordered.rowsBetween(Window.unboundedPreceding, 0)
+        )
+        first = first.withColumn("_full", so_far >= effective_count(count))
+        stops = stops | F.col("_full")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        first.withColumn("_ended", F.max(stops).over(before))
-        .where(~F.coalesce("_ended", F.lit(False)))
-        .drop("_ended")
-    )
+    ended = first.withColumn("_ended", F.coalesce(F.max(stops).over(before), F.lit(False)))
+    return ended.where("NOT _ended").select(*pages.columns)
 
 
 def first_seen(parsed: DataFrame) -> DataFrame:
@@ -87,20 +100,56 @@ def first_seen(parsed: DataFrame) -> DataFrame:
     return posts.withColumn("_seen", F.row_number().over(arrival)).where("_seen = 1").drop("_seen")
 
 
-def cap_feed(posts: DataFrame, count: int) -> DataFrame:
-    """First ``count`` posts of every feed in arrival order, as ``feed_pos``."""
+def cap_feed(posts: DataFrame, count: int | None = None, hard_cap: int = MAX_COUNT) -> DataFrame:
+    """Posts of every feed in arrival order, numbered as ``feed_pos``.
+
+    With ``count`` only the first ``min(count, hard_cap)`` stay.
+    """
     arrival = Window.partitionBy(*FEED).orderBy(*ARRIVAL)
-    return posts.withColumn("feed_pos", F.row_number().over(arrival)).where(
-        F.col("feed_pos") <= effective_count(count)
-    )
+    posts = posts.withColumn("feed_pos", F.row_number().over(arrival))
+    return posts if count is None else posts.where(F.col("feed_pos") <= effective_count(count, hard_cap))
 
 
-def assemble_feed(parsed: DataFrame, pages: DataFrame, count: int) -> DataFrame:
-    """Posts of each feed: kept pages only, first seen, capped, in order.
+def assemble_feed(parsed: DataFrame, pages: DataFrame, count: int | None = None) -> DataFrame:
+    """Posts of each feed: kept pages only, first seen, capped by ``count``, in order.
 
     Kept pages are a prefix of the chain, so cutting first and then removing
     repeats gives the same feed as doing both page by page.
     """
-    kept = chain_pages(pages, count).select(*PAGE)
+    kept = chain_pages(pages, count, parsed).select(*PAGE)
     on_kept = parsed.join(kept, list(PAGE), "left_semi")
     return cap_feed(first_seen(on_kept), count).drop("drop_reason")
+
+
+def merge_order(feed: DataFrame) -> DataFrame:
+    """Adds ``feed_order``, the order in which feeds reach the table.
+
+    Runs go by their earliest capture time, then by id; in a run home goes
+    before following.  Merge, ledger and digest all use this order.
+    """
+    if "feed_order" in feed.columns:
+        return feed
+    places = {name: i for i, name in enumerate(OPERATION_ALIASES["all"])}
+    seq = F.lit(len(places))
+    for name, i in places.items():
+        seq = F.when(F.col("operation") == name, i).otherwise(seq)
+    started = F.lit(None).cast("timestamp")
+    if "captured_at" in feed.columns:
+        runs = feed.groupBy("run_id").agg(F.min("captured_at").alias("_started"))
+        feed, started = feed.join(runs, "run_id"), F.col("_started")
+    order = F.struct(started.alias("started"), "run_id", seq.alias("feed_seq"), "operation")
+    return feed.withColumn("feed_order", order).drop("_started")
+
+
+def feed_changes(feed: DataFrame, changes: DataFrame) -> DataFrame:
+    """Posts of each feed with their ``change_type`` there.
+
+    An id new to the table is new in the first feed that has it and updated in
+    later ones.
+    """
+    rows = merge_order(feed)
+    first = rows.groupBy("id").agg(F.min("feed_order").alias("_first"))
+    new = changes.where("change_type = 'new'").select("id").join(first, "id")
+    rows = rows.join(new, "id", "left")
+    change = F.when(F.col("feed_order") == F.col("_first"), "new").otherwise("updated")
+    return rows.withColumn("change_type", change).drop("_first")

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.feed import FEED, chain_pages
+from feedloom.operators.feed import FEED, chain_pages, feed_changes
 from feedloom.operators.parse import timestamp_literal
 from feedloom.operators.stats import COUNTERS, parse_stats
 from feedloom.schemas import RUNS
@@ -43,17 +43,10 @@ def open_runs(
 def run_totals(feed: DataFrame, changes: DataFrame) -> DataFrame:
     """Fetched, new and updated posts per feed.
 
-    ``changes`` holds ``(id, change_type)``.  Feeds are merged in ``feed_seq``
-    order, so an id new to the table is new in the first feed that has it and
-    updated in later ones.
+    ``changes`` holds ``(id, change_type)``; feeds follow ``merge_order``.
     """
-    seq = F.col("feed_seq") if "feed_seq" in feed.columns else F.lit(0)
-    order = F.struct(seq, "run_id", "operation")
-    first = feed.groupBy("id").agg(F.min(order).alias("_first"))
-    known = changes.where("change_type = 'new'").join(first, "id").select("id", "_first")
-    rows = feed.withColumn("_order", order).join(known, "id", "left")
-    new = F.count_if(F.col("_order") == F.col("_first"))
-    return rows.groupBy(*FEED).agg(
+    new = F.count_if(F.col("change_type") == "new")
+    return feed_changes(feed, changes).groupBy(*FEED).agg(
         F.count("*").alias("tweets_fetched"),
         new.alias("tweets_new"),
         (F.count("*") - new).alias("tweets_updated"),
@@ -66,7 +59,7 @@ def close_runs(
     parsed: DataFrame,
     feed: DataFrame,
     changes: DataFrame,
-    count: int,
+    count: int | None,
     completed_at: datetime | str | Column,
 ) -> DataFrame:
     """Finished ledger rows.
@@ -75,14 +68,14 @@ def close_runs(
     ends the chain); ``cursor_resume`` is the last kept next cursor, and
     ``parse_stats`` covers the kept pages.
     """
-    kept = chain_pages(pages, count)
+    kept = chain_pages(pages, count, parsed)
     bad = F.col("status") != "ok"
     error = F.struct(
         F.lit(PAGE_ERROR).alias("code"), F.col("error_message").alias("message")
     )
     chains = kept.groupBy(*FEED).agg(
-        F.min_by(F.when(bad, error), F.when(bad, F.col("chain_no"))).alias("_error"),
-        F.max_by("next_cursor", F.when(F.col("next_cursor") != "", F.col("chain_no"))).alias(
+        F.min_by(F.when(bad, error), F.when(bad, F.col("page_no"))).alias("_error"),
+        F.max_by("next_cursor", F.when(F.col("next_cursor") != "", F.col("page_no"))).alias(
             "_cursor"
         ),
     )

@@ -1,6 +1,6 @@
 """Page payloads written from plain tables, for queries over given data.
 
-Every builder works per row or groups at most ``PAGE_SIZE`` rows, so pages can
+Builders work per row or group the rows of one page or conversation, so pages can
 be built from tables of any size.  Nodes are JSON text columns.
 """
 
@@ -105,7 +105,7 @@ def page(entries: Column, shape: str = HOME) -> Column:
 
 
 def thread_pages(conversations: DataFrame) -> DataFrame:
-    """One page per conversation part of ``PAGE_SIZE`` turns: a single module.
+    """One page per conversation: a single module.
 
     Each turn replies to the one before it.
     """
@@ -114,17 +114,16 @@ def thread_pages(conversations: DataFrame) -> DataFrame:
         F.col("turn") > 0, member("in_reply_to_status_id_str", template('"%s"', turn_id - 1))
     )
     node = post_node(turn_id, F.col("conv_id") + 1, F.col("role"), F.col("text"), reply)
-    part = F.floor(F.col("turn") / PAGE_SIZE)
     grouped = (
-        conversations.select("conv_id", part.alias("part"), F.struct("turn", node.alias("n")).alias("p"))
-        .groupBy("conv_id", "part")
+        conversations.select("conv_id", F.struct("turn", node.alias("n")).alias("p"))
+        .groupBy("conv_id")
         .agg(F.array_sort(F.collect_list("p")).alias("ps"))
     )
     module = module_entry(F.transform("ps", lambda p: p["n"]))
     return grouped.select(
         F.concat(F.lit("conv-"), F.col("conv_id")).alias("run_id"),
         F.lit("home").alias("operation"),
-        F.col("part").cast("int").alias("page_no"),
+        F.lit(0).alias("page_no"),
         page(F.array(module)).alias("value"),
     )
 

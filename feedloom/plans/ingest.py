@@ -6,11 +6,11 @@ import tempfile
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.digest import render_digest, write_digest
-from feedloom.operators.feed import FEED, OPERATION_ALIASES, assemble_feed
+from feedloom.operators.feed import FEED, assemble_feed, merge_order
 from feedloom.operators.flatten import flatten_timeline, page_summary
 from feedloom.operators.ledger import close_runs, open_runs
 from feedloom.operators.maintenance import split_valid, validate_tweets
@@ -21,8 +21,6 @@ from feedloom.session import configure
 from feedloom.sources.payloads import ingest_payloads
 from feedloom.sources.tables import RANGE_BITS, VersionedTable
 
-DEFAULT_COUNT = 30
-
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a step once and go on from the files: no recomputation, no lineage."""
@@ -33,10 +31,13 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the checkpoint folder that all executors reach.
 
-    Only where no such folder is configured (tests) a local one is used.
+    Where no such folder is configured, a local master (tests) gets a temporary
+    one; any other master must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix="feedloom-")
     return f"{base.rstrip('/')}/feedloom-{uuid.uuid4().hex}"
 
@@ -46,15 +47,6 @@ def parse_pages(pages: DataFrame, ingest_ts: datetime | str) -> DataFrame:
     return parse_tweets(flatten_timeline(ingest_payloads(pages)), ingest_ts)
 
 
-def feed_order() -> Column:
-    """Arrival order of posts over feeds: capture time, home before following."""
-    places = {name: i for i, name in enumerate(OPERATION_ALIASES["all"])}
-    seq = F.lit(len(places))
-    for name, i in places.items():
-        seq = F.when(F.col("operation") == name, i).otherwise(seq)
-    return F.struct(F.col("captured_at"), seq.alias("feed_seq"), F.col("run_id"), F.col("feed_pos"))
-
-
 def tweet_table(spark: SparkSession, path: str, range_bits: int = RANGE_BITS) -> VersionedTable:
     return VersionedTable(spark, f"{path}/tweets", TWEETS, range_bits)
 
@@ -64,7 +56,7 @@ def ingest_batch(
     path: str,
     version: int,
     ingest_ts: datetime | str | None = None,
-    count: int = DEFAULT_COUNT,
+    count: int | None = None,
     range_bits: int = RANGE_BITS,
     on_violation: str = "quarantine",
 ) -> bool:
@@ -74,6 +66,8 @@ def ingest_batch(
     value`` and optionally ``http_status``; all pages of a run belong in one
     batch.  ``ingest_ts`` defaults to the latest capture time, so a replayed
     batch gives the same rows; a version that was stored is left as it is.
+    Every captured post is kept; ``count`` limits each feed as a crawler would
+    (at most 500 posts, and the pages that many need).
     Posts that break a constraint of the table are kept aside under
     ``quarantine``, or with ``on_violation="fail"`` stop the whole batch.
     """
@@ -96,14 +90,14 @@ def ingest_batch(
         f"{path}/checked/v={version}",
     )
     valid, broken = split_valid(checked, on_violation)
-    feed = stored(valid, f"{path}/feeds/v={version}")
+    feed = stored(merge_order(valid), f"{path}/feeds/v={version}")
     broken.write.mode("overwrite").parquet(f"{path}/quarantine/v={version}")
     if not done:
         posts.commit(
-            version, feed, lambda cur, new: merge_tweets(cur, new, ingest_ts, feed_order())
+            version, feed, lambda cur, new: merge_tweets(cur, new, ingest_ts, F.struct("feed_order", "feed_pos"))
         )
     changes = posts.changes(version)
-    opened = open_runs(summary.select(*FEED).distinct(), ingest_ts, {"count": str(count)})
+    opened = open_runs(summary.select(*FEED).distinct(), ingest_ts, {"count": "all" if count is None else str(count)})
     runs = stored(
         close_runs(opened, summary, parsed, feed, changes, count, ingest_ts),
         f"{path}/runs/v={version}",

@@ -47,7 +47,7 @@ _STATS = ",\n".join(
 )
 
 
-def _event_feed(count: int, pages: int) -> str:
+def _event_feed(count: int, pages: int, stop: bool = True) -> str:
     """CTEs ``chain`` (kept pages) and ``feed`` (capped posts) over events."""
     return f"""
     ev AS (
@@ -64,11 +64,20 @@ def _event_feed(count: int, pages: int) -> str:
              WHEN mark % 31 = 19 THEN 'c' || page ELSE 'c' || (page + 1) END AS nxt
       FROM pg
     ),
+    fresh AS (
+      SELECT run, page, count(*) AS fresh FROM (
+        SELECT ev.run, user_id, min(ev.page) AS page FROM ev JOIN pg2 ON ev.run = pg2.run AND ev.page = pg2.page
+        WHERE NOT bad AND user_id <> 0 GROUP BY ev.run, user_id) GROUP BY run, page
+    ),
+    filled AS (
+      SELECT pg2.*, sum(coalesce(fresh, 0)) OVER (PARTITION BY pg2.run ORDER BY pg2.page) AS so_far
+      FROM pg2 LEFT JOIN fresh ON pg2.run = fresh.run AND pg2.page = fresh.page
+    ),
     pg3 AS (
       SELECT *, row_number() OVER w AS chain_no,
-        max(CASE WHEN coalesce(nxt, '') = '' OR nxt = request THEN 1 ELSE 0 END)
+        max(CASE WHEN coalesce(nxt, '') = '' OR nxt = request OR {str(stop).lower()} AND so_far >= {count} THEN 1 ELSE 0 END)
           OVER (PARTITION BY run ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ended
-      FROM pg2 WINDOW w AS (PARTITION BY run ORDER BY page)
+      FROM filled WINDOW w AS (PARTITION BY run ORDER BY page)
     ),
     chain AS (SELECT * FROM pg3 WHERE chain_no <= {pages} AND coalesce(ended, 0) = 0),
     kept AS (
@@ -225,7 +234,7 @@ _THREADS = """
       CASE WHEN a.turn > 0 THEN a.conv_id * 1000 + a.turn END AS reply_to_tweet_id,
       {handle} b.text AS reply_to_text
     FROM conversations a LEFT JOIN conversations b
-      ON a.conv_id = b.conv_id AND a.turn = b.turn + 1 AND a.turn // 40 = b.turn // 40
+      ON a.conv_id = b.conv_id AND a.turn = b.turn + 1
 """
 
 ORACLES: dict[str, str] = {
@@ -323,7 +332,7 @@ ORACLES: dict[str, str] = {
       FROM feed
     """,
     "page_chain": f"""
-      WITH {_event_feed(500, 27)}
+      WITH {_event_feed(500, 27, stop=False)}
       SELECT 'run-' || run AS run_id, CAST(page AS INTEGER) AS page_no,
         CASE WHEN bad THEN 'api_error' ELSE 'ok' END AS status,
         request AS request_cursor, nxt AS next_cursor
@@ -349,10 +358,10 @@ ORACLES: dict[str, str] = {
     "digest": f"""
       WITH {_event_feed(100, 7)}, {_TOTALS},
       post AS (
-        SELECT run, pos, user_id IN (SELECT s_suppkey FROM supplier) AS known,
+        SELECT run, pos, coalesce(first_run <> 'run-' || run, true) AS known,
           '### [' || pos || '] @' || event_type || ' (' || strftime(ts, '%Y-%m-%d %H:%M')
             || ' UTC)' || chr(10) || chr(10) || '> event ' || event_id || chr(10) || chr(10) AS md
-        FROM feed),
+        FROM feed LEFT JOIN first_run USING (user_id)),
       part AS (
         SELECT run, string_agg(md, chr(10) ORDER BY pos) FILTER (NOT known) AS fresh_md,
           string_agg(md, chr(10) ORDER BY pos) FILTER (known) AS known_md

@@ -34,16 +34,6 @@ def _read_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Deal a small input out to all cores before per-row work.
-
-    Only an input with fewer splits than there are cores is moved; a large one
-    is read as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 class VersionedTable:
     """A table keyed by ``id`` with numbered, atomic versions."""
 

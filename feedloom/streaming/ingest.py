@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.operators.flatten import flatten_timeline
 from feedloom.operators.parse import parse_tweets
-from feedloom.plans.ingest import DEFAULT_COUNT, RANGE_BITS, ingest_batch
+from feedloom.plans.ingest import RANGE_BITS, ingest_batch
 from feedloom.session import configure
 from feedloom.sources.payloads import ingest_payloads
 
@@ -46,9 +46,10 @@ def stream_ingest(
     in_dir: str,
     table: str,
     checkpoint: str,
-    count: int = DEFAULT_COUNT,
+    count: int | None = None,
     max_files: int | None = None,
     range_bits: int = RANGE_BITS,
+    on_violation: str = "quarantine",
 ) -> StreamingQuery:
     """Merge every arriving file into the tables under ``table``, then stop.
 
@@ -58,7 +59,9 @@ def stream_ingest(
     configure(spark)
 
     def run(pages: DataFrame, batch_id: int) -> None:
-        ingest_batch(pages, table, batch_id, count=count, range_bits=range_bits)
+        ingest_batch(
+            pages, table, batch_id, count=count, range_bits=range_bits, on_violation=on_violation
+        )
 
     return (
         read_capture_stream(spark, in_dir, max_files)

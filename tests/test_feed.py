@@ -5,11 +5,12 @@ import random
 
 import pytest
 import shapes as s
+from pyspark.sql import functions as F
 
 from feedloom.operators.digest import render_digest
-from feedloom.operators.feed import assemble_feed, chain_pages, max_pages, resolve_operations
+from feedloom.operators.feed import assemble_feed, chain_pages, feed_changes, max_pages, resolve_operations
 from feedloom.operators.flatten import flatten_timeline, page_summary
-from feedloom.operators.ledger import close_runs, open_runs
+from feedloom.operators.ledger import close_runs, open_runs, run_totals
 from feedloom.operators.merge import change_types
 from feedloom.operators.parse import parse_tweets
 from feedloom.operators.stats import parse_stats
@@ -166,3 +167,35 @@ def test_ledger_and_digest(spark):
         "> Replying to @bo: two", "", "", "URLs: u1, u2", "",
     ]
     assert texts["r3"].endswith("| **Updated** | 0 |\n| **Errors** | [{\"code\":\"SCRAPE_ERROR\",\"message\":\"invalid JSON\"}] |\n")
+
+
+def test_feeds_of_a_run_share_an_order(spark):
+    """An id in both feeds is new in home; runs go by capture time, not by name."""
+    rows = [
+        ("z", "following", 1, 1, "2026-01-01 00:00:00"), ("z", "following", 3, 2, "2026-01-01 00:00:00"),
+        ("z", "home", 1, 1, "2026-01-01 00:05:00"), ("z", "home", 2, 2, "2026-01-01 00:05:00"),
+        ("a", "home", 3, 1, "2026-01-02 00:00:00"), ("a", "home", 4, 2, "2026-01-02 00:00:00"),
+    ]
+    feed = spark.createDataFrame(rows, "run_id string, operation string, id long, feed_pos int, captured string")
+    feed = feed.withColumn("captured_at", F.col("captured").cast("timestamp"))
+    changes = change_types(spark.createDataFrame([], "id bigint"), feed)
+    got = {(r.run_id, r.operation): (r.tweets_new, r.tweets_updated) for r in run_totals(feed, changes).collect()}
+    assert got == {("z", "home"): (2, 0), ("z", "following"): (1, 1), ("a", "home"): (1, 1)}
+    new = {(r.run_id, r.operation, r.id) for r in feed_changes(feed, changes).where("change_type = 'new'").collect()}
+    assert new == {("z", "home", 1), ("z", "home", 2), ("z", "following", 3), ("a", "home", 4)}
+
+
+def test_no_count_keeps_everything(spark):
+    pages = spark.createDataFrame([("r", "home", n, f"c{n}" if n else None, f"c{n + 1}") for n in range(40)], PAGES)
+    posts = [("r", "home", n, 0, e, 0, None, n * 20 + e + 1) for n in range(40) for e in range(20)]
+    parsed = spark.createDataFrame(posts, PARSED)
+    assert assemble_feed(parsed, pages).count() == 800
+    assert assemble_feed(parsed, pages, 10_000).count() == 500
+
+
+def test_chain_stops_at_count(spark):
+    pages = spark.createDataFrame([("r", "home", n, f"c{n}" if n else None, f"c{n + 1}") for n in range(5)], PAGES)
+    posts = [("r", "home", n, 0, e, 0, None, i) for n, ids in enumerate(((1, 2), (2, 3), (4,))) for e, i in enumerate(ids)]
+    parsed = spark.createDataFrame(posts, PARSED)
+    kept = [r.page_no for r in chain_pages(pages, 3, parsed).orderBy("page_no").collect()]
+    assert kept == [0, 1]

@@ -1,10 +1,5 @@
 from __future__ import annotations
 
-import decimal
-import html
-import re
-import unicodedata
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -17,24 +12,6 @@ from feedloom.operators.redact import redact_table, secret_report
 RELAXED = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
-def canonical(raw):
-    """The eight steps, written from their description."""
-    if not raw:
-        return ""
-    text = html.unescape(unicodedata.normalize("NFKC", raw))
-    for char in "‘’":
-        text = text.replace(char, "'")
-    for char in "“”«»":
-        text = text.replace(char, '"')
-    text = text.replace("—", "--").replace("–", "-").replace("…", "...").replace(" ", " ")
-    hidden = {0xAD, 0x180E, 0xFEFF, *range(0x200B, 0x2010), *range(0x2060, 0x2065)}
-    text = "".join(c for c in text if ord(c) not in hidden)
-    text = re.sub(r"\s*https?://t\.co/\w+\s*$", "", text)
-    text = re.sub(r"[ \t]+", " ", text)
-    text = re.sub(r"\n\n\n+", "\n\n", text)
-    return text.strip()
-
-
 PIECES = st.sampled_from(
     [
         "word", "Ünï", " ", "  ", "\t", "\n", "\n\n\n", "\r\n", "—", "…", "“", "»", " ", "​",
@@ -44,17 +21,22 @@ PIECES = st.sampled_from(
 )
 TEXTS = st.lists(st.one_of(PIECES, st.characters(exclude_categories=("Cs",))), max_size=12).map("".join)
 
+# Input and expected text, worked out by hand.
 EXAMPLES = [
-    None,
-    "",
-    "Smart—quote… text https://t.co/abc123",
-    "a https://t.co/one https://t.co/two",
-    "https://t.co/only",
-    "&amp;lt; &lt;",
-    "x\n\n\n\ny",
-    " \t x  ",
-    "&nbsp;x&nbsp;",
-    "y https://t.co/a​b",
+    (None, ""),
+    ("", ""),
+    ("Wait\u2014what\u2026 https://t.co/zz9", "Wait--what..."),
+    ("a https://t.co/one https://t.co/two", "a https://t.co/one"),
+    ("https://t.co/only", ""),
+    ("&amp;lt; &lt;", "&lt; <"),
+    ("x\n\n\n\ny", "x\n\ny"),
+    (" \t x  ", "x"),
+    ("&nbsp;x&nbsp;", "x"),
+    ("\u201cq\u201d \u2018r\u2019", "\"q\" 'r'"),
+    ("\u00abq\u00bb 1\u20132", "\"q\" 1-2"),
+    ("so\u00adft\u200b", "soft"),
+    ("\ufb01n \u2460", "fin 1"),
+    ("keep http://t.co/a b", "keep http://t.co/a b"),
 ]
 
 
@@ -65,14 +47,16 @@ def run_normalize(spark, texts):
 
 
 def test_normalize_examples(spark):
-    assert run_normalize(spark, EXAMPLES) == [canonical(t) for t in EXAMPLES]
-    assert run_normalize(spark, ["Smart—quote… text https://t.co/abc123"]) == ["Smart--quote... text"]
+    assert run_normalize(spark, [t for t, _ in EXAMPLES]) == [n for _, n in EXAMPLES]
 
 
 @RELAXED
 @given(st.lists(TEXTS, min_size=20, max_size=60))
 def test_normalize_any_text(spark, texts):
-    assert run_normalize(spark, texts) == [canonical(t) for t in texts]
+    for clean in run_normalize(spark, texts):
+        assert clean == clean.strip()
+        assert not set("\u2018\u2019\u201c\u201d\u2014\u2026\u200b\u00ad") & set(clean)
+        assert "  " not in clean and "\t" not in clean and "\n\n\n" not in clean
 
 
 def test_normalize_arrays(spark):
@@ -89,31 +73,24 @@ def test_long_blank_runs_stay_fast(spark):
 # ── integers ─────────────────────────────────────────────────────────────
 
 
-def tolerant(value):
-    text = str(value).replace(",", "").strip()
-    try:
-        return int(text)
-    except ValueError:
-        try:
-            return int(decimal.Decimal(text))
-        except (decimal.InvalidOperation, ValueError):
-            return 0
-
-
-NUMBERS = st.one_of(
-    st.integers(-(10**18), 10**18).map(str),
-    st.integers(0, 10**12).map("{:,}".format),
-    st.decimals(-(10**9), 10**9, places=6).map(str),
-    st.sampled_from(["", " 7 ", "+5", "1e3", "1.5e2", "nan", "x1", "1.2.3", "--1", "12.999999999999"]),
-)
-
-
 @RELAXED
-@given(st.lists(NUMBERS, min_size=20, max_size=40))
-def test_safe_int(spark, texts):
+@given(st.lists(st.integers(-(10**18), 10**18), min_size=20, max_size=40), st.integers(0, 10**30))
+def test_safe_int_truncates(spark, numbers, fraction):
+    """Grouping commas and fractions of any length change nothing."""
+    texts = [f(n) for n in numbers for f in (str, "{:,}".format, f"{{}}.{fraction}".format)]
     frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     rows = frame.select("i", safe_int(F.col("t")).alias("n")).collect()
-    assert [r.n for r in sorted(rows)] == [tolerant(t) for t in texts]
+    assert [r.n for r in sorted(rows)] == [n for n in numbers for _ in range(3)]
+
+
+def test_safe_int_examples(spark):
+    expected = {
+        "": 0, " 7 ": 7, "+5": 5, "1e3": 1000, "1.5e2": 150, "nan": 0, "x1": 0, "1.2.3": 0, "--1": 0,
+        "12.9999999999999999999": 12, "-0.5": 0, ".5": 0, "-3.99": -3, ".": 0,
+    }
+    frame = spark.createDataFrame([(t,) for t in expected], "t string")
+    rows = frame.select("t", safe_int(F.col("t")).alias("n")).collect()
+    assert {r.t: r.n for r in rows} == expected
 
 
 def test_other_integers(spark):
@@ -126,37 +103,35 @@ def test_other_integers(spark):
 
 # ── redaction ────────────────────────────────────────────────────────────
 
-KEYS = "auth_token ct0 cookie authorization x-csrf-token x-guest-token bearer password token secret api_key".split()
-
-
-def masked(value):
-    return "*" * len(value) if len(value) <= 8 else value[:4] + "*" * (len(value) - 8) + value[-4:]
-
-
-def redacted(text, scheme=""):
-    key = "|".join(KEYS)
-    pattern = rf"({key})\s*[=:]\s*[\"']?{scheme}(\S+)"
-    return re.sub(pattern, lambda m: f"{m[1]}={masked(m[2])}", text, flags=re.IGNORECASE)
+# Text, its plain and its strict redaction, worked out by hand.
+LINES = [
+    ("token=12345678", "token=********", "token=********"),
+    ("Token: '123456789' x", "Token=1234**789' x", "Token=1234**789' x"),
+    ("password = \"abc", "password=***", "password=***"),
+    ("ct0:ab cookie=cd", "ct0=** cookie=**", "ct0=** cookie=**"),
+    ("api_key=Bearer 123456789", "api_key=****** 123456789", "api_key=1234*6789"),
+    ("secret=$1\\\\2", "secret=*****", "secret=*****"),
+    ("tokens are fine", "tokens are fine", "tokens are fine"),
+    ("nothing", "nothing", "nothing"),
+]
 
 
-STRICT = r"(?:(?:bearer|basic|digest)\s+)?"
-LINES = st.lists(
-    st.sampled_from(
-        [*KEYS, "Token", "PASSWORD", "apikey", "=", ":", " = ", ": ", '"', "'", " ", "\n", " ", "12345678",
-         "123456789", "Bearer ", "basic ", "é", "==", "x", "$1", "\\1"]
-    ),
-    max_size=14,
-).map("".join)
+def test_redact_text(spark):
+    frame = spark.createDataFrame([(i, t[0], t[0]) for i, t in enumerate(LINES)], "i int, t string, u string")
+    plain = redact_table(frame, ["t"], mode="plain")
+    both = sorted(redact_table(plain, ["u"], mode="strict").collect())
+    assert [(r.t, r.u) for r in both] == [(p, s) for _, p, s in LINES]
 
 
 @RELAXED
-@given(st.lists(LINES, min_size=20, max_size=60))
-def test_redact_text(spark, texts):
-    frame = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "i int, t string, u string")
-    plain = redact_table(frame, ["t"], mode="plain")
-    both = redact_table(plain, ["u"], mode="strict").collect()
-    assert [r.t for r in sorted(both)] == [redacted(t) for t in texts]
-    assert [r.u for r in sorted(both)] == [redacted(t, STRICT) for t in texts]
+@given(st.lists(st.text(st.characters(min_codepoint=33, max_codepoint=126, exclude_characters="\"'=:"), min_size=1), min_size=5, max_size=20))
+def test_only_the_secret_changes(spark, secrets):
+    frame = spark.createDataFrame([(i, f"see token={x} end") for i, x in enumerate(secrets)], "i int, t string")
+    for r in redact_table(frame, ["t"], mode="plain").collect():
+        kept = r.t.removeprefix("see token=").removesuffix(" end")
+        secret = secrets[r.i]
+        assert len(kept) == len(secret) and "*" in kept
+        assert all(a in (b, "*") for a, b in zip(kept, secret, strict=True))
 
 
 def test_authorization_header(spark):
@@ -172,7 +147,7 @@ def test_redact_collections(spark):
     )
     row = redact_table(frame, ["m", "a"]).first()
     assert row.m == {"TOKEN": "1234*6789", "city": "x" * 50, "apikey": "***", "ct0": None}
-    assert row.a == ["a" * 39, masked("a" * 40), "b c", None, masked("f" * 40 + "\n")]
+    assert row.a == ["a" * 39, "aaaa" + "*" * 32 + "aaaa", "b c", None, "ffff" + "*" * 33 + "fff\n"]
 
 
 def test_mask_lengths(spark):
