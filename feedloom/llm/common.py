@@ -35,7 +35,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 # Rows of whole texts that one Arrow batch may carry to a Python worker.
-TEXT_ROWS = 1024
+TEXT_ROWS = 256
 
 
 def long_rows(df: DataFrame) -> DataFrame:
