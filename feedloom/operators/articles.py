@@ -35,25 +35,27 @@ def blocks_to_markdown(blocks: Column) -> Column:
     """Markdown of an ``array<struct<type:string,text:string>>``.
 
     Skipped and empty blocks leave a numbered list running; any other block
-    restarts it.  Works inside the row: no explode, no shuffle.
+    restarts it.  Works inside the row in time proportional to its blocks: the
+    numbers come from the lengths of the runs of numbered blocks.
     """
     shown = F.filter(
         blocks,
         lambda b: ~F.coalesce(b["type"] == SKIPPED, F.lit(False))
         & (F.coalesce(b["text"], F.lit("")) != ""),
     )
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("parts"))
-
-    def step(done: Column, block: Column) -> Column:
-        number = F.when(block["type"] == NUMBERED, done["n"] + 1).otherwise(F.lit(0))
-        return F.struct(
-            number.alias("n"),
-            F.concat(done["parts"], F.array(_block_markdown(block["type"], block["text"], number))).alias(
-                "parts"
-            ),
-        )
-
-    return F.aggregate(shown, start, step, lambda done: F.array_join(done["parts"], "\n\n"))
+    marks = F.transform(shown, lambda b: F.when(b["type"] == NUMBERED, F.lit("n")).otherwise(F.lit("|")))
+    runs = F.split(F.array_join(marks, ""), r"\|", -1)
+    # A run counts up; the block that ends it has no number.
+    counted = F.transform(
+        runs,
+        lambda r: F.concat(
+            F.when(r == "", F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.length(r))),
+            F.array(F.lit(0)),
+        ),
+    )
+    numbers = F.slice(F.flatten(counted), F.lit(1), F.size(shown))
+    parts = F.zip_with(shown, numbers, lambda b, n: _block_markdown(b["type"], b["text"], n))
+    return F.array_join(parts, "\n\n")
 
 
 def articles_to_markdown(posts: DataFrame, column: str = "v") -> DataFrame:

@@ -177,6 +177,23 @@ def _offered(facts: str) -> Column:
     )
 
 
+def _place(post_id: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(post_id), buckets).cast("int")
+
+
+@reused
+def _placed(offered: str, buckets: str) -> Column:
+    return F.transform(offered, lambda p: p.withField("place", _place(p["id"], F.col(buckets))))
+
+
+@reused
+def _buckets(offered: str, buckets: str) -> Column:
+    return F.transform(
+        F.sequence(F.lit(0), F.col(buckets) - 1),
+        lambda k: F.filter(offered, lambda p: p["place"] == k),
+    )
+
+
 def flatten_timeline(payloads: DataFrame) -> DataFrame:
     """One row per candidate of every ``ok`` page.
 
@@ -222,18 +239,22 @@ def flatten_timeline(payloads: DataFrame) -> DataFrame:
         F.transform("_facts", lambda f: f["id"]), F.transform("_facts", lambda f: f["reply_to"])
     )
     entries = entries.withColumn("_facts", F.when(thread, F.col("_facts")))
+    # Parents by hash of their id in about the square root of their number of
+    # buckets; a reply searches one bucket, never the whole module.
     entries = entries.withColumn("_offered", _offered("_facts"))
+    entries = entries.withColumn("_n", F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_offered"))).cast("int")))
+    entries = entries.withColumn("_offered", _placed("_offered", "_n"))
+    entries = entries.withColumn("_buckets", F.when(F.col("_offered").isNotNull(), _buckets("_offered", "_n")))
 
     def parent(reply_to: Column) -> Column:
-        return F.try_element_at(
-            F.filter("_offered", lambda p: p["id"] == reply_to), F.lit(-1)
-        )
+        bucket = F.get("_buckets", _place(reply_to, F.col("_n")))
+        return F.try_element_at(F.filter(bucket, lambda p: p["id"] == reply_to), F.lit(-1))
 
     found = F.transform(
         "_facts",
         lambda f: F.when(f["reply_to"].isNotNull(), parent(f["reply_to"])),
     )
-    none = F.array().cast("array<struct<id:bigint,handle:string,text:string>>")
+    none = F.array().cast("array<struct<id:bigint,handle:string,text:string,place:int>>")
     entries = entries.withColumn("_found", F.coalesce(found, none)).withColumn(
         "_items",
         F.transform(

@@ -141,6 +141,12 @@ def split_valid(validated: DataFrame, mode: str = "quarantine") -> tuple[DataFra
     return validated.where(~broken).drop("violations"), quarantine
 
 
+def side_counts(validated: DataFrame) -> DataFrame:
+    """Rows on each ``side`` (``valid``, ``quarantine``), counted in one pass."""
+    side = F.when(F.size("violations") > 0, "quarantine").otherwise("valid")
+    return validated.groupBy(side.alias("side")).agg(F.count("*").alias("n"))
+
+
 def with_defaults(table: DataFrame) -> DataFrame:
     """Column defaults of the posts table where a value is missing."""
     defaults = {

@@ -30,18 +30,27 @@ def parse_profiles(payloads: DataFrame) -> DataFrame:
 
     ``requested_name`` (if the payloads have it) is the fallback for a missing
     screen name.  Users that cannot be read keep their keys and a
-    ``drop_reason``.
+    ``drop_reason``.  The profile is exploded from an array of at most one, so a
+    filter on its columns stays above it and the payload is parsed once.
     """
     keys = [c for c in payloads.columns if c not in RAW_COLUMNS + STATUS_COLUMNS]
     asked = F.col("requested_name") if "requested_name" in keys else F.lit("")
-    rows = (
-        payloads.where("status = 'ok'")
-        .withColumn("_node", take(F.col("v"), "variant", USER_PATH))
-        .where(truthy(F.col("_node")))
-        .withColumn("_user", take(F.col("_node"), USER))
-        .withColumn("_legacy", take(F.col("_user.legacy"), LEGACY))
+    readable = F.when(F.col("status") == "ok", F.col("v"))
+    nodes = F.filter(F.array(take(readable, "variant", USER_PATH)), truthy)
+    users = F.transform(nodes, lambda n: take(n, USER))
+    read = F.transform(
+        users, lambda u: F.struct(u.alias("user"), take(u["legacy"], LEGACY).alias("legacy"))
     )
-    user, legacy = F.col("_user"), F.col("_legacy")
+    profiles = F.transform(F.transform(read, lambda r: _profile(r["user"], r["legacy"], asked)), _judged)
+    rows = payloads.select(*keys, F.posexplode_outer(profiles).alias("_at", "_profile"))
+    return rows.where("_at IS NOT NULL").select(*keys, "_profile.*")
+
+
+TEXTS = ("screen_name", "name", "bio", "profile_image_url")
+
+
+def _profile(user: Column, legacy: Column, asked: Column) -> Column:
+    """The columns of a profile, and ``_bad`` for a user that cannot be read."""
 
     def text(field: str, missing: Column) -> Column:
         node = legacy[field]
@@ -63,10 +72,13 @@ def parse_profiles(payloads: DataFrame) -> DataFrame:
         "profile_image_url": text("profile_image_url_https", F.lit("")),
     }
     unreadable = user.isNull() | (present(user["legacy"]) & legacy.isNull())
-    named = rows.select(*keys, unreadable.alias("_bad"), *[c.alias(n) for n, c in columns.items()])
-    texts = ("screen_name", "name", "bio", "profile_image_url")
-    invalid = F.col("id").isNull()
-    for name in texts:
-        invalid = invalid | F.col(name).isNull()
-    reason = F.when(F.col("_bad"), "dropped_exception").when(invalid, "dropped_schema_fail")
-    return named.withColumn("drop_reason", reason).drop("_bad")
+    return F.struct(unreadable.alias("_bad"), *[c.alias(n) for n, c in columns.items()])
+
+
+def _judged(profile: Column) -> Column:
+    """The profile with its ``drop_reason`` instead of ``_bad``."""
+    invalid = profile["id"].isNull()
+    for name in TEXTS:
+        invalid = invalid | profile[name].isNull()
+    reason = F.when(profile["_bad"], "dropped_exception").when(invalid, "dropped_schema_fail")
+    return profile.withField("drop_reason", reason).dropFields("_bad")

@@ -6,8 +6,21 @@ not share any step with the Spark code they check.
 
 from __future__ import annotations
 
-from feedloom.functions.redaction import TEXT_KEYS
-from feedloom.operators.search import STOP_WORDS
+# Keys looked for in text, and English stop words.
+TEXT_KEYS = (
+    r"auth_token|ct0|cookie|authorization|x-csrf-token|x-guest-token"
+    r"|bearer|password|token|secret|api_key"
+)
+STOP_WORDS = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him
+    his himself she her hers herself it its itself they them their theirs themselves
+    what which who whom this that these those am is are was were be been being have
+    has had having do does did doing a an the and but if or because as until while of
+    at by for with about against between into through during before after above below
+    to from up down in out on off over under again further then once here there when
+    where why how all any both each few more most other some such no nor not only own
+    same so than too very s t can will just don should now
+""".split()
 
 TIME = "'%Y-%m-%d %H:%M:%S'"
 INGEST = "'2024-02-01 00:00:00'"
@@ -273,20 +286,20 @@ ORACLES: dict[str, str] = {
     """,
     "retweet_quote": """
       SELECT a.doc_id AS run_id,
-        CASE WHEN a.doc_id % 2 = 0 THEN a.doc_id + 2 ELSE a.doc_id + 1 END AS id,
-        CASE WHEN a.doc_id % 2 = 0 THEN a.doc_id + 2 ELSE a.doc_id + 1 END AS author_id,
-        CASE WHEN a.doc_id % 2 = 0 THEN b.source ELSE a.source END AS author_handle,
-        CASE WHEN a.doc_id % 2 = 0 THEN b.text ELSE a.text END AS text,
-        CASE WHEN a.doc_id % 2 = 0 THEN a.doc_id + 1 ELSE a.doc_id + 2 END AS quoted_tweet_id,
-        CASE WHEN a.doc_id % 2 = 0 THEN a.source ELSE b.source END AS quoted_author_handle,
-        CASE WHEN a.doc_id % 2 = 0 THEN a.text ELSE b.text END AS quoted_text
-      FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1
+        CASE WHEN a.doc_id % 2 = 0 AND b.doc_id IS NOT NULL THEN a.doc_id + 2 ELSE a.doc_id + 1 END AS id,
+        CASE WHEN a.doc_id % 2 = 0 AND b.doc_id IS NOT NULL THEN a.doc_id + 2 ELSE a.doc_id + 1 END AS author_id,
+        CASE WHEN a.doc_id % 2 = 0 AND b.doc_id IS NOT NULL THEN b.source ELSE a.source END AS author_handle,
+        CASE WHEN a.doc_id % 2 = 0 AND b.doc_id IS NOT NULL THEN b.text ELSE a.text END AS text,
+        CASE WHEN b.doc_id IS NULL THEN NULL WHEN a.doc_id % 2 = 0 THEN a.doc_id + 1 ELSE a.doc_id + 2 END AS quoted_tweet_id,
+        CASE WHEN a.doc_id % 2 = 0 AND b.doc_id IS NOT NULL THEN a.source ELSE b.source END AS quoted_author_handle,
+        CASE WHEN a.doc_id % 2 = 0 AND b.doc_id IS NOT NULL THEN a.text ELSE b.text END AS quoted_text
+      FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1
     """,
     "media_best_variant": """
       WITH v AS (
-        SELECT user_id, event_id // 64 AS part, event_id,
+        SELECT user_id % 50 AS user_id, event_id // 2048 AS part, event_id,
           event_type IN ('view', 'click', 'purchase') AS mp4,
-          CASE WHEN event_type = 'view' THEN 0 ELSE CAST(round(value / 10) AS BIGINT) END AS rate
+          CASE WHEN event_type = 'view' THEN 0 ELSE CAST(floor(value / 50) AS BIGINT) END AS rate
         FROM events),
       best AS (
         SELECT user_id, part, first(event_id ORDER BY rate DESC, event_id) AS event_id
@@ -331,6 +344,26 @@ ORACLES: dict[str, str] = {
         strftime(ts, {TIME}) AS created_at
       FROM feed
     """,
+    "feed_uncapped": f"""
+      WITH {_event_feed(10**12, 10**12, stop=False)}
+      SELECT 'run-' || run AS run_id, pos AS feed_pos, user_id AS id, CAST(page AS INTEGER) AS page_no,
+        event_type AS author_handle, 'event ' || event_id AS text,
+        strftime(ts, {TIME}) AS created_at
+      FROM feed
+    """,
+    "note_posts": """
+      SELECT doc_id + 1 AS id, source AS author_handle,
+        CASE doc_id % 4 WHEN 0 THEN source ELSE lang END AS author_name,
+        CASE WHEN doc_id % 3 = 0 THEN text ELSE 'short of ' || source END AS text,
+        CASE WHEN doc_id % 5 = 0 THEN 'search' ELSE 'home' END AS source_operation
+      FROM documents
+    """,
+    "article_posts": """
+      SELECT doc_id, CASE WHEN doc_id % 4 < 3 THEN source ELSE '' END AS title,
+        CASE WHEN doc_id % 4 = 3 THEN '' WHEN text = '' THEN '1. first' ELSE
+          '### ' || text || chr(10) || chr(10) || '1. first' || chr(10) || chr(10) || '2. ' || text END AS text
+      FROM documents
+    """,
     "page_chain": f"""
       WITH {_event_feed(500, 27, stop=False)}
       SELECT 'run-' || run AS run_id, CAST(page AS INTEGER) AS page_no,
@@ -417,29 +450,30 @@ ORACLES: dict[str, str] = {
     """,
     "article_markdown": """
       WITH b AS (
-        SELECT conv_id, turn, turn // 40 AS part, text,
+        SELECT conv_id, turn, text,
           ['header-one', 'ordered-list-item', 'ordered-list-item', 'atomic', 'ordered-list-item',
-           'code-block', 'blockquote', 'unstyled', 'unordered-list-item', 'header-two']
-          [(turn + conv_id) % 10 + 1] AS kind
+           'code-block', 'blockquote', 'unstyled', 'unordered-list-item', 'header-two', 'header-three']
+          [(turn + conv_id) % 11 + 1] AS kind
         FROM conversations),
       shown AS (
         SELECT *, sum(CASE WHEN kind = 'ordered-list-item' THEN 0 ELSE 1 END)
-          OVER (PARTITION BY conv_id, part ORDER BY turn) AS grp
+          OVER (PARTITION BY conv_id ORDER BY turn) AS grp
         FROM b WHERE kind <> 'atomic' AND text <> ''),
       numbered AS (
         SELECT *, sum(CASE WHEN kind = 'ordered-list-item' THEN 1 ELSE 0 END)
-          OVER (PARTITION BY conv_id, part, grp ORDER BY turn) AS num
+          OVER (PARTITION BY conv_id, grp ORDER BY turn) AS num
         FROM shown),
       md AS (
-        SELECT conv_id, part, string_agg(CASE kind
+        SELECT conv_id, string_agg(CASE kind
             WHEN 'header-one' THEN '# ' || text WHEN 'header-two' THEN '## ' || text
+            WHEN 'header-three' THEN '### ' || text
             WHEN 'blockquote' THEN '> ' || text WHEN 'unordered-list-item' THEN '- ' || text
             WHEN 'ordered-list-item' THEN num || '. ' || text
             WHEN 'code-block' THEN '```' || chr(10) || text || chr(10) || '```'
             ELSE text END, chr(10) || chr(10) ORDER BY turn) AS markdown
-        FROM numbered GROUP BY conv_id, part)
-      SELECT conv_id, part, coalesce(markdown, '') AS markdown
-      FROM (SELECT DISTINCT conv_id, part FROM b) LEFT JOIN md USING (conv_id, part)
+        FROM numbered GROUP BY conv_id)
+      SELECT conv_id, coalesce(markdown, '') AS markdown
+      FROM (SELECT DISTINCT conv_id FROM b) LEFT JOIN md USING (conv_id)
     """,
     "conform_legacy": f"""
       WITH {_LEGACY}

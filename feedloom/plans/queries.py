@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.scalars import safe_int, strict_int, wire_date
-from feedloom.operators.articles import blocks_to_markdown
+from feedloom.operators.articles import articles_to_markdown, blocks_to_markdown
 from feedloom.operators.digest import render_digest
 from feedloom.operators.feed import assemble_feed, chain_pages, resolve_operations
 from feedloom.operators.flatten import flatten_timeline, page_summary
 from feedloom.operators.ledger import close_runs, open_runs
-from feedloom.operators.maintenance import conform_legacy, split_valid, validate_tweets
+from feedloom.operators.maintenance import conform_legacy, side_counts, validate_tweets
 from feedloom.operators.merge import change_types, merge_counts, merge_tweets, upsert_users
 from feedloom.operators.normalize import normalize_table
 from feedloom.operators.parse import parse_tweets
@@ -121,14 +121,18 @@ def parse_stats_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retweet_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Even documents repost the next one, which quotes them; odd ones quote it."""
+    """Even documents repost the next one, which quotes them; odd ones quote it.
+
+    A document without a next one is a plain post.
+    """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     following = docs.select(
         (F.col("doc_id") - 1).alias("doc_id"),
         F.col("source").alias("next_source"),
         F.col("text").alias("next_text"),
+        F.lit(True).alias("has_next"),
     )
-    pairs = docs.join(following, "doc_id")
+    pairs = docs.join(following, "doc_id", "left")
     doc = F.col("doc_id")
     own = capture.post_node(doc + 1, doc + 1, F.col("source"), F.col("text"))
     quote_own = capture.template(',"quoted_status_result":{"result":%s}', own)
@@ -138,7 +142,8 @@ def retweet_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrapped = F.when(
         doc % 3 == 0, capture.template('{"__typename":"TweetWithVisibilityResults","tweet":%s}', other)
     ).otherwise(other)
-    node = F.when(
+    plain = capture.post_node(doc + 1, doc + 1, F.col("source"), F.col("text"))
+    node = F.when(F.col("has_next").isNull(), plain).when(
         doc % 2 == 0,
         capture.post_node(
             doc + 1,
@@ -171,14 +176,16 @@ def retweet_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MEDIA_PART = 64
+# So many events of the log are spread over so many videos.
+MEDIA_PART = 2048
+VIDEOS = 50
 
 
 def media_best_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's events in a stretch of the log are variants of one video."""
-    events = _table(spark, sf_dir, "events")
+    """Events of a stretch of the log are variants of its videos; many rates are equal."""
+    events = _table(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") % VIDEOS)
     part = F.floor(F.col("event_id") / MEDIA_PART)
-    rate = F.round(F.col("value") / 10).cast("bigint")
+    rate = F.floor(F.col("value") / 50)
     variant = capture.template(
         '{"content_type":"%s"%s,"url":"https://v.example/%s.mp4"}',
         F.when(F.col("event_type").isin("view", "click", "purchase"), "video/mp4").otherwise("application/x-mpegURL"),
@@ -268,7 +275,7 @@ def operation_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ── feeds, merge, ledger, digest ─────────────────────────────────────────
 
 
-def _event_feed(spark: SparkSession, sf_dir: str, count: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _event_feed(spark: SparkSession, sf_dir: str, count: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages, parsed candidates and feeds; each step is stored, as several
     later steps read it."""
     base = shared_dir(spark)
@@ -280,7 +287,15 @@ def _event_feed(spark: SparkSession, sf_dir: str, count: int) -> tuple[DataFrame
 
 
 def feed_dedup_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = _event_feed(spark, sf_dir, FEED_COUNT)[2]
+    return _feed_rows(_event_feed(spark, sf_dir, FEED_COUNT)[2])
+
+
+def feed_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every first-seen post of the chained pages, as the pipeline keeps them by default."""
+    return _feed_rows(_event_feed(spark, sf_dir, None)[2])
+
+
+def _feed_rows(feed: DataFrame) -> DataFrame:
     return feed.select(
         "run_id",
         F.col("feed_pos").cast("bigint").alias("feed_pos"),
@@ -479,25 +494,67 @@ BLOCK_TYPES = (
     "unstyled",
     "unordered-list-item",
     "header-two",
+    "header-three",
 )
 
 
 def article_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation parts as articles: one block per turn."""
+    """Conversations as articles: one block per turn."""
     turns = _table(spark, sf_dir, "conversations")
-    kind = F.get(F.array(*map(F.lit, BLOCK_TYPES)), ((F.col("turn") + F.col("conv_id")) % 10).cast("int"))
-    part = F.floor(F.col("turn") / capture.PAGE_SIZE)
+    kind = F.get(F.array(*map(F.lit, BLOCK_TYPES)), ((F.col("turn") + F.col("conv_id")) % len(BLOCK_TYPES)).cast("int"))
     blocks = F.transform(
         F.array_sort(F.collect_list(F.struct("turn", kind.alias("type"), "text"))),
         lambda b: F.struct(b["type"].alias("type"), b["text"].alias("text")),
     )
     return (
-        turns.groupBy("conv_id", part.alias("part"))
+        turns.groupBy("conv_id")
         .agg(blocks.alias("blocks"))
-        .select("conv_id", "part", blocks_to_markdown(F.col("blocks")).alias("markdown"))
+        .select("conv_id", blocks_to_markdown(F.col("blocks")).alias("markdown"))
     )
 
 
+def article_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as posts that hold an article; every fourth holds none."""
+    doc, text = F.col("doc_id"), capture.quoted(F.col("text"))
+    article = capture.template(
+        '{"article":{"article_results":{"result":{"title":%s,"content_state":{"blocks":['
+        '{"type":"header-three","text":%s},{"type":"ordered-list-item","text":"first"},'
+        '{"type":"atomic","text":"x"},{"type":"ordered-list-item","text":%s}]}}}}}',
+        capture.quoted(F.col("source")),
+        text,
+        text,
+    )
+    node = F.when(doc % 4 == 3, F.lit('{"article":null}')).otherwise(article)
+    posts = _table(spark, sf_dir, "documents").select("doc_id", F.try_parse_json(node).alias("v"))
+    return articles_to_markdown(posts).select("doc_id", "title", "text")
+
+
+def note_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts with long-form notes, authors in the older place, and two feeds."""
+    doc, source = F.col("doc_id"), F.col("source")
+    names = [capture.quoted(source), capture.quoted(F.when(doc % 4 == 0, source).otherwise(F.col("lang")))]
+    member = capture.template('"core":{"screen_name":%s,"name":%s}', *names)
+    older = capture.template('"legacy":{"screen_name":%s,"name":%s}', *names)
+    value = capture.template(
+        '{"__typename":"Tweet","rest_id":"%s","core":{"user_results":{"result":{"rest_id":"9",%s}}},'
+        '"legacy":{"full_text":%s}%s}',
+        doc + 1,
+        F.when(doc % 2 == 0, older).otherwise(member),
+        capture.quoted(F.concat(F.lit("short of "), source)),
+        F.when(
+            doc % 3 == 0,
+            capture.template(
+                ',"note_tweet":{"note_tweet_results":{"result":{"text":%s}}}', capture.quoted(F.col("text"))
+            ),
+        ).otherwise(F.lit("")),
+    )
+    pages = _table(spark, sf_dir, "documents").select(
+        F.when(doc % 5 == 0, "search").otherwise("home").alias("operation"),
+        capture.page(F.array(capture.single_entry(value))).alias("value"),
+    )
+    return parse_pages(pages, INGEST_TS).select("id", "author_handle", "author_name", "text", "source_operation")
+
+
 # ── maintenance, profiles, reads, search ─────────────────────────────────
 
 
@@ -532,12 +589,7 @@ def validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    validated = validate_tweets(conform_legacy(_legacy(spark, sf_dir)))
-    valid, broken = split_valid(validated)
-    sides = valid.select(F.lit("valid").alias("side"), "source_operation").unionByName(
-        broken.select(F.lit("quarantine").alias("side"), "source_operation")
-    )
-    return sides.groupBy("side").agg(F.count("*").alias("n"))
+    return side_counts(validate_tweets(conform_legacy(_legacy(spark, sf_dir))))
 
 
 def _profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -678,6 +730,7 @@ QUERIES: dict[str, Query] = {
     "created_at_parse": created_at_parse,
     "operation_aliases": operation_aliases,
     "feed_dedup_cap": feed_dedup_cap,
+    "feed_uncapped": feed_uncapped,
     "page_chain": page_chain,
     "upsert_merge": upsert_merge,
     "upsert_counts": upsert_counts,
@@ -690,6 +743,8 @@ QUERIES: dict[str, Query] = {
     "redact_collections": redact_collections,
     "secret_report": secret_findings,
     "article_markdown": article_markdown,
+    "article_posts": article_posts,
+    "note_posts": note_posts,
     "conform_legacy": conform,
     "validate": validate,
     "quarantine_counts": quarantine_counts,

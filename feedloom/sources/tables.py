@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 # Post ids grow with time: one range is about 19 hours of posts, and a signed
 # 64-bit id has at most 65,536 ranges, which bounds every manifest.
 RANGE_BITS = 48
+MAX_RANGES = 65_536
 
 MANIFEST = "id_range BIGINT, data_version BIGINT, v BIGINT"
 
@@ -55,10 +56,13 @@ class VersionedTable:
         )
         if table is None:
             return None, {}
-        if before is not None:
-            table = table.where(F.col("v") < before)
-        latest = table.agg(F.max("v")).first()[0]
-        rows = [] if latest is None else table.where(F.col("v") == latest).collect()
+        # File names only; of the manifests just the newest is read.
+        found = {int(f.rsplit("/v=", 1)[1].split("/")[0]) for f in table.inputFiles()}
+        found = {v for v in found if before is None or v < before}
+        latest = max(found, default=None)
+        rows = [] if latest is None else self.spark.read.schema(MANIFEST).json(
+            f"{self.path}/manifest/v={latest}"
+        ).collect()
         # A version without rows still carries one marker row without a range.
         return latest, {r.id_range: r.data_version for r in rows if r.id_range is not None}
 
@@ -101,7 +105,9 @@ class VersionedTable:
         if latest is not None and latest >= version:
             return False
         ranges = batch.select(self.id_range().alias("r")).where("r IS NOT NULL").distinct()
-        touched = [row.r for row in ranges.collect()]
+        touched = [row.r for row in ranges.limit(MAX_RANGES + 1).collect()]
+        if len(where.keys() | set(touched)) > MAX_RANGES:
+            raise ValueError(f"more than {MAX_RANGES} id ranges: range_bits={self.range_bits} is too small")
         if touched:
             current = self._load({n: v for n, v in where.items() if n in set(touched)})
             merged = merge(current, batch).withColumn("id_range", self.id_range())

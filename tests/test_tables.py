@@ -127,7 +127,7 @@ def test_users(spark):
             "data": {
                 "user": {
                     "result": {
-                        "rest_id": "2052550869581766809",
+                        "rest_id": "4611686018427387905",
                         "is_blue_verified": True,
                         "legacy": {
                             "screen_name": "s", "name": "n", "description": "d", "followers_count": 3,
@@ -157,7 +157,7 @@ def test_users(spark):
         "text legacy": "dropped_exception", "text user": "dropped_exception",
     }
     full = got["full"]
-    assert (full.id, full.screen_name, full.bio) == (2052550869581766809, "s", "d")
+    assert (full.id, full.screen_name, full.bio) == (4611686018427387905, "s", "d")
     assert (full.followers_count, full.following_count, full.tweets_count, full.verified) == (3, 4, 0, True)
     assert got["asked"].screen_name == "@asked" and not got["asked"].verified
     assert got["verified"].verified and got["no id"].id == 0
