@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,21 +179,49 @@ def _offered(facts: str) -> Column:
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` as a lambda variable.
+
+    A column named inside a lambda may be inlined there and computed for every
+    element; a variable is computed once.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _place(post_id: Column, buckets: Column) -> Column:
     return F.pmod(F.xxhash64(post_id), buckets).cast("int")
 
 
-@reused
-def _placed(offered: str, buckets: str) -> Column:
-    return F.transform(offered, lambda p: p.withField("place", _place(p["id"], F.col(buckets))))
+def _bucketed(offered: Column) -> Column:
+    """Parents by hash of their id, in about the square root of their number of buckets."""
+    wanted = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(offered))).cast("int"))
+
+    def spread(n: Column) -> Column:
+        placed = F.transform(offered, lambda p: p.withField("place", _place(p["id"], n)))
+        return _once(
+            placed,
+            lambda all_of: F.transform(
+                F.sequence(F.lit(0), n - 1), lambda k: F.filter(all_of, lambda p: p["place"] == k)
+            ),
+        )
+
+    return _once(wanted, spread)
 
 
 @reused
-def _buckets(offered: str, buckets: str) -> Column:
-    return F.transform(
-        F.sequence(F.lit(0), F.col(buckets) - 1),
-        lambda k: F.filter(offered, lambda p: p["place"] == k),
-    )
+def _parents(facts: str, offered: str) -> Column:
+    """Per item the offered post it replies to; a reply searches one bucket."""
+
+    def parent(buckets: Column, reply_to: Column) -> Column:
+        bucket = F.get(buckets, _place(reply_to, F.size(buckets)))
+        return F.try_element_at(F.filter(bucket, lambda p: p["id"] == reply_to), F.lit(-1))
+
+    def search(buckets: Column) -> Column:
+        return F.transform(
+            facts, lambda f: F.when(f["reply_to"].isNotNull(), parent(buckets, f["reply_to"]))
+        )
+
+    return F.when(F.col(offered).isNotNull(), _once(_once(F.col(offered), _bucketed), search))
 
 
 def flatten_timeline(payloads: DataFrame) -> DataFrame:
@@ -239,27 +269,13 @@ def flatten_timeline(payloads: DataFrame) -> DataFrame:
         F.transform("_facts", lambda f: f["id"]), F.transform("_facts", lambda f: f["reply_to"])
     )
     entries = entries.withColumn("_facts", F.when(thread, F.col("_facts")))
-    # Parents by hash of their id in about the square root of their number of
-    # buckets; a reply searches one bucket, never the whole module.
     entries = entries.withColumn("_offered", _offered("_facts"))
-    entries = entries.withColumn("_n", F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_offered"))).cast("int")))
-    entries = entries.withColumn("_offered", _placed("_offered", "_n"))
-    entries = entries.withColumn("_buckets", F.when(F.col("_offered").isNotNull(), _buckets("_offered", "_n")))
-
-    def parent(reply_to: Column) -> Column:
-        bucket = F.get("_buckets", _place(reply_to, F.col("_n")))
-        return F.try_element_at(F.filter(bucket, lambda p: p["id"] == reply_to), F.lit(-1))
-
-    found = F.transform(
-        "_facts",
-        lambda f: F.when(f["reply_to"].isNotNull(), parent(f["reply_to"])),
-    )
     none = F.array().cast("array<struct<id:bigint,handle:string,text:string,place:int>>")
-    entries = entries.withColumn("_found", F.coalesce(found, none)).withColumn(
+    found = F.coalesce(_parents("_facts", "_offered"), none)
+    entries = entries.withColumn("_found", found).withColumn(
         "_items",
-        F.transform(
-            "_contents",
-            lambda c, i: F.struct(c.alias("content"), F.get("_found", i).alias("found")),
+        F.zip_with(
+            "_contents", "_found", lambda c, f: F.struct(c.alias("content"), f.alias("found"))
         ),
     )
     item = F.col("_item")
