@@ -145,11 +145,19 @@ def feed_changes(feed: DataFrame, changes: DataFrame) -> DataFrame:
     """Posts of each feed with their ``change_type`` there.
 
     An id new to the table is new in the first feed that has it and updated in
-    later ones.
+    later ones.  ``changes`` may name that feed (``first_run``,
+    ``first_operation``); otherwise it is the first in ``merge_order``.
     """
+    new = changes.where("change_type = 'new'")
+    if "first_run" in changes.columns:
+        rows = feed.join(new.select("id", "first_run", "first_operation"), "id", "left")
+        there = (F.col("run_id") == F.col("first_run")) & (
+            F.col("operation") == F.col("first_operation")
+        )
+        change = F.when(there, "new").otherwise("updated")
+        return rows.withColumn("change_type", change).drop("first_run", "first_operation")
     rows = merge_order(feed)
     first = rows.groupBy("id").agg(F.min("feed_order").alias("_first"))
-    new = changes.where("change_type = 'new'").select("id").join(first, "id")
-    rows = rows.join(new, "id", "left")
+    rows = rows.join(new.select("id").join(first, "id"), "id", "left")
     change = F.when(F.col("feed_order") == F.col("_first"), "new").otherwise("updated")
     return rows.withColumn("change_type", change).drop("_first")

@@ -14,6 +14,7 @@ from feedloom.schemas import RUNS
 
 # Error codes of the ledger, by page status.
 PAGE_ERROR = "SCRAPE_ERROR"
+STORE_ERROR = "DB_ERROR"
 
 
 def open_runs(
@@ -40,6 +41,29 @@ def open_runs(
     )
 
 
+def fail_runs(opened: DataFrame, message: str, completed_at: datetime | str | Column) -> DataFrame:
+    """Ledger rows of runs whose work broke off."""
+    error = F.array(F.struct(F.lit(STORE_ERROR).alias("code"), F.lit(message).alias("message")))
+    return opened.withColumns(
+        {"status": F.lit("failed"), "completed_at": timestamp_literal(completed_at), "errors": error}
+    )
+
+
+def latest_runs(opened: DataFrame, closed: DataFrame) -> DataFrame:
+    """One row per run and feed out of all that were written, by version ``v``.
+
+    Of equal versions the closed row counts; ``started_at`` is the first one.
+    """
+    columns = list(RUNS.fieldNames())
+    rows = opened.withColumn("_step", F.lit(0)).unionByName(closed.withColumn("_step", F.lit(1)))
+    rest = [c for c in columns if c not in ("id", "operation", "started_at")]
+    last = rows.groupBy("id", "operation").agg(
+        F.max_by(F.struct(*rest), F.struct("v", "_step")).alias("_row"),
+        F.min("started_at").alias("started_at"),
+    )
+    return last.select("id", "operation", "started_at", "_row.*").select(*columns)
+
+
 def run_totals(feed: DataFrame, changes: DataFrame) -> DataFrame:
     """Fetched, new and updated posts per feed.
 

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.feed import FEED
 from feedloom.operators.parse import timestamp_literal
 from feedloom.schemas import TWEETS, USERS
 
@@ -27,8 +28,9 @@ def fold_batch(batch: DataFrame, order: Column) -> DataFrame:
     ``min_by``/``max_by`` are combined inside each task before the shuffle, so a
     much repeated id does not load one reducer.
     """
+    feed = [F.col(c) if c in batch.columns else F.lit(None).cast("string").alias(c) for c in FEED]
     return batch.groupBy("id").agg(
-        F.min_by(F.struct(*STICKY), order).alias("_first"),
+        F.min_by(F.struct(*STICKY, *feed), order).alias("_first"),
         F.max_by(F.struct(*REFRESHED), order).alias("_last"),
         F.count("*").alias("batch_rows"),
     )
@@ -68,6 +70,39 @@ def merge_tweets(
     )
 
 
+def delta_tweets(
+    keys: DataFrame, batch: DataFrame, ingest_ts: datetime | str | Column, order: Column | str = "seq"
+) -> DataFrame:
+    """The rows of ``merge_tweets`` that the batch changes.
+
+    ``keys`` needs only the stored ids and their sticky columns, as every other
+    column comes from the batch.  ``first_run`` and ``first_operation`` name the
+    feed that brought a new id.
+    """
+    order = F.col(order) if isinstance(order, str) else order
+    known = F.col("_key").isNotNull()
+    stored = keys.select("id", F.struct(*STICKY).alias("_key"))
+    rows = fold_batch(batch, order).join(stored, "id", "left")
+
+    def column(name: str) -> Column:
+        if name == "id":
+            return F.col("id")
+        if name == "scraped_at":
+            return timestamp_literal(ingest_ts)
+        if name in STICKY:
+            return F.when(known, F.col(f"_key.{name}")).otherwise(F.col(f"_first.{name}"))
+        return F.col(f"_last.{name}")
+
+    run, operation = FEED
+    return rows.select(
+        *[column(c).alias(c) for c in COLUMNS],
+        F.when(known, "updated").otherwise("new").alias("change_type"),
+        "batch_rows",
+        F.when(~known, F.col(f"_first.{run}")).alias("first_run"),
+        F.when(~known, F.col(f"_first.{operation}")).alias("first_operation"),
+    )
+
+
 def merge_counts(merged: DataFrame, by: list[str] | None = None) -> DataFrame:
     """``new_count`` and ``updated_count`` of a merge.
 
@@ -112,3 +147,27 @@ def upsert_users(
         F.when(touched, stamp).otherwise(F.col("_cur.last_scraped_at")).alias("last_scraped_at"),
         F.coalesce(F.col("_cur.created_at"), stamp).alias("created_at"),
     )
+
+
+def delta_users(
+    keys: DataFrame, profiles: DataFrame, ingest_ts: datetime | str | Column, order: str = "seq"
+) -> DataFrame:
+    """The rows of ``upsert_users`` that the profiles change; ``keys`` as in ``delta_tweets``."""
+    stamp = timestamp_literal(ingest_ts)
+    last = (
+        profiles.where("drop_reason IS NULL")
+        .groupBy("id")
+        .agg(
+            F.max_by(F.struct(*USER_REFRESHED), F.col(order)).alias("_last"),
+            F.count("*").alias("batch_rows"),
+        )
+    )
+    rows = last.join(keys.select("id", F.col("created_at").alias("_since")), "id", "left")
+    return rows.select(
+        "id",
+        "_last.*",
+        stamp.alias("last_scraped_at"),
+        F.coalesce("_since", stamp).alias("created_at"),
+        F.when(F.col("_since").isNull(), "new").otherwise("updated").alias("change_type"),
+        "batch_rows",
+    )

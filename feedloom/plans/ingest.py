@@ -8,18 +8,20 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.operators.digest import render_digest, write_digest
 from feedloom.operators.feed import FEED, assemble_feed, merge_order
 from feedloom.operators.flatten import flatten_timeline, page_summary
-from feedloom.operators.ledger import close_runs, open_runs
+from feedloom.operators.ledger import close_runs, fail_runs, latest_runs, open_runs
 from feedloom.operators.maintenance import split_valid, validate_tweets
-from feedloom.operators.merge import merge_tweets
+from feedloom.operators.merge import delta_tweets, delta_users
 from feedloom.operators.parse import parse_tweets
-from feedloom.schemas import TWEETS
+from feedloom.operators.profiles import parse_profiles
+from feedloom.schemas import RUNS, TWEETS, USERS
 from feedloom.session import configure
 from feedloom.sources.payloads import ingest_payloads
-from feedloom.sources.tables import RANGE_BITS, VersionedTable
+from feedloom.sources.tables import RANGE_BITS, STAMP_FORMAT, VersionedTable
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
@@ -51,6 +53,32 @@ def tweet_table(spark: SparkSession, path: str, range_bits: int = RANGE_BITS) ->
     return VersionedTable(spark, f"{path}/tweets", TWEETS, range_bits)
 
 
+def user_table(spark: SparkSession, path: str, range_bits: int = RANGE_BITS) -> VersionedTable:
+    return VersionedTable(
+        spark, f"{path}/users", USERS, range_bits, sticky=("created_at",), stamp="last_scraped_at"
+    )
+
+
+def run_ledger_table(spark: SparkSession, path: str) -> DataFrame:
+    """The latest ledger row of every run and feed."""
+    schema = T.StructType([*RUNS.fields, T.StructField("v", T.LongType())])
+    opened, closed = (spark.read.schema(schema).parquet(f"{path}/{d}") for d in ("runs_open", "runs"))
+    return latest_runs(opened, closed)
+
+
+def _of_versions(step: DataFrame, path: str, versions: list[int], runs: DataFrame) -> DataFrame:
+    """Rows of ``runs`` that a step stored in some versions, as ``page_version``."""
+    schema = T.StructType([*step.schema.fields, T.StructField("v", T.LongType())])
+    rows = step.sparkSession.read.schema(schema).parquet(path).where(F.col("v").isin(versions))
+    return rows.join(runs, "run_id", "left_semi").withColumnRenamed("v", "page_version")
+
+
+def _ingest_time(bronze: DataFrame, table: VersionedTable, version: int) -> str | None:
+    """Latest capture time of a batch, but not before what earlier versions stored."""
+    latest = bronze.agg(F.date_format(F.max("captured_at"), STAMP_FORMAT)).first()[0]
+    return latest and max(latest, table.manifest(before=version).stamp or latest)
+
+
 def ingest_batch(
     pages: DataFrame,
     path: str,
@@ -63,44 +91,95 @@ def ingest_batch(
     """Bronze -> parse -> feed -> merge -> ledger -> digest under ``path``.
 
     ``pages`` has ``run_id, operation, page_no, request_cursor, captured_at,
-    value`` and optionally ``http_status``; all pages of a run belong in one
-    batch.  ``ingest_ts`` defaults to the latest capture time, so a replayed
-    batch gives the same rows; a version that was stored is left as it is.
-    Every captured post is kept; ``count`` limits each feed as a crawler would
-    (at most 500 posts, and the pages that many need).
+    value`` and optionally ``http_status``.  The pages of a run may come in
+    several batches: its feed and ledger row are then made again from all of
+    them, and the posts of the newer pages are merged.  ``ingest_ts`` defaults
+    to the latest capture time (never earlier than a former batch's), so a
+    replayed batch gives the same rows; a version that was stored is left as it
+    is.  Every captured post is kept; ``count`` limits each feed as a crawler
+    would (at most 500 posts, and the pages that many need).
     Posts that break a constraint of the table are kept aside under
     ``quarantine``, or with ``on_violation="fail"`` stop the whole batch.
+    A run is ``running`` in the ledger until its batch is done, and ``failed``
+    if the batch breaks off.
     """
     spark = configure(pages.sparkSession)
     posts = tweet_table(spark, path, range_bits)
-    latest = posts.version()
-    done = latest is not None and latest >= version
-
     bronze = stored(ingest_payloads(pages), f"{path}/bronze/v={version}")
     if ingest_ts is None:
-        ingest_ts = bronze.agg(F.date_format(F.max("captured_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        ingest_ts = _ingest_time(bronze, posts, version)
         if ingest_ts is None:
             return False
-    summary = stored(page_summary(bronze), f"{path}/pages/v={version}")
-    parsed = stored(
-        parse_tweets(flatten_timeline(bronze), ingest_ts), f"{path}/parsed/v={version}"
+    limits = {"count": "all" if count is None else str(count)}
+    opened = stored(
+        open_runs(bronze.select(*FEED).distinct(), ingest_ts, limits), f"{path}/runs_open/v={version}"
     )
+    try:
+        return _ingest(bronze, opened, posts, path, version, ingest_ts, count, on_violation)
+    except Exception as error:
+        failed = fail_runs(opened, str(error)[:500], ingest_ts)
+        failed.write.mode("overwrite").parquet(f"{path}/runs/v={version}")
+        raise
+
+
+def _ingest(
+    bronze: DataFrame,
+    opened: DataFrame,
+    posts: VersionedTable,
+    path: str,
+    version: int,
+    ingest_ts: datetime | str,
+    count: int | None,
+    on_violation: str,
+) -> bool:
+    summary = stored(page_summary(bronze), f"{path}/pages/v={version}")
+    parsed = stored(parse_tweets(flatten_timeline(bronze), ingest_ts), f"{path}/parsed/v={version}")
+
+    # Page summaries are narrow; parsed posts are read of the versions they name.
+    runs = opened.select(F.col("id").alias("run_id")).distinct()
+    schema = T.StructType([*summary.schema.fields, T.StructField("v", T.LongType())])
+    earlier = summary.sparkSession.read.schema(schema).parquet(f"{path}/pages").where(F.col("v") < version)
+    found = earlier.join(runs, "run_id", "left_semi").select("v").distinct().collect()
+    versions = sorted({version, *(r.v for r in found)})
+    summary = _of_versions(summary, f"{path}/pages", versions, runs).drop("page_version")
+    parsed = _of_versions(parsed, f"{path}/parsed", versions, runs)
+
     checked = stored(
         validate_tweets(assemble_feed(parsed, summary, count), unique=False),
         f"{path}/checked/v={version}",
     )
     valid, broken = split_valid(checked, on_violation)
     feed = stored(merge_order(valid), f"{path}/feeds/v={version}")
-    broken.write.mode("overwrite").parquet(f"{path}/quarantine/v={version}")
-    if not done:
-        posts.commit(
-            version, feed, lambda cur, new: merge_tweets(cur, new, ingest_ts, F.struct("feed_order", "feed_pos"))
-        )
-    changes = posts.changes(version)
-    opened = open_runs(summary.select(*FEED).distinct(), ingest_ts, {"count": "all" if count is None else str(count)})
-    runs = stored(
+    fresh = F.col("page_version") == version
+    broken.where(fresh).write.mode("overwrite").parquet(f"{path}/quarantine/v={version}")
+    order = F.struct("feed_order", "feed_pos")
+    committed = posts.commit(
+        version, feed.where(fresh), lambda keys, new: delta_tweets(keys, new, ingest_ts, order)
+    )
+    changes = posts.changes(*versions)
+    closed = stored(
         close_runs(opened, summary, parsed, feed, changes, count, ingest_ts),
         f"{path}/runs/v={version}",
     )
-    write_digest(render_digest(feed, changes, runs), f"{path}/digest/v={version}")
-    return not done
+    write_digest(render_digest(feed, changes, closed), f"{path}/digest/v={version}")
+    return committed
+
+
+def ingest_profiles(
+    pages: DataFrame, path: str, version: int, ingest_ts: datetime | str | None = None
+) -> bool:
+    """Merge the profiles of captured payloads into the users table under ``path``.
+
+    Of several payloads with one user the one captured last counts.
+    """
+    spark = configure(pages.sparkSession)
+    users = user_table(spark, path)
+    ordered = pages.withColumn("seq", F.struct("captured_at", F.xxhash64("value")))
+    bronze = stored(ingest_payloads(ordered), f"{path}/profile_bronze/v={version}")
+    if ingest_ts is None:
+        ingest_ts = _ingest_time(bronze, users, version)
+        if ingest_ts is None:
+            return False
+    parsed = stored(parse_profiles(bronze), f"{path}/profiles/v={version}")
+    kept = parsed.where("drop_reason IS NULL")
+    return users.commit(version, kept, lambda keys, new: delta_users(keys, new, ingest_ts))

@@ -8,7 +8,7 @@ import tempfile
 import pytest
 import shapes as s
 
-from feedloom.plans.ingest import ingest_batch, tweet_table
+from feedloom.plans.ingest import ingest_batch, ingest_profiles, run_ledger_table, tweet_table, user_table
 from feedloom.streaming.ingest import CAPTURE, stream_ingest
 
 
@@ -82,6 +82,73 @@ def test_batch_equals_stream(spark):
     assert streamed == batched and len(streamed) == 12
 
 
+def ledger(spark, path):
+    rows = run_ledger_table(spark, path).collect()
+    return {
+        (r.id, r.operation): (r.status, r.tweets_fetched, r.tweets_new, r.tweets_updated, r.cursor_resume, r.parse_stats.raw)
+        for r in rows
+    }
+
+
+@pytest.mark.parametrize("count", [None, 3])
+def test_run_over_several_batches(spark, count):
+    """One page per batch gives the posts and ledger of one batch."""
+    base = tempfile.mkdtemp(prefix="feedloom-test-")
+    inbox = f"{base}/in"
+    os.makedirs(inbox)
+    bodies = [
+        ("r1", "home", 0, s.home(s.single(s.post(1)), s.single(s.post(2)), s.cursor("a")), None),
+        ("r1", "following", 0, s.home(s.single(s.post(1)), s.single(s.post(9))), None),
+        ("r1", "home", 1, s.home(s.single(s.post(2, text="late")), s.single(s.post(3)), s.cursor("b")), "a"),
+        ("r2", "home", 0, s.home(s.single(s.post(3, text="r2"))), None),
+        ("r1", "home", 2, "not json", "b"),
+    ]
+    pages = []
+    for i, (run, operation, no, body, request) in enumerate(bodies):
+        write_page(inbox, f"{i}.json", run, operation, no, body, i, request)
+        os.utime(f"{inbox}/{i}.json", (i + 1, i + 1))
+        pages.append(spark.read.schema(CAPTURE).json(f"{inbox}/{i}.json"))
+    # Runs are merged one after the other, so r2 comes last in the single batch too.
+    stream_ingest(spark, inbox, f"{base}/stream", f"{base}/checkpoint", count, 1).awaitTermination()
+    ingest_batch(spark.read.schema(CAPTURE).json(inbox), f"{base}/batch", 0, count=count)
+    streamed, batched = ({r[:3] for r in table_rows(tweet_table(spark, f"{base}/{k}"))} for k in ("stream", "batch"))
+    assert streamed == batched and len(streamed) == 4
+    expected = ledger(spark, f"{base}/batch")
+    assert ledger(spark, f"{base}/stream") == expected
+    assert expected["r1", "home"][:4] == ("completed" if count else "failed", 3, 3, 0)
+    assert expected["r1", "following"][:4] == ("completed", 2, 1, 1)
+    # A replayed batch changes nothing.
+    assert not ingest_batch(pages[2], f"{base}/stream", 2, count=count)
+    assert ledger(spark, f"{base}/stream") == expected
+
+
+def test_broken_batch_in_ledger(spark):
+    base = tempfile.mkdtemp(prefix="feedloom-test-")
+    os.makedirs(f"{base}/in")
+    write_page(f"{base}/in", "a.json", "r", "home", 0, s.home(s.single(s.post(2, handle="h" * 51))), 1)
+    pages = spark.read.schema(CAPTURE).json(f"{base}/in")
+    with pytest.raises(Exception, match="constraint broken"):
+        ingest_batch(pages, f"{base}/out", 0, on_violation="fail")
+    row = run_ledger_table(spark, f"{base}/out").first()
+    assert (row.status, row.errors[0].code) == ("failed", "DB_ERROR") and "constraint" in row.errors[0].message
+    assert [r.status for r in spark.read.parquet(f"{base}/out/runs_open").collect()] == ["running"]
+    ingest_batch(pages, f"{base}/out", 0)
+    assert [r.status for r in run_ledger_table(spark, f"{base}/out").collect()] == ["completed"]
+
+
+def test_stored_users(spark):
+    base = tempfile.mkdtemp(prefix="feedloom-test-")
+    os.makedirs(f"{base}/in")
+    for version, (name, minute) in enumerate([("old", 1), ("new", 9)]):
+        user = {"data": {"user": {"result": {"rest_id": "5", "legacy": {"screen_name": "s", "name": name}}}}}
+        write_page(f"{base}/in", f"{version}.json", "r", "profile", 0, user, minute)
+        assert ingest_profiles(spark.read.schema(CAPTURE).json(f"{base}/in/{version}.json"), f"{base}/out", version)
+    users = user_table(spark, f"{base}/out").read().collect()
+    stamps = [dt.datetime(2026, 1, 1, 0, 1), dt.datetime(2026, 1, 1, 0, 9)]
+    assert [(r.id, r.name, r.created_at, r.last_scraped_at) for r in users] == [(5, "new", *stamps)]
+    assert not ingest_profiles(spark.read.schema(CAPTURE).json(f"{base}/in/1.json"), f"{base}/out", 1)
+
+
 def test_broken_constraints(spark):
     base = tempfile.mkdtemp(prefix="feedloom-test-")
     os.makedirs(f"{base}/in")

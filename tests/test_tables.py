@@ -21,7 +21,7 @@ from feedloom.operators.maintenance import (
     with_defaults,
     with_user_defaults,
 )
-from feedloom.operators.merge import COLUMNS, merge_counts, merge_tweets, upsert_users
+from feedloom.operators.merge import COLUMNS, delta_tweets, merge_counts, merge_tweets, upsert_users
 from feedloom.operators.profiles import parse_profiles
 from feedloom.operators.reads import read_unprocessed
 from feedloom.operators.search import build_text_index, search, write_text_index
@@ -96,7 +96,7 @@ def test_versioned_table_and_replay(spark):
 
     def commit(version, rows):
         batch = batch_frame(spark, rows)
-        return table.commit(version, batch, lambda cur, new: merge_tweets(cur, new, NOW))
+        return table.commit(version, batch, lambda keys, new: delta_tweets(keys, new, NOW))
 
     first, second = [tweet(1), tweet(9), tweet(20)], [tweet(9, text="x"), tweet(10), tweet(-5), tweet(9, text="y")]
     assert commit(0, first) and commit(1, []) and commit(2, second)
@@ -106,16 +106,40 @@ def test_versioned_table_and_replay(spark):
     assert {(r.id, r.change_type, r.batch_rows) for r in table.changes(2).collect()} == {
         (9, "updated", 2), (10, "new", 1), (-5, "new", 1),
     }
-    # Only the touched id ranges were rewritten.
-    assert set(table._manifest()[1].items()) == {(-1, 2), (0, 0), (1, 2), (2, 0)}
+    # A batch without rows adds no part.
+    assert table.manifest().parts == ("b0", "b2")
     # Replaying a stored version changes nothing.
     assert not commit(2, second) and not commit(0, first)
     assert sorted(tuple(r) for r in table.read().select(*COLUMNS).collect()) == stored
     # A batch that died before its manifest leaves the old version readable.
-    frame(spark, [tweet(1, text="half")]).write.parquet(f"{path}/data/v=3/id_range=0")
+    frame(spark, [tweet(1, text="half")]).write.parquet(f"{path}/data/part=b3/day=2026-01-02")
     assert sorted(tuple(r) for r in table.read().select(*COLUMNS).collect()) == stored
     assert commit(3, [tweet(1, text="whole")])
     assert {r.text for r in table.read().where("id = 1").collect()} == {"whole"}
+    stored = sorted(tuple(r) for r in table.read().select(*COLUMNS).collect())
+    assert table.compact() and table.manifest().parts == ("c3",) and not table.compact()
+    assert sorted(tuple(r) for r in table.read().select(*COLUMNS).collect()) == stored
+    assert not commit(3, [tweet(1)]) and commit(4, [tweet(10, text="z")])
+    assert {(r.id, r.change_type) for r in table.changes(4).collect()} == {(10, "updated")}
+    assert {r.text for r in table.read().where("id = 10").collect()} == {"z"}
+
+
+def test_stored_rows_are_read_by_day(spark):
+    table = VersionedTable(spark, tempfile.mkdtemp(prefix="feedloom-test-"), TWEETS)
+    rows = {0: [tweet(i) for i in range(6)], 1: [tweet(2, text="b"), tweet(7)], 2: [tweet(2, text="c")]}
+    days = {0: NOW - dt.timedelta(days=9), 1: NOW - dt.timedelta(hours=5), 2: NOW}
+    for v, batch in rows.items():
+        table.commit(v, batch_frame(spark, batch), lambda keys, new, v=v: delta_tweets(keys, new, days[v]))
+    recent = read_unprocessed(table, NOW)
+    assert [(r.id, r.text) for r in recent.collect()] == [(7, "t"), (2, "c")]
+    scans = [n for n in recent._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in n]
+    assert scans and all("day#" in n.split("PartitionFilters:")[1] for n in scans)
+    with pytest.raises(ValueError, match="is before"):
+        table.commit(3, batch_frame(spark, rows[0]), lambda keys, new: delta_tweets(keys, new, days[0]))
+    few = VersionedTable(spark, tempfile.mkdtemp(prefix="feedloom-test-"), TWEETS, range_bits=0)
+    many = batch_frame(spark, [tweet(0)]).crossJoin(spark.range(70_000).withColumnRenamed("id", "n")).withColumn("id", F.col("n"))
+    with pytest.raises(ValueError, match="range_bits"):
+        few.commit(0, many, lambda keys, new: delta_tweets(keys, new, NOW))
 
 
 def test_users(spark):
