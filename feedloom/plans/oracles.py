@@ -514,6 +514,16 @@ ORACLES: dict[str, str] = {
       FROM events WHERE ts > TIMESTAMP '2024-01-29 12:00:00' - INTERVAL 24 HOUR
       ORDER BY ts, event_id LIMIT 100
     """,
+    "stored_table": f"""
+      WITH last AS (
+        SELECT *, CASE WHEN event_type IN ('purchase', 'error') THEN 2
+          WHEN event_type IN ('view', 'click') THEN 1 ELSE 0 END AS v FROM events)
+      SELECT event_id AS id, user_id AS author_id, strftime(ts, {TIME}) AS created_at,
+        v || ' ' || event_type AS text, 'following' AS source_operation,
+        ['2024-01-02 00:00:00', '2024-01-20 06:00:00', '2024-01-29 03:00:00'][v + 1] AS scraped_at,
+        v = 2 AS recent
+      FROM last
+    """,
     "text_index_terms": f"""
       SELECT term, count(*) AS n, min(doc_id) AS first_id
       FROM (SELECT doc_id, unnest({_WORDS}) AS term FROM documents)

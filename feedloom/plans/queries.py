@@ -14,7 +14,7 @@ from feedloom.operators.feed import assemble_feed, chain_pages, resolve_operatio
 from feedloom.operators.flatten import flatten_timeline, page_summary
 from feedloom.operators.ledger import close_runs, open_runs
 from feedloom.operators.maintenance import conform_legacy, side_counts, validate_tweets
-from feedloom.operators.merge import change_types, merge_counts, merge_tweets, upsert_users
+from feedloom.operators.merge import change_types, delta_tweets, merge_counts, merge_tweets, upsert_users
 from feedloom.operators.normalize import normalize_table
 from feedloom.operators.parse import parse_tweets
 from feedloom.operators.profiles import parse_profiles
@@ -23,7 +23,7 @@ from feedloom.operators.redact import redact_table, secret_report
 from feedloom.operators.search import build_text_index, search
 from feedloom.operators.stats import parse_stats
 from feedloom.plans import capture
-from feedloom.plans.ingest import parse_pages, shared_dir, stored
+from feedloom.plans.ingest import parse_pages, shared_dir, stored, tweet_table
 from feedloom.schemas import TWEETS, USERS
 from feedloom.session import configure
 from feedloom.sources.payloads import ingest_payloads
@@ -672,6 +672,45 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Batches of the stored table: the time each is stored, and the events it holds.
+STORED_BATCHES = (
+    ("2024-01-02 00:00:00", "true"),
+    ("2024-01-20 06:00:00", "event_type IN ('view', 'purchase', 'click')"),
+    ("2024-01-29 03:00:00", "event_type IN ('purchase', 'error')"),
+)
+
+
+def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table after three stored batches, and which posts its 24-hour read gives."""
+    events = _table(spark, sf_dir, "events")
+    table = tweet_table(spark, shared_dir(spark))
+    for version, (stamp, chosen) in enumerate(STORED_BATCHES):
+        columns = {
+            "id": F.col("event_id"),
+            "author_id": F.col("user_id"),
+            "created_at": F.col("ts").cast("timestamp") + F.expr(f"INTERVAL {version} DAYS"),
+            "text": F.concat_ws(" ", F.lit(version), "event_type"),
+            "source_operation": F.lit("home" if version else "following"),
+        }
+        batch = events.where(chosen).select(
+            *[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in TWEETS.fields]
+        )
+        table.commit(
+            version, batch, lambda keys, new, stamp=stamp: delta_tweets(keys, new, stamp, F.col("text"))
+        )
+    since = F.lit("2024-01-29 12:00:00").cast("timestamp") - F.expr("INTERVAL 24 HOURS")
+    recent = table.read(since).select("id", F.lit(True).alias("recent"))
+    return table.read().join(recent, "id", "left").select(
+        "id",
+        "author_id",
+        _stamp_text("created_at"),
+        "text",
+        "source_operation",
+        _stamp_text("scraped_at"),
+        F.coalesce("recent", F.lit(False)).alias("recent"),
+    )
+
+
 def _document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return build_text_index(docs.select(F.col("doc_id").alias("id"), "text"))
@@ -751,6 +790,7 @@ QUERIES: dict[str, Query] = {
     "profiles": profiles,
     "users_upsert": users_upsert,
     "read_unprocessed": unprocessed,
+    "stored_table": stored_table,
     "text_index_terms": text_index_terms,
     "text_search": text_search,
     "stream_threads": stream_threads,
