@@ -17,6 +17,10 @@ from feedloom.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Near duplicates of the corpus; op 1 as a query has its own, 3 words and 90 percent.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; rejected ones go (op 9)."""
@@ -31,10 +35,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that n-gram Jaccard links connect (op 1).
 
+    Documents link from a Jaccard similarity of 0.8 of their runs of five words.
     The smallest doc_id stays; of rows that repeat it, the smallest text.  Rows
     with a null doc_id link with nothing and stay.
     """
-    groups = ngram_join.jaccard_components(docs)
+    groups = ngram_join.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     rows = docs.join(kept, "doc_id", "left_semi")
     first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))

@@ -250,3 +250,37 @@ def test_pipeline(spark):
             assert 100 * len(a & b) < 90 * len(a | b) or not a
     last = corpus_pipeline.run(spark, SF).collect()
     assert last and "sequence_id" in last[0]
+
+
+def test_near_duplicates_five_words(spark):
+    import corpus_pipeline
+
+    def runs(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    rng = np.random.default_rng(3)
+    texts = {}
+    for group in range(12):
+        words = [f"g{group}w{i}" for i in range(50 + 25 * group)]
+        for edits in (0, 1, 1 + len(words) // 50, 1 + len(words) // 25):
+            new = list(words)
+            for at in rng.choice(len(words), edits, replace=False):
+                new[at] = f"e{len(texts)}x{at}"
+            texts[len(texts)] = " ".join(new)
+    # One word of 50 changed: 45 of 51 runs of three words, 41 of 51 of five.
+    texts[90] = " ".join(f"p{i}" for i in range(50))
+    texts[91] = texts[90].replace("p20 ", "other ")
+    sets = {d: runs(t) for d, t in texts.items()}
+    label = {d: d for d in texts}
+    for _ in texts:
+        for a in texts:
+            for b in texts:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                    label[a] = label[b] = min(label[a], label[b])
+    rows = [(d, t, "en", "a", len(t), "x") for d, t in texts.items()]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, DOCS), SF)
+    kept = {r.doc_id for r in kept.collect()}
+    assert kept == {d for d, c in label.items() if d == c}
+    assert 90 in kept and 91 not in kept
