@@ -6,8 +6,9 @@ length.  A source owes ``target`` words; it has one slot per block it must give
 of each source are thrown over the output shards, so a shard's source counts
 are a multinomial draw, conditioned on the totals that the targets fix.  A slot
 is mapped to a block by its source's pseudorandom permutation for that pass (an
-affine map with a large prime, exact in decimals), and blocks are joined by
-(source, index).  The last slot of a source takes only the words still owed.
+affine map whose multiplier is coprime to the block count, exact in decimals),
+and blocks are joined by (source, index).  The last slot of a source takes only
+the words still owed.
 """
 
 from __future__ import annotations
@@ -25,8 +26,11 @@ REPEATS = 2
 WEIGHTS = (5, 2, 1)
 # Documents of a source are laid out in so many stretches, each numbered apart.
 STRETCHES = 1024
-# Multipliers of the permutations, one per pass: primes above any block count.
-PRIMES = (909090909090909091, 188748146801)
+# Multipliers of the permutations, one per pass.  That of the first pass is a product:
+# block counts that share one of its factors take PRIME, a prime above any block count.
+MULTIPLIERS = (5827 * 273919 * 208398431, 188748146801)
+FACTORS = (5827, 273919, 208398431)
+PRIME = 909090909090909091
 
 
 def document_sizes(documents: DataFrame) -> DataFrame:
@@ -81,11 +85,13 @@ def _laid_out(sizes: DataFrame) -> DataFrame:
 def _permuted(turn: Column, blocks: Column, second: Column, rank: Column) -> Column:
     """Block index of the ``turn``-th slot of a pass: a bijection on 0 .. blocks-1.
 
-    A prime above ``blocks`` shares no factor with it.
+    The multiplier shares no factor with ``blocks``.
     """
     big = "decimal(18,0)"
-    prime = F.when(second, PRIMES[1]).otherwise(PRIMES[0] % (1 << 59)).cast("decimal(18,0)")
-    step = F.pmod(prime, blocks.cast(big)).cast(big)
+    shares = F.greatest(*(F.when(blocks % f == 0, 1).otherwise(0) for f in FACTORS)) == 1
+    first = F.when(shares, PRIME).otherwise(MULTIPLIERS[0])
+    factor = F.when(second, MULTIPLIERS[1]).otherwise(first).cast(big)
+    step = F.pmod(factor, blocks.cast(big)).cast(big)
     return F.pmod(turn.cast(big) * step + (rank * 7919 + 11).cast(big), blocks.cast(big)).cast("long")
 
 

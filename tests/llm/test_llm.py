@@ -284,3 +284,21 @@ def test_near_duplicates_five_words(spark):
     kept = {r.doc_id for r in kept.collect()}
     assert kept == {d for d, c in label.items() if d == c}
     assert 90 in kept and 91 not in kept
+
+
+@pytest.mark.parametrize("blocks", [1, 5826, 5827, 11654, 273919])
+def test_each_block_once_a_pass(spark, blocks):
+    for second in (False, True):
+        block = mixing._permuted(F.col("id"), F.lit(blocks).cast("long"), F.lit(second), F.lit(2))
+        rows = spark.range(blocks).select(block.alias("block"))
+        assert rows.distinct().count() == blocks
+        assert rows.agg(F.min("block"), F.max("block")).first()[:] == (0, blocks - 1)
+
+
+@pytest.mark.parametrize("blocks", [5827, 11654])
+def test_mixing_of_factor_blocks(spark, blocks):
+    docs = spark.range(blocks).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 128).alias("text"), F.lit("a").alias("source")
+    )
+    got = mixing.mix_documents(docs).agg(F.sum("taken"), F.min("taken"), F.max("taken")).first()
+    assert got[:] == (blocks * 192, 128, 256)
