@@ -302,3 +302,11 @@ def test_mixing_of_factor_blocks(spark, blocks):
     )
     got = mixing.mix_documents(docs).agg(F.sum("taken"), F.min("taken"), F.max("taken")).first()
     assert got[:] == (blocks * 192, 128, 256)
+
+
+def test_graph_recall_of_the_beam():
+    x = np.random.default_rng(4).normal(size=(6000, 64))
+    q = x[::20]
+    found, _ = ann.search_graph(x, ann.build_graph(x), q, 20, ann.BEAM)
+    true = np.argsort(-(q @ x.T), axis=1)[:, :20]
+    assert np.mean([np.isin(t, f).mean() for t, f in zip(true, found, strict=True)]) >= 0.91
