@@ -1,6 +1,7 @@
 """Approximate nearest neighbours: one navigable small-world graph per shard.
 
-Rows are dealt to shards of bounded size by a hash of their id.  A shard's graph
+Equal vectors are one node.  Nodes are dealt to shards of bounded size by a hash
+of their id; found nodes become rows again at the end.  A shard's graph
 has levels of geometrically fewer nodes; each level is one flat array of
 neighbours.  Candidates of a node come from exact products with its own level
 and, for long links, with the levels above; the diversity rule keeps a
@@ -50,7 +51,7 @@ def _nearest(x: np.ndarray, rows: np.ndarray, pool: np.ndarray, k: int) -> np.nd
     near = x[rows] @ x[pool].T
     near[rows[:, None] == pool[None, :]] = -np.inf
     k = min(k, len(pool))
-    best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    best = np.argpartition(near, len(pool) - k, axis=1)[:, -k:]
     return pool[best]
 
 
@@ -163,9 +164,9 @@ def search_graph(
         opened[live, best] = True
         near = links[ids[live, best]]
         fresh = (near >= 0) & ~seen[live[:, None], near]
-        seen[live[:, None], np.maximum(near, 0)] |= near >= 0
         value = np.full(near.shape, -np.inf, np.float32)
         row, column = np.nonzero(fresh)
+        seen[live[row], near[row, column]] = True
         value[row, column] = np.einsum("nd,nd->n", q[live[row]], x[near[row, column]])
         # The best new ones take the places of the worst in the beam that they beat.
         now = score[live]
@@ -265,20 +266,21 @@ def _search(top: int, beam: int):
                 query_ids = np.frombuffer(row["query_ids"], np.int64)
                 q = np.frombuffer(row["queries"], np.float64).reshape(-1, dim)
                 levels = _unpack(row["nodes"], row["neighbours"], row["sizes"])
-                found, near = search_graph(x, levels, q, top + 1, beam)
-                # Rounding may swap close ones, so a few more than ``top`` are measured exactly.
-                few = min(found.shape[1], 2 * top + 8)
-                best = np.argpartition(-near, few - 1, axis=1)[:, :few]
-                found = np.take_along_axis(found, best, 1)
-                score = np.einsum("nd,nkd->nk", q, x[found])
-                score[(found < 0) | (ids[found] == query_ids[:, None])] = -np.inf
-                order = np.lexsort((ids[found], -score), axis=1)[:, :top]
+                found, _ = search_graph(x, levels, q, top + 1, beam)
+                # Rounding may swap close ones, so the whole beam is measured exactly.
+                score, step = np.empty(found.shape), max(1, (1 << 22) // (found.shape[1] * dim))
+                for at in range(0, len(q), step):
+                    cut = slice(at, at + step)
+                    score[cut] = np.einsum("nd,nkd->nk", q[cut], x[found[cut]])
+                score[found < 0] = -np.inf
+                # One more than ``top``: the query's own vector may have no copy.
+                order = np.lexsort((ids[found], -score), axis=1)[:, : top + 1]
                 found, score = np.take_along_axis(found, order, 1), np.take_along_axis(score, order, 1)
                 good = np.isfinite(score)
                 owner = np.broadcast_to(query_ids[:, None], found.shape)[good]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(owner), pa.array(ids[found][good]), pa.array(score[good])],
-                    ["query_id", "vec_id", "score"],
+                    ["query_id", "node", "score"],
                 )
 
     return run
@@ -301,7 +303,13 @@ def nearest(
     """
     vectors = clean_vectors(table, id_column, vector_column)
     vectors = stored(vectors.groupBy("vec_id").agg(F.min("vec").alias("vec")))
-    index = stored(build_index(vectors))
+    # Equal vectors are one node, named by the smallest id; no result needs more copies.
+    copies = W.partitionBy("vec").orderBy("vec_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    members = vectors.select(
+        "vec_id", "vec", F.row_number().over(copies).alias("copy"), F.min("vec_id").over(copies).alias("node")
+    ).where(F.col("copy") <= top + 1)
+    members = stored(members.select("node", "vec_id", F.when(F.col("copy") == 1, F.col("vec")).alias("vec")))
+    index = stored(build_index(members.where("vec IS NOT NULL").select("vec_id", "vec")))
     asked = vectors.where(F.col("vec_id") % every == 0)
     asked = asked.select(F.size("vec").cast("long").alias("dim"), "vec_id", "vec").coalesce(
         max(1, vectors.count() // (every * QUERY_BLOCK))
@@ -313,7 +321,10 @@ def nearest(
     shards = index.groupBy("dim").agg(F.collect_set("shard").alias("shard"))
     blocks = blocks.join(shards, "dim").withColumn("shard", F.explode("shard"))
     work = blocks.join(index, ["dim", "shard"]).repartition("shard", "block")
-    found = work.mapInArrow(_search(top, beam), "query_id long, vec_id long, score double")
+    found = work.mapInArrow(_search(top, beam), "query_id long, node long, score double")
+    nodes = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "node"))
+    found = found.withColumn("rank", nodes).where(F.col("rank") <= top + 1).drop("rank")
+    found = found.join(members.select("node", "vec_id"), "node").where("vec_id <> query_id")
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -310,3 +310,33 @@ def test_graph_recall_of_the_beam():
     found, _ = ann.search_graph(x, ann.build_graph(x), q, 20, ann.BEAM)
     true = np.argsort(-(q @ x.T), axis=1)[:, :20]
     assert np.mean([np.isin(t, f).mean() for t, f in zip(true, found, strict=True)]) >= 0.91
+
+
+def test_nearest_with_many_copies(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(900, 16))
+    x[100:500] = x[100]  # 400 copies
+    x[500:560] = x[500]
+    x[560:570] = x[560]
+    x[7], x[300] = 3 * x[100], x[100]  # the copies are the nearest of query 0 below
+    x[0] = x[100] + rng.normal(size=16) * 0.01
+    x = x[np.concatenate([[0], 1 + rng.permutation(899)])]  # ids of copies lie apart
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=5).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    product = np.einsum("nd,kd->nk", x, x)
+    _, same = np.unique(x, axis=0, return_inverse=True)
+    first = np.unique(same, return_index=True)[1][same.ravel()]
+    product = product[:, first]  # copies have one product
+    assert sorted(got) == list(range(0, 900, 5))
+    for q, ids in got.items():
+        best = [int(v) for v in np.lexsort((np.arange(900), -product[q])) if v != q][:20]
+        assert ids == best, q
+
+
+def test_beam_holds_a_node_once():
+    x = np.random.default_rng(2).normal(size=(300, 24))
+    found, _ = ann.search_graph(x, ann.build_graph(x), x[:20], 20, ann.BEAM)
+    assert all(len(set(f[f >= 0].tolist())) == (f >= 0).sum() for f in found)
