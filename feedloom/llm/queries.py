@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from feedloom.llm import (
     ann,
     chat,
+    collocations,
     embed_dedup,
+    hard_negatives,
     langid,
     mixing,
     ngram_join,
     packing,
     quality,
+    substring_dedup,
     url_lists,
     warc,
 )
@@ -109,6 +112,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(extra)))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -122,6 +137,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_language,
         op10_chat,
+        op11_hard_negatives,
+        op12_substring_dedup,
+        op13_collocations,
     )
 }
 
@@ -261,5 +279,71 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM l GROUP BY conv_id
+""",
+    "op11_hard_negatives": """
+WITH e AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.id AS anchor_id, a.label AS own, b.id, b.label, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM e a JOIN e b ON len(a.q) = len(b.q) AND a.id <> b.id WHERE a.id % 100 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE label <> own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""",
+    "op12_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), one AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+win AS (
+  SELECT doc_id, pos, word, list(word) OVER run AS run
+  FROM one WINDOW run AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), seen AS (
+  SELECT doc_id, pos, word, len(run) = 20 AND row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) > 1 AS later
+  FROM win
+), gone AS (
+  SELECT doc_id, pos, word, coalesce(bool_or(later) OVER (PARTITION BY doc_id ORDER BY pos
+    ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone FROM seen
+), left_over AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept
+  FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)
+""",
+    "op13_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM w, range(1, 6) t(k) WHERE len(w) >= k
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k >= 2),
+cut AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+s AS (
+  SELECT cut.lang, cut.phrase, cut.a, n.n, cut, x.f AS l, y.f AS r,
+    (1000::HUGEINT * cut.a * n.n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cut JOIN n ON n.lang = cut.lang
+  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.w[:cut], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.w[cut + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, cut) = 1
+), kept AS (
+  SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = s.lang AND c.a >= s.a
+    AND len(c.phrase) > len(s.phrase) AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score FROM kept QUALIFY rank <= 2000
 """,
 }
