@@ -2,7 +2,8 @@
 
 Two of the eight steps (compatibility composition and entity decoding) have no
 Spark built-in; they run in one Arrow function that only receives the texts
-they can change.  All other steps are JVM expressions.
+they can change, and that folds single characters too, as plain text has none
+to fold.  All other steps are JVM expressions.
 """
 
 from __future__ import annotations
@@ -12,15 +13,25 @@ import sys
 import unicodedata
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Characters folded one to one, and those folded to several.
-FOLD_FROM = "‘’“”–\u00a0«»"
-FOLD_TO = "''\"\"- \"\""
-FOLD_LONG = {"—": "--", "…": "..."}
+# Characters that are folded to others.
+FOLDED = {
+    "\u2018": "'",
+    "\u2019": "'",
+    "\u201c": '"',
+    "\u201d": '"',
+    "\u2014": "--",
+    "\u2013": "-",
+    "\u2026": "...",
+    "\u00a0": " ",
+    "\u00ab": '"',
+    "\u00bb": '"',
+}
 # Invisible characters that are removed.
 ZERO_WIDTH = "\u00ad\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff"
 # The characters Unicode text treats as blank.
@@ -29,20 +40,29 @@ BLANKS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# Fixed value: one short link at the very end of the text.  The look-behind
-# keeps long runs of blanks linear and changes no match.
+# Fixed value: the host of short links, one of which may end a text.
 LINK_HOST = "://t.co/"
-TRAILING_LINK = (
-    rf"(?<![{BLANKS}])[{BLANKS}]*+https?://t\.co/[\p{{L}}\p{{N}}_]++[{BLANKS}]*+\z"
-)
+LINK_REST = rf"\A[\p{{L}}\p{{N}}_]++[{BLANKS}]*+\z"
 
 
 def _decode(text: str | None) -> str | None:
+    """Composition, entities and folded characters of one text.
+
+    The two commonest characters that composition would replace are replaced
+    first, with the same result, so that most texts need no composition.
+    """
     if text is None:
         return None
+    text = text.replace("\u2026", "...").replace("\u00a0", " ")
     if not unicodedata.is_normalized("NFKC", text):
         text = unicodedata.normalize("NFKC", text)
-    return html.unescape(text)
+    if "&" in text:
+        text = html.unescape(text)
+    for char, spelled in FOLDED.items():
+        text = text.replace(char, spelled)
+    for char in ZERO_WIDTH:
+        text = text.replace(char, "")
+    return text
 
 
 def _decode_column(texts: pa.Array) -> pa.Array:
@@ -50,9 +70,8 @@ def _decode_column(texts: pa.Array) -> pa.Array:
 
 
 def _decode_lists(lists: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if ts is None else [_decode(t) for t in ts] for ts in lists.to_pylist()],
-        pa.list_(pa.string()),
+    return pa.ListArray.from_arrays(
+        pc.subtract(lists.offsets, lists.offsets[0]), _decode_column(lists.flatten()), mask=lists.is_null()
     )
 
 
@@ -72,32 +91,29 @@ def _is_ascii(text: Column) -> Column:
 
 
 def _needs_decoding(text: Column) -> Column:
-    """A text of plain ASCII without ``&`` is a fixed point of both Python steps."""
+    """A text of plain ASCII without ``&`` is a fixed point of these steps."""
     return ~_is_ascii(text) | F.contains(text, F.lit("&"))
 
 
-def _fold_characters(text: Column) -> Column:
-    # ``translate`` drops the characters that have no counterpart.
-    folded = F.translate(text, FOLD_FROM + ZERO_WIDTH, FOLD_TO)
-    for char, spelled in FOLD_LONG.items():
-        folded = F.replace(folded, F.lit(char), F.lit(spelled))
-    return folded
-
-
 def _only_if(condition: Column, changed: Column, text: Column) -> Column:
     return F.when(condition, changed).otherwise(text)
 
 
 def _fold_link(text: Column) -> Column:
-    return _only_if(
-        F.contains(text, F.lit(LINK_HOST)), F.regexp_replace(text, TRAILING_LINK, ""), text
-    )
+    """Without the short link at the very end; only what follows the last one is searched."""
+    rest = F.substring_index(text, LINK_HOST, -1)
+    head = F.left(text, F.length(text) - F.length(rest) - len(LINK_HOST))
+    secure = F.endswith(head, F.lit("https"))
+    cut = F.rtrim(F.left(head, F.length(head) - F.when(secure, 5).otherwise(4)), F.lit(BLANKS))
+    link = F.contains(text, F.lit(LINK_HOST)) & rest.rlike(LINK_REST) & (secure | F.endswith(head, F.lit("http")))
+    return _only_if(link, cut, text)
 
 
 def _fold_blanks(text: Column) -> Column:
+    spaced = _only_if(F.contains(text, F.lit("\t")), F.replace(text, F.lit("\t"), F.lit(" ")), text)
     return _only_if(
         F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t")),
-        F.regexp_replace(text, r"[ \t]+", " "),
+        F.regexp_replace(spaced, "  +", " "),
         text,
     )
 
@@ -114,14 +130,7 @@ def _fold(texts: Column) -> Column:
     Every step is guarded by a cheap test that holds whenever it would act, so
     long texts are not scanned by patterns that cannot match.
     """
-    steps = (
-        lambda t: _only_if(_is_ascii(t), t, _fold_characters(t)),
-        _fold_link,
-        _fold_blanks,
-        _fold_lines,
-        lambda t: F.trim(t, F.lit(BLANKS)),
-    )
-    for step in steps:
+    for step in (_fold_link, _fold_blanks, _fold_lines, lambda t: F.trim(t, F.lit(BLANKS))):
         texts = F.transform(texts, step)
     return texts
 

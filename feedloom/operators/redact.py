@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.redaction import (
-    PATTERNS,
-    looks_like_secret,
     redact_array,
     redact_map,
     redact_text,
+    secret_words,
+    sensitive_keys,
 )
 
 
@@ -40,11 +40,11 @@ def secret_report(table: DataFrame, column: str, mode: str = "strict") -> DataFr
     """
     text = F.col(column)
     keys = F.transform(
-        F.regexp_extract_all(text, F.lit(PATTERNS[mode]), F.lit(1)),
+        sensitive_keys(text, mode),
         lambda k: F.struct(F.lit("key").alias("kind"), F.lower(k).alias("finding")),
     )
     tokens = F.transform(
-        F.filter(F.split(text, r"(?U)\s+", -1), looks_like_secret),
+        secret_words(text),
         lambda t: F.struct(F.lit("token").alias("kind"), F.lit("token").alias("finding")),
     )
     found = table.select(F.explode_outer(F.concat(keys, tokens)).alias("hit"))

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import html
+import unicodedata
+
+import pyarrow as pa
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from feedloom.functions.redaction import mask_secret
+from feedloom.functions.redaction import KEY_PARTS, PATTERNS, looks_like_secret, mask_secret, may_hold_key, secret_words
 from feedloom.functions.scalars import is_infinite, safe_int, strict_int
-from feedloom.functions.text import normalize_text, normalize_texts
+from feedloom.functions.text import FOLDED, ZERO_WIDTH, _decode_column, _decode_lists, normalize_text, normalize_texts
 from feedloom.operators.redact import redact_table, secret_report
 
 RELAXED = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -65,6 +69,24 @@ def test_normalize_arrays(spark):
     assert {r.i: r.n for r in rows} == {1: ["a&b", "", "x"], 2: None, 3: ["q"]}
 
 
+def test_links_at_the_end(spark):
+    kept = ["x://t.co/a", "https://t.co/a b", "https://t.co/", "https://t.co/a/", "http//t.co/a", "https://t.co/a-b"]
+    cut = {"https://t.co/a": "", "q\u3000http://t.co/\u00e9_1 \u2003": "q", "://t.co/ https://t.co/b": "://t.co/", "xhttps://t.co/b": "x"}
+    assert run_normalize(spark, kept + list(cut)) == kept + list(cut.values())
+
+
+def test_every_code_point_decodes_as_alone():
+    """A whole column at a time gives what each text gives by itself."""
+    chars = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000 and unicodedata.category(c) != "Cn"]
+    texts = [*chars, *(f"e{c}\u0301" for c in chars[:20_000]), "&amp;lt;", "&#x2014;", None, "&", "&copy"]
+    plain = [t if t is None else html.unescape(unicodedata.normalize("NFKC", t)) for t in texts]
+    expected = [t if t is None else "".join(FOLDED.get(c, "" if c in ZERO_WIDTH else c) for c in t) for t in plain]
+    assert _decode_column(pa.array(texts, pa.string())).to_pylist() == expected
+    lists = pa.array([["\u2014", None], None, [], ["&lt;"]], pa.list_(pa.string()))
+    assert _decode_lists(lists).to_pylist() == [["--", None], None, [], ["<"]]
+    assert _decode_lists(lists.slice(1)).to_pylist() == [None, [], ["<"]]
+
+
 def test_long_blank_runs_stay_fast(spark):
     text = "a" + " \r" * 100_000 + "b" + "\n" * 100_000
     assert run_normalize(spark, [text]) == ["a" + " \r" * 100_000 + "b"]
@@ -160,3 +182,33 @@ def test_secret_report(spark):
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     rows = {(r.kind, r.finding): r.n for r in secret_report(frame, "t").collect()}
     assert rows == {("key", "token"): 2, ("key", "password"): 1, ("token", "token"): 1}
+
+
+def test_cheap_test_misses_no_key(spark):
+    """Whatever letter stands in a key, a text that the search would find passes."""
+    keys = F.explode(F.array(*map(F.lit, ("cookie", "bearer", "token", "api_key", "password", "authorization"))))
+    odd = [(chr(c),) for c in (*range(0x80, 0x3000), *range(0xA640, 0xAB70), *range(0xFF00, 0xFF60))]
+    texts = spark.createDataFrame(odd, "c string").select("c", keys.alias("key"))
+    texts = texts.withColumn("at", F.explode(F.sequence(F.lit(1), F.length("key"))))
+    text = F.concat(F.expr("left(key, at - 1)"), F.col("c"), F.expr("substring(key, at + 1)"), F.lit("=x"))
+    found = texts.select(text.alias("t")).where(F.col("t").rlike(PATTERNS["plain"]))
+    assert found.count() >= 10
+    assert found.where(~may_hold_key(F.col("t"))).collect() == []
+    assert len(KEY_PARTS) == len(set(KEY_PARTS))
+
+
+def test_marks_do_not_show(spark):
+    texts = ["\x01token=abc\x01", "token=$1 \\2 secret: 'q", "token=a token=b\ntoken:c", "Token : \"abcdefghijkl", None, "", "tokens"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.t for r in sorted(redact_table(frame, ["t"], "plain").collect())]
+    assert got == ["\x01token=****", "token=** \\2 secret=*", "token=* token=*\ntoken=*", "Token=abcd****ijkl", None, "", "tokens"]
+    plan = redact_table(frame, ["t"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 and "rlike" not in plan.lower() and "regexp_extract" not in plan
+
+
+def test_secret_words(spark):
+    run = "a" * 40
+    texts = [run, f"x {run}\u3000{run[:39]}", f"{run}!", f"!{run}", f"{run}\n{run}==", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = frame.select("i", secret_words(F.col("t")).alias("w"), F.filter(F.split("t", r"(?U)\s+"), looks_like_secret).alias("v")).collect()
+    assert all(r.w == r.v for r in rows) and [len(r.w) for r in sorted(rows)] == [1, 1, 0, 0, 2, 0]
