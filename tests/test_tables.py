@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+import re
 import tempfile
 
 import pytest
@@ -10,6 +11,7 @@ import shapes as s
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.functions.stems import stem_words
 from feedloom.operators.articles import articles_to_markdown
 from feedloom.operators.maintenance import (
     OBSOLETE_TWEET_COLUMNS,
@@ -24,7 +26,7 @@ from feedloom.operators.maintenance import (
 from feedloom.operators.merge import COLUMNS, delta_tweets, merge_counts, merge_tweets, upsert_users
 from feedloom.operators.profiles import parse_profiles
 from feedloom.operators.reads import read_unprocessed
-from feedloom.operators.search import build_text_index, search, write_text_index
+from feedloom.operators.search import TextIndex, build_text_index, search, write_text_index
 from feedloom.schemas import RUNS, TWEETS, USERS
 from feedloom.sources.payloads import ingest_payloads
 from feedloom.sources.tables import VersionedTable
@@ -283,6 +285,48 @@ def test_search(spark):
     assert "PartitionFilters: [isnotnull(term_bucket" in plan and "PushedFilters" in plan
 
 
+def test_stems(spark):
+    expected = dict(
+        pair.split(":")
+        for pair in """
+        consign:consign consistency:consist consistent:consist knightly:knight generous:generous generate:generat
+        hopping:hop hoped:hope hop:hop relational:relat rational:ration skies:sky dying:die happy:happi says:say
+        ponies:poni cries:cri ties:tie agreed:agre feed:feed enjoying:enjoy boy:boy luxuriating:luxuri gas:gas this:this
+        kiwis:kiwi caresses:caress sensational:sensat conditional:condit fluently:fluentli vileness:vile adoption:adopt
+        adjustment:adjust controlling:control rolled:roll bed:bed shed:shed shredded:shred news:news inning:inning
+        innings:inning proceed:proceed proceeds:proceed by:by sky:sky only:onli archaeology:archaeolog run:run runs:run
+        running:run sized:size fitted:fit bowed:bow boxed:box yellow:yellow youth:youth sayings:say probate:probat
+        communism:communism commune:commune arsenal:arsenal cosmos:cosmos w2s:w2s a_s:a_s
+        """.split()
+    )
+    rows = stem_words(spark.createDataFrame([(w,) for w in [*expected, None]], "term string")).collect()
+    assert {r.term: r.stem for r in rows} == expected | {None: None}
+
+
+def test_stored_index(spark):
+    texts = {1: "The quick brown Fox runs", 2: "quick foxes ran", 3: "running élan", 4: "of the and", 5: None}
+    path = tempfile.mkdtemp(prefix="feedloom-test-") + "/index"
+    index = TextIndex(spark, path)
+
+    def found(query):
+        return sorted(r.id for r in index.search(query).collect())
+
+    assert index.segments() == [] and found("") == []
+    docs = spark.createDataFrame(list(texts.items()), "id bigint, text string")
+    assert index.append(0, docs) and not index.append(0, docs)
+    assert (found("fox"), found("Run"), found("foxes quickly"), found("élan run"), found("none"), found("the")) == (
+        [1, 2], [1, 3], [1, 2], [3], [], []
+    )
+    # A later segment replaces the words of a post and leaves the others.
+    assert index.append(3, spark.createDataFrame([(1, "brown bears"), (9, "fox run")], docs.schema))
+    assert (found("fox"), found("run"), found("bear"), found("brown")) == ([2, 9], [3, 9], [1], [1])
+    plan = index.search("run bears")._jdf.queryExecution().executedPlan().toString()
+    buckets = spark.createDataFrame([(t,) for t in index.words("run bears")], "term string")
+    buckets = {r[0] for r in buckets.select(F.pmod(F.xxhash64("term"), F.lit(256))).collect()}
+    (listed,) = set(re.findall(r"term_bucket#\d+L? (?:IN \(([^)]*)\)|= \d+)", plan))
+    assert {int(b) for b in listed.split(",")} == buckets
+
+
 def test_articles(spark):
     def article(blocks, title="T"):
         return {"article": {"article_results": {"result": {"title": title, "content_state": {"blocks": blocks}}}}}
