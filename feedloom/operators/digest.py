@@ -45,34 +45,34 @@ def post_markdown(position: Column) -> Column:
     )
 
 
-def _section(title: str, count: str, change: str, *notes: str) -> Column:
-    chosen = F.filter("_posts", lambda p: p["change_type"] == change)
-    heading = F.concat(F.lit(f"## {title} ("), F.col(count).cast("string"), F.lit(")"))
-    posts = F.array_join(F.transform(chosen, lambda p: p["md"]), "\n")
-    return F.when(F.size(chosen) > 0, _lines("---", "", heading, *notes, "", posts))
+# Parts of a report, in order.
+HEADER, NEW, UPDATED = range(3)
+
+
+def _heading(title: str, count: str, *notes: str) -> Column:
+    line = F.concat(F.lit(f"## {title} ("), F.col(count).cast("string"), F.lit(")"))
+    return _lines("---", "", line, *notes, "")
 
 
 def render_digest(feed: DataFrame, changes: DataFrame, ledger: DataFrame) -> DataFrame:
-    """``(run_id, operation, markdown)`` for every closed run of ``ledger``.
+    """The report of every closed run of ``ledger``, a row per part of it.
 
-    ``feed`` carries ``feed_pos``.  A section lists the posts that are new, or
-    updated, in that feed.  The posts of one feed make one text.
+    Rows ``(run_id, operation, name, section, feed_pos, markdown)``: the header,
+    then per section its heading (``feed_pos`` 0) and its posts, which are new, or
+    updated, in that feed.  ``feed`` carries ``feed_pos``.  In the order of
+    ``section`` and ``feed_pos`` the rows are the report; no step gathers a feed.
     """
-    posts = feed_changes(feed, changes).select(
-        *FEED,
-        F.struct(
-            "feed_pos", "change_type", post_markdown(F.col("feed_pos")).alias("md")
-        ).alias("_post"),
-    )
-    gathered = posts.groupBy(*FEED).agg(F.array_sort(F.collect_list("_post")).alias("_posts"))
-    rows = ledger.withColumnRenamed("id", "run_id").join(gathered, list(FEED), "left")
+    ledger = ledger.withColumnRenamed("id", "run_id")
+    name = F.concat(
+        F.lit("scrape_"), F.col("operation"), F.lit("_"), F.date_format("completed_at", "yyyyMMdd_HHmmss")
+    ).alias("name")
 
     def field(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"| **{name}** | "), value.cast("string"), F.lit(" |"))
 
     errors = F.when(F.size("errors") > 0, field("Errors", F.to_json("errors")))
     stamp = F.concat(F.date_format("completed_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
-    report = _lines(
+    header = _lines(
         "# Scrape Report",
         "",
         "| Field | Value |",
@@ -85,22 +85,38 @@ def render_digest(feed: DataFrame, changes: DataFrame, ledger: DataFrame) -> Dat
         field("Updated", F.col("tweets_updated")),
         errors,
         "",
-        _section("New Tweets", "tweets_new", "new"),
-        _section(
-            "Updated Tweets",
-            "tweets_updated",
-            "updated",
-            "_These tweets were already in the table._",
-        ),
     )
-    name = F.concat(
-        F.lit("scrape_"), F.col("operation"), F.lit("_"), F.date_format("completed_at", "yyyyMMdd_HHmmss")
+    fresh = _heading("New Tweets", "tweets_new")
+    known = _heading("Updated Tweets", "tweets_updated", "_These tweets were already in the table._")
+    parts = F.array(
+        F.struct(F.lit(HEADER).alias("section"), header.alias("markdown")),
+        F.struct(F.lit(NEW).alias("section"), F.when(F.col("tweets_new") > 0, fresh).alias("markdown")),
+        F.struct(F.lit(UPDATED).alias("section"), F.when(F.col("tweets_updated") > 0, known).alias("markdown")),
     )
-    return rows.select(*FEED, name.alias("name"), report.alias("markdown"))
+    heads = ledger.select(*FEED, name, F.explode(parts).alias("_part")).where("_part.markdown IS NOT NULL")
+    heads = heads.select(*FEED, "name", "_part.section", F.lit(0).cast("long").alias("feed_pos"), "_part.markdown")
+    posts = feed_changes(feed, changes).select(
+        *FEED,
+        F.when(F.col("change_type") == "new", NEW).otherwise(UPDATED).alias("section"),
+        F.col("feed_pos").cast("long").alias("feed_pos"),
+        post_markdown(F.col("feed_pos")).alias("markdown"),
+    )
+    posts = posts.join(ledger.select(*FEED, name), list(FEED))
+    return heads.unionByName(posts)
 
 
 def write_digest(digest: DataFrame, path: str) -> None:
-    """One Markdown text per run and feed, under ``run_id=/operation=/name=``."""
-    digest.select(*FEED, "name", "markdown").write.mode("overwrite").option(
-        "lineSep", "\n"
-    ).partitionBy(*FEED, "name").text(path)
+    """Reports as text under ``run_id=/operation=/name=``, in sorted parts.
+
+    Rows are dealt by range, so a long report is written by several tasks; its
+    part files, read by name, follow each other.
+    """
+    folder = (*FEED, "name")
+    # Not null, so that the writer sees that rows are sorted by folder already.
+    keys = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in folder]
+    order = (*folder, "section", "feed_pos")
+    rows = digest.select(*keys, "section", "feed_pos", "markdown")
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.select(*folder, "markdown").write.mode("overwrite").option("lineSep", "\n").partitionBy(
+        *folder
+    ).text(path)

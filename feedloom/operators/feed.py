@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from itertools import chain
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Hard cap of a feed, posts assumed per page, spare pages.
@@ -45,6 +45,23 @@ def resolve_operations(requests: DataFrame, column: str = "operation") -> DataFr
     return requests.select(*others, F.posexplode(feeds).alias("feed_seq", column))
 
 
+def known_operation(name: Column) -> Column:
+    """Whether a (resolved) name is a feed; null is none."""
+    feeds = sorted({feed for feeds in OPERATION_ALIASES.values() for feed in feeds})
+    return F.coalesce(name.isin(feeds), F.lit(False))
+
+
+def canonical_operation(name: Column) -> Column:
+    """The feed a captured page belongs to: a name that stands for one feed only.
+
+    Names of several feeds and unknown ones stay, lower-cased and trimmed.
+    """
+    name = F.lower(F.trim(name))
+    single = {alias: feeds[0] for alias, feeds in OPERATION_ALIASES.items() if len(feeds) == 1}
+    table = F.create_map(*[F.lit(x) for item in single.items() for x in item])
+    return F.coalesce(F.try_element_at(table, name), name)
+
+
 def effective_count(count: int, hard_cap: int = MAX_COUNT) -> int:
     return max(0, min(count, hard_cap))
 
@@ -100,14 +117,42 @@ def first_seen(parsed: DataFrame) -> DataFrame:
     return posts.withColumn("_seen", F.row_number().over(arrival)).where("_seen = 1").drop("_seen")
 
 
+# Pages of a feed that are numbered together.
+PAGE_BLOCK = 1024
+
+
+def _posts_before(sizes: DataFrame) -> DataFrame:
+    """``_before``: how many posts the pages before each page of a feed hold.
+
+    Running sums over blocks of pages, then over the pages of a block, so that
+    no window sees more than a block's pages or a feed's blocks.
+    """
+    block = F.floor(F.col("page_no") / PAGE_BLOCK)
+    sizes = sizes.withColumn("_block", block)
+    earlier = (Window.unboundedPreceding, -1)
+    by_block = Window.partitionBy(*FEED).orderBy("_block").rowsBetween(*earlier)
+    by_page = Window.partitionBy(*FEED, "_block").orderBy("page_no").rowsBetween(*earlier)
+    blocks = sizes.groupBy(*FEED, "_block").agg(F.sum("_size").alias("_size"))
+    blocks = blocks.select(*FEED, "_block", F.coalesce(F.sum("_size").over(by_block), F.lit(0)).alias("_blocks"))
+    pages = sizes.withColumn("_pages", F.coalesce(F.sum("_size").over(by_page), F.lit(0)))
+    return pages.join(blocks, [*FEED, "_block"]).select(*PAGE, (F.col("_blocks") + F.col("_pages")).alias("_before"))
+
+
 def cap_feed(posts: DataFrame, count: int | None = None, hard_cap: int = MAX_COUNT) -> DataFrame:
     """Posts of every feed in arrival order, numbered as ``feed_pos``.
 
-    With ``count`` only the first ``min(count, hard_cap)`` stay.
+    With ``count`` only the first ``min(count, hard_cap)`` stay: a rank with a
+    bound.  Without it posts are numbered inside their page, after the posts of
+    all pages before it, so a feed of any length is spread over its pages.
     """
-    arrival = Window.partitionBy(*FEED).orderBy(*ARRIVAL)
-    posts = posts.withColumn("feed_pos", F.row_number().over(arrival))
-    return posts if count is None else posts.where(F.col("feed_pos") <= effective_count(count, hard_cap))
+    if count is not None:
+        arrival = Window.partitionBy(*FEED).orderBy(*ARRIVAL)
+        posts = posts.withColumn("feed_pos", F.row_number().over(arrival).cast("long"))
+        return posts.where(F.col("feed_pos") <= effective_count(count, hard_cap))
+    in_page = Window.partitionBy(*PAGE).orderBy(*[c for c in ARRIVAL if c not in PAGE])
+    before = _posts_before(posts.groupBy(*PAGE).agg(F.count("*").alias("_size")))
+    numbered = posts.withColumn("_no", F.row_number().over(in_page)).join(before, list(PAGE))
+    return numbered.withColumn("feed_pos", F.col("_before") + F.col("_no")).drop("_before", "_no")
 
 
 def assemble_feed(parsed: DataFrame, pages: DataFrame, count: int | None = None) -> DataFrame:

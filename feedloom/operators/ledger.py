@@ -7,20 +7,26 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.feed import FEED, chain_pages, feed_changes
+from feedloom.operators.feed import FEED, PAGE, chain_pages, feed_changes, known_operation
 from feedloom.operators.parse import timestamp_literal
-from feedloom.operators.stats import COUNTERS, parse_stats
+from feedloom.operators.stats import COUNTERS, counter_columns, drop_rate
 from feedloom.schemas import RUNS
 
-# Error codes of the ledger, by page status.
+# Error codes of the ledger.
 PAGE_ERROR = "SCRAPE_ERROR"
 STORE_ERROR = "DB_ERROR"
+NAME_ERROR = "UNKNOWN_OPERATION"
 
 
 def open_runs(
     requests: DataFrame, started_at: datetime | str | Column, metadata: dict[str, str] | None = None
 ) -> DataFrame:
-    """Ledger rows with status ``running`` for ``(run_id, operation)`` requests."""
+    """Ledger rows with status ``running`` for ``(run_id, operation)`` requests.
+
+    An operation that names no feed is noted as an error from the start.
+    """
+    unknown = F.struct(F.lit(NAME_ERROR).alias("code"), F.col("operation").alias("message"))
+    errors = F.array_compact(F.array(F.when(~known_operation(F.col("operation")), unknown)))
     pairs = [F.lit(x) for item in (metadata or {}).items() for x in item]
     filled = {
         "id": F.col("run_id"),
@@ -30,7 +36,7 @@ def open_runs(
         "tweets_fetched": F.lit(0),
         "tweets_new": F.lit(0),
         "tweets_updated": F.lit(0),
-        "errors": F.array(),
+        "errors": errors,
         "metadata": F.create_map(*pairs),
     }
     return requests.select(
@@ -77,6 +83,11 @@ def run_totals(feed: DataFrame, changes: DataFrame) -> DataFrame:
     )
 
 
+def page_counters(parsed: DataFrame) -> DataFrame:
+    """Counters of every page that held anything to parse; they add up to a feed's."""
+    return parsed.groupBy(*PAGE).agg(*counter_columns())
+
+
 def close_runs(
     opened: DataFrame,
     pages: DataFrame,
@@ -93,6 +104,21 @@ def close_runs(
     ``parse_stats`` covers the kept pages.
     """
     kept = chain_pages(pages, count, parsed)
+    counters = page_counters(parsed.join(kept.select(*PAGE), list(PAGE), "left_semi"))
+    return close_feeds(opened, kept, counters, run_totals(feed, changes), completed_at)
+
+
+def close_feeds(
+    opened: DataFrame,
+    kept: DataFrame,
+    counters: DataFrame,
+    totals: DataFrame,
+    completed_at: datetime | str | Column,
+) -> DataFrame:
+    """``close_runs`` from the kept pages, their counters and the feeds' totals.
+
+    A feed whose operation is unknown fails with that code, whatever its pages are.
+    """
     bad = F.col("status") != "ok"
     error = F.struct(
         F.lit(PAGE_ERROR).alias("code"), F.col("error_message").alias("message")
@@ -103,19 +129,17 @@ def close_runs(
             "_cursor"
         ),
     )
-    on_kept = parsed.join(kept.select(*FEED, "page_no"), [*FEED, "page_no"], "left_semi")
-    stats = parse_stats(on_kept, list(FEED)).select(
-        *FEED,
-        F.struct(*COUNTERS, F.round("drop_rate_percent", 1).alias("drop_rate_percent")).alias(
-            "_stats"
-        ),
-    )
+    counted = counters.groupBy(*FEED).agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    stats = counted.select(*FEED, F.struct(*COUNTERS, F.round(drop_rate(), 1).alias("drop_rate_percent")).alias("_stats"))
     rows = opened.withColumnRenamed("id", "run_id").select(
-        "run_id", "started_at", "operation", "metadata"
+        "run_id", "started_at", "operation", "metadata", F.col("errors").alias("_opened")
     )
-    for part in (chains, run_totals(feed, changes), stats):
+    for part in (chains, totals, stats):
         rows = rows.join(part, list(FEED), "left")
-    errors = F.when(F.col("_error").isNotNull(), F.array("_error")).otherwise(F.array())
+    errors = F.when(F.size("_opened") > 0, F.col("_opened")).when(
+        F.col("_error").isNotNull(), F.array("_error")
+    )
+    errors = F.coalesce(errors, F.array())
     filled = {
         "id": F.col("run_id"),
         "started_at": F.col("started_at"),

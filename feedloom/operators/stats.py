@@ -29,12 +29,15 @@ def drop_rate() -> Column:
     return F.when(F.col("raw") > 0, dropped / F.col("raw") * 100).otherwise(F.lit(0.0))
 
 
+def alert() -> Column:
+    """Too much was dropped, of enough rows to tell."""
+    return (drop_rate() > ALERT_RATE) & (F.col("raw") > ALERT_ROWS)
+
+
 def parse_stats(parsed: DataFrame, by: list[str]) -> DataFrame:
     """One row of counters per group, with ``drop_rate_percent`` and ``alert``.
 
     The rate is left unrounded; reports round it to one decimal.
     """
     counted = parsed.groupBy(*by).agg(*counter_columns())
-    return counted.withColumn("drop_rate_percent", drop_rate()).withColumn(
-        "alert", (F.col("drop_rate_percent") > ALERT_RATE) & (F.col("raw") > ALERT_ROWS)
-    )
+    return counted.withColumns({"drop_rate_percent": drop_rate(), "alert": alert()})

@@ -131,8 +131,8 @@ def thread_pages(conversations: DataFrame) -> DataFrame:
 PAGES_PER_RUN = 50
 
 
-def event_pages(events: DataFrame) -> DataFrame:
-    """Events as feeds: pages of ``PAGE_SIZE`` posts, ``PAGES_PER_RUN`` per run.
+def event_pages(events: DataFrame, operation: str = "home") -> DataFrame:
+    """Events as feeds of one operation: pages of ``PAGE_SIZE`` posts, ``PAGES_PER_RUN`` per run.
 
     The post id is the event's user, so ids repeat and user 0 has no id.  Some
     pages do not advance their cursor, some have none, some report an error.
@@ -166,7 +166,7 @@ def event_pages(events: DataFrame) -> DataFrame:
     error = F.lit('{"errors":[{"code":130,"message":"over capacity"}]}')
     return grouped.select(
         F.concat(F.lit("run-"), F.col("run")).alias("run_id"),
-        F.lit("home").alias("operation"),
+        F.lit(operation).alias("operation"),
         "page_no",
         F.when(F.col("page_no") > 0, request).alias("request_cursor"),
         F.when(mark % 37 == 29, error).otherwise(page(entries)).alias("value"),

@@ -6,18 +6,30 @@ import tempfile
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.operators.digest import render_digest, write_digest
-from feedloom.operators.feed import FEED, assemble_feed, merge_order
+from feedloom.operators.feed import (
+    ARRIVAL,
+    FEED,
+    PAGE,
+    assemble_feed,
+    canonical_operation,
+    chain_pages,
+    feed_changes,
+    known_operation,
+    merge_order,
+)
 from feedloom.operators.flatten import flatten_timeline, page_summary
-from feedloom.operators.ledger import close_runs, fail_runs, latest_runs, open_runs
+from feedloom.operators.ledger import close_feeds, fail_runs, latest_runs, open_runs, page_counters
 from feedloom.operators.maintenance import split_valid, validate_tweets
 from feedloom.operators.merge import delta_tweets, delta_users
 from feedloom.operators.parse import parse_tweets
 from feedloom.operators.profiles import parse_profiles
+from feedloom.operators.stats import COUNTERS, alert, counter_columns, drop_rate
 from feedloom.schemas import RUNS, TWEETS, USERS
 from feedloom.session import configure
 from feedloom.sources.payloads import ingest_payloads
@@ -66,11 +78,27 @@ def run_ledger_table(spark: SparkSession, path: str) -> DataFrame:
     return latest_runs(opened, closed)
 
 
-def _of_versions(step: DataFrame, path: str, versions: list[int], runs: DataFrame) -> DataFrame:
-    """Rows of ``runs`` that a step stored in some versions, as ``page_version``."""
-    schema = T.StructType([*step.schema.fields, T.StructField("v", T.LongType())])
-    rows = step.sparkSession.read.schema(schema).parquet(path).where(F.col("v").isin(versions))
-    return rows.join(runs, "run_id", "left_semi").withColumnRenamed("v", "page_version")
+# State of runs lies in folders by hash of the run, at most so many.
+STATE_BUCKETS = 64
+# Where a post was first seen, and whether the table had it before.
+SEEN = "id BIGINT, page_no INT, instr_pos INT, entry_pos INT, item_pos INT, is_new BOOLEAN"
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("run_id"), F.lit(STATE_BUCKETS)).cast("int")
+
+
+def _write_state(rows: DataFrame, path: str, version: int) -> None:
+    rows = rows.withColumn("run_bucket", _bucket()).hint("rebalance", "run_bucket")
+    rows.write.mode("overwrite").partitionBy("run_bucket").parquet(f"{path}/v={version}")
+
+
+def _read_state(schema: T.StructType, path: str, version: int, runs: DataFrame, buckets: list[int]) -> DataFrame:
+    """What the versions before ``version`` stored of ``runs``; only their folders are read."""
+    extra = T.StructType.fromDDL("v BIGINT, run_bucket INT").fields
+    rows = runs.sparkSession.read.schema(T.StructType([*schema.fields, *extra])).parquet(path)
+    rows = rows.where((F.col("v") < version) & F.col("run_bucket").isin(buckets))
+    return rows.join(runs, "run_id", "left_semi").select(*schema.fieldNames())
 
 
 def _ingest_time(bronze: DataFrame, table: VersionedTable, version: int) -> str | None:
@@ -91,9 +119,11 @@ def ingest_batch(
     """Bronze -> parse -> feed -> merge -> ledger -> digest under ``path``.
 
     ``pages`` has ``run_id, operation, page_no, request_cursor, captured_at,
-    value`` and optionally ``http_status``.  The pages of a run may come in
-    several batches: its feed and ledger row are then made again from all of
-    them, and the posts of the newer pages are merged.  ``ingest_ts`` defaults
+    value`` and optionally ``http_status``; an operation may be any name of one
+    feed.  The pages of a run may come in several batches.  A batch parses its own
+    pages only; of earlier ones it reads a row per page and a row per id, from
+    which feed places and ledger rows are made.  Its digest has the posts it
+    brought.  ``ingest_ts`` defaults
     to the latest capture time (never earlier than a former batch's), so a
     replayed batch gives the same rows; a version that was stored is left as it
     is.  Every captured post is kept; ``count`` limits each feed as a crawler
@@ -105,7 +135,8 @@ def ingest_batch(
     """
     spark = configure(pages.sparkSession)
     posts = tweet_table(spark, path, range_bits)
-    bronze = stored(ingest_payloads(pages), f"{path}/bronze/v={version}")
+    named = pages.withColumn("operation", canonical_operation(F.col("operation")))
+    bronze = stored(ingest_payloads(named), f"{path}/bronze/v={version}")
     if ingest_ts is None:
         ingest_ts = _ingest_time(bronze, posts, version)
         if ingest_ts is None:
@@ -132,39 +163,89 @@ def _ingest(
     count: int | None,
     on_violation: str,
 ) -> bool:
-    summary = stored(page_summary(bronze), f"{path}/pages/v={version}")
-    parsed = stored(parse_tweets(flatten_timeline(bronze), ingest_ts), f"{path}/parsed/v={version}")
+    """Own pages plus narrow state: page rows with counters, and where ids were first seen."""
+    spark = opened.sparkSession
+    known = bronze.where(known_operation(F.col("operation")))
+    candidates = parse_tweets(flatten_timeline(known), ingest_ts)
+    observed = Observation("parsed")
+    parsed = stored(candidates.observe(observed, *counter_columns()), f"{path}/parsed/v={version}")
+    _write_stats(spark, observed.get, f"{path}/batch_stats/v={version}")
+    own_pages = stored(
+        page_summary(known).join(page_counters(parsed), list(PAGE), "left"), f"{path}/pages/v={version}"
+    )
 
-    # Page summaries are narrow; parsed posts are read of the versions they name.
     runs = opened.select(F.col("id").alias("run_id")).distinct()
-    schema = T.StructType([*summary.schema.fields, T.StructField("v", T.LongType())])
-    earlier = summary.sparkSession.read.schema(schema).parquet(f"{path}/pages").where(F.col("v") < version)
-    found = earlier.join(runs, "run_id", "left_semi").select("v").distinct().collect()
-    versions = sorted({version, *(r.v for r in found)})
-    summary = _of_versions(summary, f"{path}/pages", versions, runs).drop("page_version")
-    parsed = _of_versions(parsed, f"{path}/parsed", versions, runs)
-
-    checked = stored(
-        validate_tweets(assemble_feed(parsed, summary, count), unique=False),
-        f"{path}/checked/v={version}",
-    )
+    buckets = [r[0] for r in runs.select(_bucket()).distinct().collect()]  # at most STATE_BUCKETS
+    pages_state, seen_state = f"{path}/state_pages", f"{path}/state_seen"
+    _write_state(own_pages, pages_state, version)
+    pages = _read_state(own_pages.schema, pages_state, version, runs, buckets).unionByName(own_pages)
+    seen_schema = T.StructType([*[parsed.schema[c] for c in FEED], *T.StructType.fromDDL(SEEN).fields])
+    before = _seen_before(spark, seen_schema, seen_state, version, runs, buckets)
+    before = before.withColumn("drop_reason", F.lit(None).cast("string"))
+
+    # Ids of the batch beside those the runs had: who is first, and in which place.
+    keys = [*FEED, *ARRIVAL, "id", "drop_reason"]
+    own = parsed.select(*keys, F.lit(True).alias("own"))
+    all_seen = own.unionByName(before.select(*keys, F.lit(False).alias("own")))
+    places = stored(assemble_feed(all_seen, pages, count), f"{path}/places/v={version}")
+    fresh = places.where("own").select(*FEED, *ARRIVAL, "id", "feed_pos")
+    feed = parsed.where("drop_reason IS NULL").drop("drop_reason").join(fresh, [*FEED, *ARRIVAL, "id"])
+    checked = stored(validate_tweets(feed, unique=False), f"{path}/checked/v={version}")
     valid, broken = split_valid(checked, on_violation)
     feed = stored(merge_order(valid), f"{path}/feeds/v={version}")
-    fresh = F.col("page_version") == version
-    broken.where(fresh).write.mode("overwrite").parquet(f"{path}/quarantine/v={version}")
+    broken.write.mode("overwrite").parquet(f"{path}/quarantine/v={version}")
     order = F.struct("feed_order", "feed_pos")
-    committed = posts.commit(
-        version, feed.where(fresh), lambda keys, new: delta_tweets(keys, new, ingest_ts, order)
-    )
-    changes = posts.changes(*versions)
-    closed = stored(
-        close_runs(opened, summary, parsed, feed, changes, count, ingest_ts),
-        f"{path}/runs/v={version}",
-    )
+    committed = posts.commit(version, feed, lambda table, new: delta_tweets(table, new, ingest_ts, order))
+    changes = posts.changes(version)
+
+    is_new = (F.col("change_type") == "new").alias("is_new")
+    told = feed_changes(feed, changes).select(*[c for c in seen_schema.fieldNames() if c != "is_new"], is_new)
+    _write_state(told, seen_state, version)
+    totals = _feed_totals(places, told, before)
+    kept = chain_pages(pages, count, all_seen)
+    counters = kept.select(*PAGE, *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTERS])
+    closed = stored(close_feeds(opened, kept, counters, totals, ingest_ts), f"{path}/runs/v={version}")
     write_digest(render_digest(feed, changes, closed), f"{path}/digest/v={version}")
     return committed
 
 
+def _seen_before(
+    spark: SparkSession, schema: T.StructType, path: str, version: int, runs: DataFrame, buckets: list[int]
+) -> DataFrame:
+    """First places of ids in earlier batches; a batch may have brought an earlier page later."""
+    try:
+        return _read_state(schema, path, version, runs, buckets)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def _feed_totals(places: DataFrame, told: DataFrame, before: DataFrame) -> DataFrame:
+    """Fetched, new and updated posts of each feed over all its batches.
+
+    An id counts where it is first seen on the kept pages; it is new if the batch
+    that first brought it to this feed was also the first to store it.
+    """
+    key = [*FEED, "id"]
+    stored_by = told.select(*key, "is_new").unionByName(before.select(*key, "is_new"))
+    stored_by = stored_by.groupBy(*key).agg(F.max("is_new").alias("is_new"))
+    rows = places.select(*key).join(stored_by, key)  # what broke a constraint was not stored
+    return rows.groupBy(*FEED).agg(
+        F.count("*").alias("tweets_fetched"),
+        F.count_if("is_new").alias("tweets_new"),
+        F.count_if(~F.col("is_new")).alias("tweets_updated"),
+    )
+
+
+def _write_stats(spark: SparkSession, counters: dict, path: str) -> None:
+    """Counters of a batch, gathered while it was written, with the drop alert."""
+    row = spark.createDataFrame([tuple(int(counters.get(c) or 0) for c in COUNTERS)], [*COUNTERS])
+    row.select(*COUNTERS, drop_rate().alias("drop_rate_percent"), alert().alias("alert")).coalesce(1).write.mode(
+        "overwrite"
+    ).json(path)
+
+
 def ingest_profiles(
     pages: DataFrame, path: str, version: int, ingest_ts: datetime | str | None = None
 ) -> bool:

@@ -60,14 +60,22 @@ _STATS = ",\n".join(
 )
 
 
-def _event_feed(count: int, pages: int, stop: bool = True) -> str:
+_ONE_FEED = "SELECT *, event_id // 40 // 50 AS run, (event_id // 40) % 50 AS page FROM events"
+# Two feeds of a run: the even one is home, the odd one following.
+_TWO_FEEDS = """
+    SELECT *, event_id // 40 // 50 * 2 AS run, (event_id // 40) % 50 AS page FROM events
+    UNION ALL
+    SELECT *, event_id // 40 // 50 * 2 + 1, (event_id // 40) % 50 FROM events
+    WHERE event_type IN ('click', 'purchase', 'signup')
+"""
+
+
+def _event_feed(count: int, pages: int, stop: bool = True, ev: str = _ONE_FEED, run: str = "run") -> str:
     """CTEs ``chain`` (kept pages) and ``feed`` (capped posts) over events."""
     return f"""
-    ev AS (
-      SELECT *, event_id // 40 // 50 AS run, (event_id // 40) % 50 AS page FROM events
-    ),
+    ev AS ({ev}),
     pg AS (
-      SELECT DISTINCT run, page, page * 7 + run * 3 AS mark,
+      SELECT DISTINCT run, page, page * 7 + {run} * 3 AS mark,
         CASE WHEN page > 0 THEN 'c' || page END AS request
       FROM ev
     ),
@@ -202,6 +210,74 @@ _SCHEME = r"(?:(?:bearer|basic|digest)\s+)?"
 _WORDS = (
     r"list_distinct(string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}_]+'))"
 )
+
+# Endings and what takes their place, with a letter that must come
+# before where one is needed, by the rules for English stems.
+_ENDINGS_2 = """
+    ational ate, tional tion, enci ence, anci ance, abli able, entli ent, izer ize, ization ize,
+    ation ate, ator ate, alism al, aliti al, alli al, fulness ful, ousli ous, ousness ous,
+    iveness ive, iviti ive, biliti ble, bli ble, l/ogi og, fulli ful, lessli less,
+    [cdeghkmnrt]/li -
+"""
+_ENDINGS_3 = """
+    ational ate, tional tion, alize al, icate ic, iciti ic, ical ic, ful -, ness -, 2/ative -
+"""
+_ENDINGS_4 = """
+    al -, ance -, ence -, er -, ic -, able -, ible -, ant -, ement -, ment -, ent -, ism -, ate -,
+    iti -, ous -, ive -, ize -, [st]/ion -
+"""
+
+
+def _ending_rules(rules: str, region: str) -> str:
+    cases = []
+    for rule in sorted(rules.replace("\n", " ").split(","), key=lambda r: -len(r.split()[0].split("/")[-1])):
+        name, new = rule.split()
+        before, _, end = name.rpartition("/")
+        cut = f"left(w, length(w) - {len(end)})"
+        allowed = f"length(w) - {len(end)} >= {'r2' if before == '2' else region}"
+        if before not in ("", "2"):
+            allowed += f" AND regexp_matches({cut}, '{before}$')"
+        cases.append(f"WHEN w LIKE '%{end}' THEN CASE WHEN {allowed} THEN {cut} || '{new.strip('-')}' ELSE w END")
+    return f"CASE {' '.join(cases)} ELSE w END"
+
+
+_SHORT = "(^[aeiouy][^aeiouy]$)|([^aeiouy][aeiouy][^aeiouywxY]$)"
+
+
+def _stems(words: str) -> str:
+    """CTEs down to ``stems`` (term, stem) of the distinct terms that ``words`` selects."""
+    return f"""
+    s0 AS (SELECT DISTINCT term, regexp_replace(regexp_replace(term, '^y', 'Y'), '([aeiouy])y', '\\1Y', 'g') AS w FROM ({words})),
+    s1 AS (SELECT *, coalesce(nullif(length(regexp_extract(w, '^(?:gener|commun|arsen|.*?[aeiouy][^aeiouy])')), 0), length(w)) AS r1 FROM s0),
+    s2 AS (SELECT *, coalesce(r1 + nullif(length(regexp_extract(w[r1 + 1:], '^.*?[aeiouy][^aeiouy]')), 0), length(w)) AS r2 FROM s1),
+    s3 AS (SELECT * REPLACE (CASE WHEN w LIKE '%sses' THEN w[:-3]
+      WHEN w LIKE '%ied' OR w LIKE '%ies' THEN CASE WHEN length(w) > 4 THEN w[:-3] ELSE w[:-2] END
+      WHEN w LIKE '%us' OR w LIKE '%ss' THEN w
+      WHEN regexp_matches(w, '[aeiouy].+s$') THEN w[:-2] ELSE w END AS w) FROM s2),
+    s4 AS (SELECT *, CASE WHEN w IN ('inning', 'outing', 'canning', 'herring', 'earring', 'proceed', 'exceed', 'succeed')
+      THEN w END AS fixed, regexp_extract(w, '(eedly|ingly|edly|eed|ing|ed)$') AS e FROM s3),
+    s5 AS (SELECT *, left(w, length(w) - length(e)) AS c FROM s4),
+    s6 AS (SELECT * REPLACE (CASE WHEN e = '' THEN w
+      WHEN e IN ('eed', 'eedly') THEN CASE WHEN length(c) >= r1 THEN c || 'ee' ELSE w END
+      WHEN NOT regexp_matches(c, '[aeiouy]') THEN w
+      WHEN regexp_matches(c, '(at|bl|iz)$') THEN c || 'e'
+      WHEN length(c) > 1 AND c[-1] = c[-2] AND c[-1] IN ('b', 'd', 'f', 'g', 'm', 'n', 'p', 'r', 't') THEN c[:-2]
+      WHEN r1 >= length(c) AND regexp_matches(c, '{_SHORT}') THEN c || 'e' ELSE c END AS w) FROM s5),
+    s7 AS (SELECT * REPLACE (regexp_replace(w, '^(.+[^aeiouy])[yY]$', '\\1i') AS w) FROM s6),
+    s8 AS (SELECT * REPLACE ({_ending_rules(_ENDINGS_2, "r1")} AS w) FROM s7),
+    s9 AS (SELECT * REPLACE ({_ending_rules(_ENDINGS_3, "r1")} AS w) FROM s8),
+    s10 AS (SELECT * REPLACE ({_ending_rules(_ENDINGS_4, "r2")} AS w) FROM s9),
+    s11 AS (SELECT * REPLACE (CASE
+      WHEN w LIKE '%e' AND (length(w) > r2 OR length(w) > r1 AND NOT regexp_matches(w[:-2], '{_SHORT}')) THEN w[:-2]
+      WHEN w LIKE '%ll' AND length(w) > r2 THEN w[:-2] ELSE w END AS w) FROM s10),
+    stems AS (SELECT term, CASE WHEN length(term) <= 2 OR regexp_matches(term, '[\\p{{N}}_]') THEN term
+      ELSE coalesce(MAP {{'skis': 'ski', 'skies': 'sky', 'dying': 'die', 'lying': 'lie', 'tying': 'tie', 'idly': 'idl',
+        'gently': 'gentl', 'ugly': 'ugli', 'early': 'earli', 'only': 'onli', 'singly': 'singl', 'sky': 'sky',
+        'news': 'news', 'howe': 'howe', 'atlas': 'atlas', 'cosmos': 'cosmos', 'bias': 'bias', 'andes': 'andes'}}[term],
+        replace(coalesce(fixed, w), 'Y', 'y')) END AS stem FROM s11)
+    """
+
+
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 _LEGACY = """
@@ -250,6 +326,17 @@ _THREADS = """
       ON a.conv_id = b.conv_id AND a.turn = b.turn + 1
 """
 
+# Endings put behind words, so that every rule for stems is used.
+_SUFFIXES = ", ".join(
+    f"'{e}'"
+    for e in (
+        "s sses ied ies us eed eedly ed edly ing ingly y tional enci anci abli entli izer ization ational ator"
+        " alism aliti alli fulness ousli ousness iveness iviti biliti bli logi fulli lessli li alize icate"
+        " iciti ical ful ness ative al ance ence er able ible ant ement ment ent ism ate iti ous ive ize sion"
+        " ll e ating hopping hoping"
+    ).split()
+)
+
 ORACLES: dict[str, str] = {
     "thread_parse": _THREADS.format(
         author="a.conv_id + 1 AS author_id,", handle="b.role AS reply_to_author_handle,"
@@ -264,6 +351,11 @@ ORACLES: dict[str, str] = {
             WHEN doc_id % 13 = 5 THEN 'Unknown error' END AS error_message
         FROM documents) GROUP BY status, error_message
     """,
+    "payload_lines": """
+      SELECT status, CASE WHEN status <> 'ok' THEN 'invalid JSON' END AS error_message, count(*) AS n
+      FROM (SELECT CASE WHEN doc_id % 7 = 3 OR doc_id % 10 = 9 THEN 'invalid_json' ELSE 'ok' END AS status FROM documents)
+      GROUP BY status
+    """,
     "timeline_paths": """
       SELECT doc_id AS run_id,
         CASE WHEN doc_id % 5 < 4 THEN 'c' || doc_id END AS next_cursor,
@@ -390,31 +482,59 @@ ORACLES: dict[str, str] = {
     """,
     "digest": f"""
       WITH {_event_feed(100, 7)}, {_TOTALS},
-      post AS (
-        SELECT run, pos, coalesce(first_run <> 'run-' || run, true) AS known,
-          '### [' || pos || '] @' || event_type || ' (' || strftime(ts, '%Y-%m-%d %H:%M')
-            || ' UTC)' || chr(10) || chr(10) || '> event ' || event_id || chr(10) || chr(10) AS md
-        FROM feed LEFT JOIN first_run USING (user_id)),
       part AS (
-        SELECT run, string_agg(md, chr(10) ORDER BY pos) FILTER (NOT known) AS fresh_md,
-          string_agg(md, chr(10) ORDER BY pos) FILTER (known) AS known_md
-        FROM post GROUP BY run)
-      SELECT 'run-' || run AS run_id, 'home' AS operation,
-        'scrape_home_20240201_000000' AS name,
-        concat_ws(chr(10), '# Scrape Report', '', '| Field | Value |', '|-------|-------|',
+        SELECT run, 0 AS section, 0 AS pos, concat_ws(chr(10), '# Scrape Report', '',
+          '| Field | Value |', '|-------|-------|',
           '| **Timestamp** | 2024-02-01T00:00:00+00:00 |', '| **Operation** | home |',
           '| **Status** | ' || CASE WHEN failed THEN 'failed' ELSE 'completed' END || ' |',
           '| **Tweets fetched** | ' || fetched || ' |', '| **New** | ' || fresh || ' |',
           '| **Updated** | ' || (fetched - fresh) || ' |',
           CASE WHEN failed THEN
-            '| **Errors** | [{{"code":"SCRAPE_ERROR","message":"over capacity"}}] |' END,
-          '',
-          '---' || chr(10) || chr(10) || '## New Tweets (' || fresh || ')' || chr(10) || chr(10)
-            || fresh_md,
-          '---' || chr(10) || chr(10) || '## Updated Tweets (' || (fetched - fresh) || ')' || chr(10)
-            || '_These tweets were already in the table._' || chr(10) || chr(10) || known_md
-        ) AS markdown
-      FROM ledger LEFT JOIN part USING (run)
+            '| **Errors** | [{{"code":"SCRAPE_ERROR","message":"over capacity"}}] |' END, '') AS md
+        FROM ledger
+        UNION ALL
+        SELECT run, 1, 0, '---' || chr(10) || chr(10) || '## New Tweets (' || fresh || ')' || chr(10)
+        FROM ledger WHERE fresh > 0
+        UNION ALL
+        SELECT run, 2, 0, '---' || chr(10) || chr(10) || '## Updated Tweets (' || (fetched - fresh) || ')' || chr(10)
+            || '_These tweets were already in the table._' || chr(10)
+        FROM ledger WHERE fetched > fresh
+        UNION ALL
+        SELECT run, CASE WHEN first_run = 'run-' || run THEN 1 ELSE 2 END, pos,
+          '### [' || pos || '] @' || event_type || ' (' || strftime(ts, '%Y-%m-%d %H:%M')
+            || ' UTC)' || chr(10) || chr(10) || '> event ' || event_id || chr(10) || chr(10)
+        FROM feed LEFT JOIN first_run USING (user_id))
+      SELECT 'run-' || run AS run_id, 'home' AS operation, 'scrape_home_20240201_000000' AS name,
+        section, pos AS feed_pos, md AS markdown
+      FROM part
+    """,
+    "two_feeds": f"""
+      WITH {_event_feed(10**12, 10**12, stop=False, ev=_TWO_FEEDS, run="(run // 2)")},
+      first_feed AS (
+        SELECT user_id, arg_min(run, row('run-' || (run // 2), run % 2)) AS first_feed FROM feed
+        WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY user_id
+      ),
+      totals AS (
+        SELECT run, count(*) AS fetched, count(*) FILTER (first_feed = run) AS fresh
+        FROM feed LEFT JOIN first_feed USING (user_id) GROUP BY run
+      ),
+      counted AS (
+        SELECT ev.run, count(*) AS raw FROM ev JOIN chain ON ev.run = chain.run AND ev.page = chain.page
+        WHERE NOT chain.bad GROUP BY ev.run
+      ),
+      ends AS (SELECT run, bool_or(bad) AS failed FROM chain GROUP BY run),
+      asked AS (
+        SELECT run, f, run * 2 + f AS feed FROM (SELECT DISTINCT run // 2 AS run FROM ev), (VALUES (0), (1), (2)) t(f)
+      )
+      SELECT 'run-' || a.run AS id, ['home', 'following', 'lists'][f + 1] AS operation,
+        CASE WHEN f = 2 OR coalesce(failed, false) THEN 'failed' ELSE 'completed' END AS status,
+        CASE WHEN f = 2 THEN 'UNKNOWN_OPERATION' WHEN failed THEN 'SCRAPE_ERROR' END AS error,
+        CASE WHEN f < 2 THEN coalesce(fetched, 0) ELSE 0 END AS tweets_fetched,
+        CASE WHEN f < 2 THEN coalesce(fresh, 0) ELSE 0 END AS tweets_new,
+        CASE WHEN f < 2 THEN coalesce(fetched - fresh, 0) ELSE 0 END AS tweets_updated, raw
+      FROM asked a
+      LEFT JOIN totals t ON f < 2 AND t.run = a.feed
+      LEFT JOIN counted c ON f < 2 AND c.run = a.feed LEFT JOIN ends e ON f < 2 AND e.run = a.feed
     """,
     "normalize_pages": r"""
       SELECT page_id, regexp_replace(regexp_replace(regexp_replace(
@@ -529,8 +649,46 @@ ORACLES: dict[str, str] = {
       FROM (SELECT doc_id, unnest({_WORDS}) AS term FROM documents)
       WHERE term <> '' AND term NOT IN ({_STOP}) GROUP BY term
     """,
+    "text_stems": f"""
+      WITH words AS (
+        SELECT unnest({_WORDS}) AS term FROM (SELECT text FROM documents UNION ALL SELECT text FROM benchmark)
+        UNION ALL SELECT 'a' || unnest({_WORDS}) || e FROM benchmark, unnest([{_SUFFIXES}]) t(e)
+      ), {_stems(f"SELECT term FROM words WHERE term <> '' AND term NOT IN ({_STOP})")}
+      SELECT term, stem FROM stems
+    """,
     "text_search": f"""
-      SELECT doc_id AS id FROM documents WHERE list_has_all({_WORDS}, ['edst', 'heed'])
+      WITH words AS (SELECT doc_id, unnest({_WORDS}) AS term FROM documents),
+      {_stems("SELECT term FROM words WHERE term <> ''")}
+      SELECT doc_id AS id FROM words JOIN stems USING (term) WHERE stem IN ('edst', 'heed')
+      GROUP BY doc_id HAVING count(DISTINCT stem) = 2
+    """,
+    "search_updates": f"""
+      WITH newest AS (
+        SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN 'Heeded by ' || source || ', relating heedings' ELSE text END AS text
+        FROM documents
+      ), words AS (SELECT doc_id, unnest({_WORDS}) AS term FROM newest),
+      {_stems("SELECT term FROM words WHERE term <> ''")}
+      SELECT doc_id AS id FROM words JOIN stems USING (term) WHERE stem = 'heed' GROUP BY doc_id
+    """,
+    "stream_ingest": f"""
+      WITH {_event_feed(10**12, 10**12, stop=False, ev=_TWO_FEEDS, run="(run // 2)")},
+      told AS (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY page // 13, 'run-' || (run // 2), run % 2, pos) AS nth,
+          count(*) OVER (PARTITION BY user_id) AS times
+        FROM feed
+      ),
+      totals AS (
+        SELECT run, count(*) AS fetched, count(*) FILTER (nth = 1) AS fresh FROM told GROUP BY run
+      ),
+      ends AS (SELECT run, bool_or(bad) AS failed FROM chain GROUP BY run)
+      SELECT 'post' AS kind, a.user_id::VARCHAR AS id, CASE a.run % 2 WHEN 0 THEN 'home' ELSE 'following' END AS operation,
+        'event ' || b.event_id AS state, NULL::INTEGER AS fetched, NULL::INTEGER AS fresh, NULL::INTEGER AS known
+      FROM told a JOIN told b ON a.user_id = b.user_id AND a.nth = 1 AND b.nth = b.times
+      UNION ALL
+      SELECT 'run', 'run-' || (run // 2), CASE run % 2 WHEN 0 THEN 'home' ELSE 'following' END,
+        CASE WHEN failed THEN 'failed' ELSE 'completed' END,
+        coalesce(fetched, 0)::INTEGER, coalesce(fresh, 0)::INTEGER, (coalesce(fetched, 0) - coalesce(fresh, 0))::INTEGER
+      FROM (SELECT DISTINCT run FROM ev) LEFT JOIN totals USING (run) LEFT JOIN ends USING (run)
     """,
     "stream_threads": _THREADS.format(author="", handle=""),
 }

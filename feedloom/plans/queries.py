@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.scalars import safe_int, strict_int, wire_date
+from feedloom.functions.stems import stem_words
 from feedloom.operators.articles import articles_to_markdown, blocks_to_markdown
 from feedloom.operators.digest import render_digest
-from feedloom.operators.feed import assemble_feed, chain_pages, resolve_operations
+from feedloom.operators.feed import assemble_feed, canonical_operation, chain_pages, resolve_operations
 from feedloom.operators.flatten import flatten_timeline, page_summary
 from feedloom.operators.ledger import close_runs, open_runs
 from feedloom.operators.maintenance import conform_legacy, side_counts, validate_tweets
@@ -20,14 +21,14 @@ from feedloom.operators.parse import parse_tweets
 from feedloom.operators.profiles import parse_profiles
 from feedloom.operators.reads import read_unprocessed
 from feedloom.operators.redact import redact_table, secret_report
-from feedloom.operators.search import build_text_index, search
+from feedloom.operators.search import STOP_WORDS, TextIndex, build_text_index, terms_of, words_of
 from feedloom.operators.stats import parse_stats
 from feedloom.plans import capture
-from feedloom.plans.ingest import parse_pages, shared_dir, stored, tweet_table
+from feedloom.plans.ingest import parse_pages, run_ledger_table, shared_dir, stored, tweet_table
 from feedloom.schemas import TWEETS, USERS
 from feedloom.session import configure
-from feedloom.sources.payloads import ingest_payloads
-from feedloom.streaming.ingest import CAPTURE, read_capture_stream, stream_parse
+from feedloom.sources.payloads import ingest_payloads, read_payload_lines
+from feedloom.streaming.ingest import CAPTURE, read_capture_stream, stream_ingest, stream_parse
 
 INGEST_TS = "2024-02-01 00:00:00"
 FEED_COUNT = 100
@@ -275,11 +276,25 @@ def operation_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ── feeds, merge, ledger, digest ─────────────────────────────────────────
 
 
-def _event_feed(spark: SparkSession, sf_dir: str, count: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+# Events of the second feed of each run.
+FOLLOWED = "event_type IN ('click', 'purchase', 'signup')"
+
+
+def _two_feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as two feeds per run, under names a feed may be asked for; ids are shared."""
+    events = _table(spark, sf_dir, "events")
+    home = capture.event_pages(events, " For-You ")
+    return home.unionByName(capture.event_pages(events.where(FOLLOWED), "Following"))
+
+
+def _event_feed(
+    spark: SparkSession, sf_dir: str, count: int | None, captured: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages, parsed candidates and feeds; each step is stored, as several
     later steps read it."""
     base = shared_dir(spark)
-    captured = capture.event_pages(_table(spark, sf_dir, "events"))
+    if captured is None:
+        captured = capture.event_pages(_table(spark, sf_dir, "events"))
     bronze = stored(ingest_payloads(captured), f"{base}/bronze")
     pages = stored(page_summary(bronze), f"{base}/pages")
     parsed = stored(parse_tweets(flatten_timeline(bronze), INGEST_TS), f"{base}/parsed")
@@ -434,6 +449,29 @@ def digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render_digest(feed, changes, runs)
 
 
+def two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger of runs asked for both feeds, which share ids; an unknown name is asked for too."""
+    captured = _two_feed_pages(spark, sf_dir)
+    captured = captured.withColumn("operation", canonical_operation(F.col("operation")))
+    pages, parsed, feed = _event_feed(spark, sf_dir, None, captured)
+    feed = stored(feed, f"{shared_dir(spark)}/feed")
+    changes = change_types(_known_users(spark, sf_dir), feed)
+    runs = pages.select("run_id").distinct()
+    asked = runs.withColumn("operation", F.explode(F.array(F.lit(" Both "), F.lit("lists"))))
+    opened = open_runs(resolve_operations(asked), INGEST_TS, {"count": "all"})
+    closed = close_runs(opened, pages, parsed, feed, changes, None, INGEST_TS)
+    return closed.select(
+        "id",
+        "operation",
+        "status",
+        F.get("errors", F.lit(0))["code"].alias("error"),
+        "tweets_fetched",
+        "tweets_new",
+        "tweets_updated",
+        F.col("parse_stats.raw").alias("raw"),
+    )
+
+
 # ── text, redaction, articles ────────────────────────────────────────────
 
 
@@ -724,11 +762,44 @@ def text_index_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SEARCH_QUERY = "The edst, with HEED"
+SEARCH_QUERY = "The edst, with HEEDING"
 
 
 def text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search(_document_index(spark, sf_dir), SEARCH_QUERY)
+    """Search of a stored index: words of the same stem count as the words asked for."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    index = TextIndex(spark, f"{shared_dir(spark)}/index")
+    index.append(0, docs)
+    return index.search(SEARCH_QUERY)
+
+
+def search_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a second segment has new texts of every fifth post."""
+    docs = _table(spark, sf_dir, "documents")
+    index = TextIndex(spark, f"{shared_dir(spark)}/index")
+    index.append(0, docs.select(F.col("doc_id").alias("id"), "text"))
+    text = F.concat(F.lit("Heeded by "), F.col("source"), F.lit(", relating heedings"))
+    index.append(1, docs.where("doc_id % 5 = 2").select(F.col("doc_id").alias("id"), text.alias("text")))
+    return index.search("heeds")
+
+
+# Endings put behind words of the benchmark, so that every rule is used.
+SUFFIXES = (
+    "s sses ied ies us eed eedly ed edly ing ingly y tional enci anci abli entli izer ization ational ator"
+    " alism aliti alli fulness ousli ousness iveness iviti biliti bli logi fulli lessli li alize icate"
+    " iciti ical ful ness ative al ance ence er able ible ant ement ment ent ism ate iti ous ive ize sion"
+    " ll e ating hopping hoping"
+).split()
+
+
+def text_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stems of all distinct words of the documents and the benchmark, and of words with endings."""
+    texts = _table(spark, sf_dir, "documents").select("text").union(_table(spark, sf_dir, "benchmark").select("text"))
+    written = texts.select(F.explode(terms_of(F.col("text"))).alias("term"))
+    base = _table(spark, sf_dir, "benchmark").select(F.explode(words_of(F.col("text"))).alias("w")).distinct()
+    ended = F.transform(F.array(*map(F.lit, SUFFIXES)), lambda e: F.concat(F.lit("a"), F.col("w"), e))
+    made = base.select(F.explode(F.array_except(ended, F.array(*map(F.lit, STOP_WORDS)))).alias("term"))
+    return stem_words(written.union(made).distinct())
 
 
 # ── streaming ────────────────────────────────────────────────────────────
@@ -757,9 +828,56 @@ def stream_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Pages of a run that arrive together.
+ARRIVING_PAGES = 13
+
+
+def stream_ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feeds per run through the whole pipeline as a stream of arriving files.
+
+    The pages of every run come in four batches.  The stored posts, and the ledger,
+    are those of all pages at once.
+    """
+    base = shared_dir(spark)
+    pages = _two_feed_pages(spark, sf_dir).withColumn("captured_at", F.lit(INGEST_TS))
+    have = set(pages.columns)
+    columns = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in CAPTURE.fields]
+    pages = stored(pages.select(*columns), f"{base}/captured")
+    for part in range(-(-capture.PAGES_PER_RUN // ARRIVING_PAGES)):
+        arriving = pages.where(F.floor(F.col("page_no") / ARRIVING_PAGES) == part)
+        arriving.write.mode("append").json(f"{base}/in")
+        stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    posts = tweet_table(spark, f"{base}/out").read()
+    none = F.lit(None).cast("int")
+    posts = posts.select(
+        F.lit("post").alias("kind"),
+        F.col("id").cast("string").alias("id"),
+        F.col("source_operation").alias("operation"),
+        F.col("text").alias("state"),
+        *[none.alias(c) for c in ("fetched", "fresh", "known")],
+    )
+    runs = run_ledger_table(spark, f"{base}/out").select(
+        F.lit("run"), "id", "operation", "status", "tweets_fetched", "tweets_new", "tweets_updated"
+    )
+    return posts.union(runs)
+
+
+def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads kept as lines of text, some cut short and some empty, by status."""
+    docs = _table(spark, sf_dir, "documents")
+    doc = F.col("doc_id")
+    whole = capture.page(F.array(capture.single_entry(capture.post_node(doc + 1, doc, F.col("source"), F.col("text")))))
+    line = F.when(doc % 7 == 3, F.substring(whole, F.lit(1), F.length(whole) - 2)).when(doc % 10 == 9, "").otherwise(whole)
+    path = f"{shared_dir(spark)}/lines"
+    docs.select(line.alias("value")).write.text(path)
+    read = ingest_payloads(read_payload_lines(spark, path))
+    return read.groupBy("status", "error_message").agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Query] = {
     "thread_parse": thread_parse,
     "payload_status": payload_status,
+    "payload_lines": payload_lines,
     "timeline_paths": timeline_paths,
     "drop_reasons": drop_reasons,
     "parse_stats_alert": parse_stats_alert,
@@ -775,6 +893,7 @@ QUERIES: dict[str, Query] = {
     "upsert_counts": upsert_counts,
     "run_ledger": run_ledger,
     "digest": digest,
+    "two_feeds": two_feeds,
     "normalize_pages": normalize_pages,
     "normalize_noise": normalize_noise,
     "redact_documents": redact_documents,
@@ -792,6 +911,9 @@ QUERIES: dict[str, Query] = {
     "read_unprocessed": unprocessed,
     "stored_table": stored_table,
     "text_index_terms": text_index_terms,
+    "text_stems": text_stems,
     "text_search": text_search,
+    "search_updates": search_updates,
     "stream_threads": stream_threads,
+    "stream_ingest": stream_ingest_runs,
 }

@@ -2,13 +2,22 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import pytest
 import shapes as s
 from pyspark.sql import functions as F
 
-from feedloom.operators.digest import render_digest
-from feedloom.operators.feed import assemble_feed, chain_pages, feed_changes, max_pages, resolve_operations
+from feedloom.operators.digest import render_digest, write_digest
+from feedloom.operators.feed import (
+    assemble_feed,
+    canonical_operation,
+    chain_pages,
+    feed_changes,
+    known_operation,
+    max_pages,
+    resolve_operations,
+)
 from feedloom.operators.flatten import flatten_timeline, page_summary
 from feedloom.operators.ledger import close_runs, open_runs, run_totals
 from feedloom.operators.merge import change_types
@@ -151,7 +160,11 @@ def test_ledger_and_digest(spark):
     three = got["r3"]
     assert (three.status, three.tweets_fetched, three.errors[0].message) == ("failed", 0, "invalid JSON")
 
-    texts = {r.run_id: r.markdown for r in render_digest(feed, changes, runs).collect()}
+    report = render_digest(feed, changes, runs).persist()
+    texts = {}
+    for row in report.orderBy("run_id", "section", "feed_pos").collect():
+        texts.setdefault(row.run_id, []).append(row.markdown)
+    texts = {run: "\n".join(parts) for run, parts in texts.items()}
     head = [
         "# Scrape Report", "", "| Field | Value |", "|-------|-------|",
         "| **Timestamp** | 2026-01-02T03:04:05+00:00 |", "| **Operation** | home |",
@@ -169,6 +182,65 @@ def test_ledger_and_digest(spark):
     assert texts["r3"].endswith("| **Updated** | 0 |\n| **Errors** | [{\"code\":\"SCRAPE_ERROR\",\"message\":\"invalid JSON\"}] |\n")
 
 
+def test_long_report_is_written_in_order(spark):
+    """A report that several tasks write reads as one text, and no step gathers it."""
+    import datetime as dt
+    import glob
+    import os
+    import tempfile
+
+    n = 5000
+    posts = spark.range(1, n + 1).select(
+        F.lit("r").alias("run_id"), F.lit("home").alias("operation"), "id", F.col("id").alias("feed_pos"),
+        F.lit("h").alias("author_handle"), F.lit("x").alias("text"), F.lit(dt.datetime(2026, 1, 1)).alias("created_at"),
+        *[F.lit(None).cast("string").alias(c) for c in ("quoted_author_handle", "quoted_text", "reply_to_author_handle", "reply_to_text")],
+        F.array().cast("array<string>").alias("urls"), F.array().cast("array<struct<url:string>>").alias("media_urls"),
+    )
+    changes = posts.select("id", F.when(F.col("id") % 2 == 0, "new").otherwise("updated").alias("change_type"))
+    ledger = spark.sql(
+        "SELECT 'r' AS id, 'home' AS operation, timestamp'2026-01-01' AS completed_at, 'completed' AS status,"
+        f" {n} AS tweets_fetched, {n // 2} AS tweets_new, {n // 2} AS tweets_updated, array() AS errors"
+    )
+    report = render_digest(posts.repartition(7), changes, ledger)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Window" not in plan
+    path = tempfile.mkdtemp(prefix="feedloom-test-")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_digest(report, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    (folder,) = glob.glob(f"{path}/run_id=r/operation=home/name=*")
+    files = sorted(glob.glob(f"{folder}/*.txt"))
+    text = "".join(open(f, encoding="utf-8").read() for f in files)
+    numbers = [int(line[5 : line.index("]")]) for line in text.split("\n") if line.startswith("### [")]
+    assert numbers == [*range(2, n + 1, 2), *range(1, n + 1, 2)] and len(files) > 1
+    assert text.startswith("# Scrape Report\n") and os.path.basename(folder) == "name=scrape_home_20260101_000000"
+
+
+def test_uncapped_feed_has_no_window_over_a_feed(spark):
+    rng = random.Random(2)
+    pages = [("r", "home", n, f"c{n}" if n else None, f"c{n + 1}") for n in range(3000)]
+    posts = [("r", "home", n, i, e, 0, None, rng.randint(1, 4000)) for n in range(3000) for i in range(2) for e in range(rng.randint(0, 2))]
+    feed = assemble_feed(spark.createDataFrame(posts, PARSED), spark.createDataFrame(pages, PAGES))
+    seen = {}
+    for row in posts:
+        seen.setdefault(row[7], len(seen) + 1)
+    assert {r.id: r.feed_pos for r in feed.collect()} == seen
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    over = re.findall(r"Window \[row_number\(\) windowspecdefinition\(([^)]*?) ASC", plan)
+    assert over and all("page_no" in keys or "id#" in keys for keys in over)
+
+
+def test_names_of_feeds(spark):
+    frame = spark.createDataFrame([(n,) for n in (" For-You ", "FORYOU", "home", "both", "x ", None)], "n string")
+    got = [tuple(r) for r in frame.select(canonical_operation(F.col("n")), known_operation(canonical_operation(F.col("n")))).collect()]
+    assert got == [("home", True), ("home", True), ("home", True), ("both", False), ("x", False), (None, False)]
+    opened = {r.operation: r.errors for r in open_runs(frame.select(F.lit("r").alias("run_id"), canonical_operation(F.col("n")).alias("operation")), "2026-01-01").collect()}
+    assert opened["home"] == [] and [tuple(e) for e in opened["x"]] == [("UNKNOWN_OPERATION", "x")]
+
+
 def test_feeds_of_a_run_share_an_order(spark):
     """An id in both feeds is new in home; runs go by capture time, not by name."""
     rows = [
