@@ -376,27 +376,35 @@ def _leader_pairs(reps: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(_bounded(percent), "a long, b long").distinct()
 
 
-def _run_pairs(facts: DataFrame, reps: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs from the runs of prefix shingles that span components."""
+def _run_pairs(reps: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs from the runs of prefix shingles that span components.
+
+    A run's members are set classes, each once, however many rows have the set.
+    """
     reps = reps.join(label, reps.doc_id == label.id, "left")
-    reps = stored(reps.select("doc_id", "n", "sign", F.coalesce("component", "doc_id").alias("label")))
-    rows = facts.select("doc_id", "n", "prefix").join(reps.select("doc_id", "n", "label"), ["doc_id", "n"])
-    rows = rows.select("doc_id", "n", "label", F.explode("prefix").alias("token"))
+    reps = stored(
+        reps.select("h1", "h2", "doc_id", "n", "sign", "prefix", F.coalesce("component", "doc_id").alias("label"))
+    )
+    rows = reps.select("h1", "h2", "doc_id", "n", "label", F.explode("prefix").alias("token"))
     runs = (
         rows.groupBy("token")
         .agg(
             F.count("*").alias("docs"),
-            F.bit_xor(F.xxhash64("doc_id")).alias("print"),
+            # Two sums without carry of different hashes, and the ends, name the members.
+            F.bit_xor(F.xxhash64("h1", "h2", "n")).alias("print_1"),
+            F.bit_xor(F.xxhash64("n", "h2", "h1")).alias("print_2"),
+            F.min("doc_id").alias("least"),
+            F.max("doc_id").alias("most"),
             F.min("label").alias("low"),
             F.max("label").alias("high"),
         )
         .where("docs > 1 AND low < high")
         # Runs of the same documents are traversed once.
-        .groupBy("docs", "print")
+        .groupBy("docs", "print_1", "print_2", "least", "most")
         .agg(F.min("token").alias("token"))
         .select("token", F.ceil(F.col("docs") / BLOCK).alias("parts"))
     )
-    members = rows.join(runs, "token")
+    members = rows.drop("h2").join(runs, "token")
     # Of a run in one part, only documents with one of like size beside them matter.
     beside = W.partitionBy("token").orderBy("n", "doc_id")
     near = (100 * F.lag("n").over(beside) >= percent * F.col("n")) | (
@@ -412,8 +420,10 @@ def _run_pairs(facts: DataFrame, reps: DataFrame, label: DataFrame, percent: int
         F.greatest("part", "other").alias("hi"),
         "part",
         "doc_id",
+        "h1",
     )
-    full = members.join(reps.select("doc_id", "n", "label", "sign"), "doc_id")
+    # Texts that share a doc_id are classes of their own.
+    full = members.join(reps.select("doc_id", "h1", "n", "label", "sign"), ["doc_id", "h1"])
     full = full.select("token", "lo", "hi", "part", "doc_id", "n", "label", "sign")
     full = full.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
     return full.mapInArrow(_tree_pairs(percent), "a long, b long").distinct()
@@ -438,17 +448,20 @@ def jaccard_components(
         )
     )
     known = facts.where("doc_id IS NOT NULL AND n > 0")
-    # Equal sets have equal leads and bitmaps; the smallest doc_id stands for them.
+    # Equal sets have equal leads, prefixes and bitmaps; the smallest doc_id stands for them.
     classes = known.groupBy("h1", "h2", "n").agg(
-        F.min("doc_id").alias("doc_id"), F.first("lead").alias("lead"), F.first("sign").alias("sign")
+        F.min("doc_id").alias("doc_id"),
+        F.first("lead").alias("lead"),
+        F.first("prefix").alias("prefix"),
+        F.first("sign").alias("sign"),
     )
     classes = stored(classes)
-    reps = classes.select("doc_id", "n", "lead", "sign")
+    reps = classes.select("h1", "h2", "doc_id", "n", "lead", "prefix", "sign")
     classes = classes.select("h1", "h2", "n", F.col("doc_id").alias("rep"))
     texts = docs.where("doc_id IS NOT NULL")
     near = verified(texts, stored(_leader_pairs(reps, percent)), words, percent)
     label = components(near)
-    rest = verified(texts, stored(_run_pairs(facts, reps, label, percent)), words, percent)
+    rest = verified(texts, stored(_run_pairs(reps, label, percent)), words, percent)
     texts_of = F.struct("h1", "h2", "n")
     repeated = known.groupBy("doc_id").agg(F.min(texts_of).alias("x"), F.max(texts_of).alias("y"))
     repeated = known.join(repeated.where("x < y").select("doc_id"), "doc_id", "left_semi")
