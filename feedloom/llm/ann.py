@@ -8,10 +8,17 @@ and, for long links, with the levels above; the diversity rule keeps a
 candidate only if it is closer to the node than to those already kept, and
 links are then made mutual.
 
-Blocks of queries walk every shard's graph in step (greedy on the upper levels,
-a beam on the lowest), are scored in double precision on the original vectors,
-and the best of all shards are merged by rank.  Inner products become distances
-by one extra dimension that lifts all vectors of a shard to one norm.
+A shard is cut into bands of vectors of like length, each with a graph of its own:
+inner products become distances by one extra dimension that lifts all vectors of
+a band to one norm, which tells little where norms differ much.  Blocks of
+queries take the bands from the longest on, and leave out those whose length
+cannot give a better product than the ones found.  Small bands are scanned.
+
+In a graph queries walk in step (greedy on the upper levels, a beam on the
+lowest).  Where clusters are so tight that the lowest level falls into several
+components, the beam also begins at nodes of each.  All of a beam is scored in
+double precision on the original vectors, and the best of all shards are merged
+by rank.
 """
 
 from __future__ import annotations
@@ -35,6 +42,11 @@ CANDIDATES = 96
 BEAM = 160
 QUERY_BLOCK = 2048
 TOP = 20
+# The longest vector of a band over the shortest, and bands too small for a graph.
+BAND = 1.25
+SCANNED = 256
+# Nodes of a component for each begin of a walk, and begins a query takes.
+BEGIN_EVERY, BEGINS = 64, 16
 
 
 def _lifted(x: np.ndarray) -> np.ndarray:
@@ -125,12 +137,40 @@ def _least(x: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(at, np.argsort(np.take_along_axis(x, at, 1), axis=1), 1)
 
 
+def begins(levels: list[tuple]) -> np.ndarray:
+    """Nodes of every component of the lowest level; none if it is connected."""
+    n = len(levels[0][0])
+    links = levels[0][1].reshape(n, -1)
+    source, column = np.nonzero(links >= 0)
+    target, label = links[source, column], np.arange(n)
+    while True:
+        low = label.copy()
+        np.minimum.at(low, source, label[target])
+        np.minimum.at(low, target, label[source])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    order = np.argsort(label, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(label[order]) > 0]))
+    if len(first) == 1:
+        return np.zeros(0, np.int32)
+    place = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+    return order[place % BEGIN_EVERY == 0].astype(np.int32)
+
+
 def search_graph(
-    vectors: np.ndarray, levels: list[tuple], queries: np.ndarray, k: int, beam: int
+    vectors: np.ndarray,
+    levels: list[tuple],
+    queries: np.ndarray,
+    k: int,
+    beam: int,
+    extra: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Positions and approximate scores of each query's nearest; -1 where fewer.
 
     All queries walk together; each step opens every query's best unopened node.
+    ``extra`` are further nodes to begin at; each query takes its best ones.
     """
     x, q, n = vectors.astype(np.float32), queries.astype(np.float32), len(vectors)
     rows = np.arange(len(q))
@@ -158,6 +198,13 @@ def search_graph(
     opened = np.ones((len(q), beam), bool)
     ids[:, 0], score[:, 0], opened[:, 0] = at, np.einsum("nd,nd->n", q, x[at]), False
     seen[rows, at] = True
+    if extra is not None and len(extra):
+        near = q @ x[extra].T
+        for c, best in enumerate(_least(-near, min(BEGINS, beam - 1)).T, 1):
+            node = extra[best]
+            new = np.flatnonzero(~seen[rows, node])
+            ids[new, c], score[new, c], opened[new, c] = node[new], near[new, best[new]], False
+            seen[new, node[new]] = True
     live = rows
     while len(live):
         best = np.where(opened[live], -np.inf, score[live]).argmax(axis=1)
@@ -183,23 +230,97 @@ def search_graph(
     return ids, score
 
 
-def _pack(levels: list[tuple]) -> tuple[bytes, bytes, list[int]]:
-    nodes = np.concatenate([n for n, _ in levels]).astype(np.int32).tobytes()
-    flat = np.concatenate([f for _, f in levels]).astype(np.int32).tobytes()
-    return nodes, flat, [len(n) for n, _ in levels]
-
+def bands(vectors: np.ndarray) -> list[np.ndarray]:
+    """Positions by band of like length, longest first; one band if all are alike."""
+    norm = np.sqrt((vectors * vectors).sum(axis=1))
+    low, high = norm.min(), norm.max()
+    if high <= low * BAND:
+        return [np.arange(len(vectors))]
+    band = np.floor(np.log(high / norm) / np.log(BAND)).astype(int)
+    order = np.argsort(band, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(band[order])) + 1)
+
+
+class Shard:
+    """The vectors of a shard and, per band, its graph (none where it is scanned)."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        own = bands(vectors)
+        order = np.concatenate(own)
+        self.ids, self.vectors = ids[order], vectors[order]
+        self.ends = np.cumsum([len(b) for b in own])
+        self.graphs: list[list[tuple]] = []
+        self.begins: list[np.ndarray] = []
+        for at, end in zip(self.ends - [len(b) for b in own], self.ends, strict=True):
+            levels = [] if end - at <= SCANNED < len(ids) else build_graph(self.vectors[at:end])
+            self.graphs.append(levels)
+            self.begins.append(begins(levels) if levels else np.zeros(0, np.int32))
+
+    def packed(self) -> dict:
+        levels = [level for graph in self.graphs for level in graph]
+        none = np.zeros(0, np.int32)
+        return {
+            "ids": self.ids.astype(np.int64).tobytes(),
+            "vectors": self.vectors.tobytes(),
+            "ends": self.ends.tolist(),
+            "nodes": np.concatenate([none, *(n for n, _ in levels)]).astype(np.int32).tobytes(),
+            "neighbours": np.concatenate([none, *(f for _, f in levels)]).astype(np.int32).tobytes(),
+            "sizes": [[len(n) for n, _ in graph] for graph in self.graphs],
+            "begins": [b.tobytes() for b in self.begins],
+        }
 
-def _unpack(nodes: bytes, flat: bytes, sizes) -> list[tuple]:
-    nodes, flat = np.frombuffer(nodes, np.int32), np.frombuffer(flat, np.int32)
-    width, out, at = len(flat) // max(1, len(nodes)), [], 0
-    for size in sizes:
-        out.append((nodes[at : at + size], flat[at * width : (at + size) * width]))
-        at += size
-    return out
+    @classmethod
+    def unpacked(cls, row: dict) -> Shard:
+        self = cls.__new__(cls)
+        self.ids = np.frombuffer(row["ids"], np.int64)
+        self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(self.ids), -1)
+        self.ends = np.array(row["ends"])
+        self.begins = [np.frombuffer(b, np.int32) for b in row["begins"]]
+        nodes, flat = np.frombuffer(row["nodes"], np.int32), np.frombuffer(row["neighbours"], np.int32)
+        width, at, self.graphs = len(flat) // max(1, len(nodes)), 0, []
+        for sizes in row["sizes"]:
+            graph = []
+            for size in sizes:
+                graph.append((nodes[at : at + size], flat[at * width : (at + size) * width]))
+                at += size
+            self.graphs.append(graph)
+        return self
+
+    def search(self, queries: np.ndarray, top: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and exact scores of each query's ``top`` best; -1 where fewer."""
+        n, x = len(queries), self.vectors
+        found, score = np.full((n, top), -1, np.int64), np.full((n, top), -np.inf)
+        length = np.sqrt((queries * queries).sum(axis=1))
+        start = 0
+        for end, graph, extra in zip(self.ends, self.graphs, self.begins, strict=True):
+            band = x[start:end]
+            most = np.sqrt((band * band).sum(axis=1).max())
+            # No product in the band exceeds the two lengths'; later bands are shorter still.
+            open_at = np.flatnonzero(length * most * (1 + 1e-9) >= score.min(axis=1))
+            step = max(1, (1 << 22) // (max(beam, top, len(band) if not graph else 0) * x.shape[1]))
+            if graph and len(open_at):
+                near, _ = search_graph(band, graph, queries[open_at], top, beam, extra)
+            for at in range(0, len(open_at), step):
+                own = open_at[at : at + step]
+                if graph:
+                    new = near[at : at + step].astype(np.int64)
+                    # Rounding may swap close ones, so the whole beam is measured exactly.
+                    value = np.einsum("nd,nkd->nk", queries[own], band[new])
+                    value[new < 0] = -np.inf
+                else:
+                    new = np.broadcast_to(np.arange(len(band)), (len(own), len(band)))
+                    value = np.einsum("nd,kd->nk", queries[own], band)
+                new = np.concatenate([found[own], np.where(new < 0, -1, new + start)], axis=1)
+                value = np.concatenate([score[own], value], axis=1)
+                best = np.lexsort((self.ids[new], -value), axis=1)[:, :top]
+                found[own], score[own] = np.take_along_axis(new, best, 1), np.take_along_axis(value, best, 1)
+            start = end
+        return found, score
 
 
 GRAPH = (
-    "dim long, shard long, ids binary, vectors binary, nodes binary, neighbours binary, sizes array<long>"
+    "dim long, shard long, ids binary, vectors binary, ends array<long>, nodes binary, neighbours binary,"
+    " sizes array<array<long>>, begins array<binary>"
 )
 
 
@@ -208,18 +329,12 @@ def _build(key, table):
     table = table.sort_by("vec_id").combine_chunks()
     ids = table.column("vec_id").to_numpy()
     x = np.asarray(table.column("vec").combine_chunks().flatten(), np.float64).reshape(-1, dim)
-    nodes, flat, sizes = _pack(build_graph(x))
-    return pa.table(
-        {
-            "dim": pa.array([dim], pa.int64()),
-            "shard": pa.array([key[1].as_py()], pa.int64()),
-            "ids": [ids.astype(np.int64).tobytes()],
-            "vectors": [x.tobytes()],
-            "nodes": [nodes],
-            "neighbours": [flat],
-            "sizes": pa.array([sizes], pa.list_(pa.int64())),
-        }
-    )
+    row = Shard(ids, x).packed()
+    longs = pa.list_(pa.int64())
+    types = {"ends": longs, "sizes": pa.list_(longs), "begins": pa.list_(pa.binary())}
+    columns = {k: pa.array([v], types.get(k, pa.binary())) for k, v in row.items()}
+    head = {"dim": pa.array([dim], pa.int64()), "shard": pa.array([key[1].as_py()], pa.int64())}
+    return pa.table(head | columns)
 
 
 def build_index(vectors: DataFrame, shard_rows: int = SHARD) -> DataFrame:
@@ -260,26 +375,15 @@ def _search(top: int, beam: int):
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {k: batch.column(k)[r].as_py() for k in batch.schema.names}
-                dim = row["dim"]
-                ids = np.frombuffer(row["ids"], np.int64)
-                x = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
+                shard = Shard.unpacked(row)
                 query_ids = np.frombuffer(row["query_ids"], np.int64)
-                q = np.frombuffer(row["queries"], np.float64).reshape(-1, dim)
-                levels = _unpack(row["nodes"], row["neighbours"], row["sizes"])
-                found, _ = search_graph(x, levels, q, top + 1, beam)
-                # Rounding may swap close ones, so the whole beam is measured exactly.
-                score, step = np.empty(found.shape), max(1, (1 << 22) // (found.shape[1] * dim))
-                for at in range(0, len(q), step):
-                    cut = slice(at, at + step)
-                    score[cut] = np.einsum("nd,nkd->nk", q[cut], x[found[cut]])
-                score[found < 0] = -np.inf
+                q = np.frombuffer(row["queries"], np.float64).reshape(-1, row["dim"])
                 # One more than ``top``: the query's own vector may have no copy.
-                order = np.lexsort((ids[found], -score), axis=1)[:, : top + 1]
-                found, score = np.take_along_axis(found, order, 1), np.take_along_axis(score, order, 1)
+                found, score = shard.search(q, top + 1, beam)
                 good = np.isfinite(score)
                 owner = np.broadcast_to(query_ids[:, None], found.shape)[good]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(owner), pa.array(ids[found][good]), pa.array(score[good])],
+                    [pa.array(owner), pa.array(shard.ids[found][good]), pa.array(score[good])],
                     ["query_id", "node", "score"],
                 )
 
