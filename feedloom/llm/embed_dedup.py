@@ -243,10 +243,11 @@ def near_duplicates(
 
     Vectors that are null, empty, zero, or hold null or non-finite components
     link with nothing, as do rows with a null id; vectors link only with those
-    of their own length.  Rows that repeat an id do not count as links of each
-    other.  A null id has a null component and is not kept.
+    of their own length.  Rows that repeat an id are one vector, the least of
+    them, and each gets its result.  A null id has a null component and is not kept.
     """
-    vectors = stored(clean_vectors(table, id_column, vector_column))
+    vectors = clean_vectors(table, id_column, vector_column)
+    vectors = stored(vectors.groupBy("vec_id").agg(F.min("vec").alias("vec")))
     dims = [r[0] for r in vectors.select(F.size("vec")).distinct().collect()]
     found = None
     for dim in sorted(dims):
