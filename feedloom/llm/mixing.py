@@ -2,13 +2,16 @@
 
 Each source's words form one stream of documents, cut into blocks of fixed
 length.  A source owes ``target`` words; it has one slot per block it must give
-(a second pass over its blocks where the target exceeds its size).  The slots
-of each source are thrown over the output shards, so a shard's source counts
-are a multinomial draw, conditioned on the totals that the targets fix.  A slot
-is mapped to a block by its source's pseudorandom permutation for that pass (an
-affine map whose multiplier is coprime to the block count, exact in decimals),
-and blocks are joined by (source, index).  The last slot of a source takes only
-the words still owed.
+(a second pass over its blocks where the target exceeds its size).
+
+Every slot falls into a random output shard, so the numbers of a source's slots
+in the shards are a multinomial draw, conditioned on the totals that the targets
+fix.  Running sums of a source's counts give each shard its stretch of the
+source's slots.  A slot is mapped to a block by its source's pseudorandom
+permutation for that pass: a keyed Feistel network over two factors whose product
+is a little more than the number of blocks, walked on while it leaves the range.
+Blocks are joined by (source, index).  The last slot of a source takes only the
+words still owed.
 """
 
 from __future__ import annotations
@@ -26,11 +29,9 @@ REPEATS = 2
 WEIGHTS = (5, 2, 1)
 # Documents of a source are laid out in so many stretches, each numbered apart.
 STRETCHES = 1024
-# Multipliers of the permutations, one per pass.  That of the first pass is a product:
-# block counts that share one of its factors take PRIME, a prime above any block count.
-MULTIPLIERS = (5827 * 273919 * 208398431, 188748146801)
-FACTORS = (5827, 273919, 208398431)
-PRIME = 909090909090909091
+# Steps that a permutation may walk outside its range: below 5,000 blocks never more
+# are needed; beyond, a step stays outside with a chance below 1 in 70.
+WALK = 72
 
 
 def document_sizes(documents: DataFrame) -> DataFrame:
@@ -82,17 +83,79 @@ def _laid_out(sizes: DataFrame) -> DataFrame:
     return docs.select("doc_id", "rank", "size", (F.col("head") + F.col("inner")).alias("at"))
 
 
-def _permuted(turn: Column, blocks: Column, second: Column, rank: Column) -> Column:
-    """Block index of the ``turn``-th slot of a pass: a bijection on 0 .. blocks-1.
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` found once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    The multiplier shares no factor with ``blocks``.
+
+def _random(*parts: Column | str | int) -> Column:
+    """A number below 2**32 that the parts fix."""
+    text = F.concat_ws(":", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def _network(x: Column, a: Column, b: Column, key: tuple[Column, Column], back: bool) -> Column:
+    """Four Feistel rounds on x = left * b + right, left below a and right below b."""
+
+    def turn(part: Column, by: Column, no: int, size: Column) -> Column:
+        step = _random(*key, no, by)
+        return F.pmod(part - step if back else part + step, size)
+
+    left, right = F.floor(x / b), x % b
+    if back:
+        return _let(right, lambda r0: _let(left, lambda l0: _let(turn(r0, l0, 3, b), lambda r1: _let(
+            turn(l0, r1, 2, a), lambda l1: _let(turn(r1, l1, 1, b), lambda r2: turn(l1, r2, 0, a) * b + r2)))))
+    return _let(left, lambda l0: _let(right, lambda r0: _let(turn(l0, r0, 0, a), lambda l1: _let(
+        turn(r0, l1, 1, b), lambda r1: _let(turn(l1, r1, 2, a), lambda l2: l2 * b + turn(r1, l2, 3, b))))))
+
+
+def permuted(turn: Column, blocks: Column, rank: Column, no: Column, back: bool = False) -> Column:
+    """Block index of the ``turn``-th slot of pass ``no``: a bijection on 0 .. blocks-1.
+
+    ``back`` gives the slot of a block.
+    """
+    a = F.ceil(F.sqrt(blocks))
+    b = F.ceil(blocks / a)
+
+    def step(x: Column) -> Column:
+        return _network(x, a, b, (rank, no), back).cast("long")
+
+    steps = F.sequence(F.lit(1), F.lit(WALK))
+    return F.aggregate(steps, step(turn), lambda x, _: F.when(x < blocks, x).otherwise(step(x)))
+
+
+def _owed_slots(targets: DataFrame, block_words: int) -> DataFrame:
+    """Per source: rank, words, owed, blocks, shards, and how many slots it gives.
+
+    Only the last block is short; words before a slot depend on whether it came
+    earlier (``short_0`` and ``short_1``: its slot in each pass).  One row per source.
+    """
+    owed = targets.select("rank", F.col("source_size").alias("words"), F.round("target").cast("long").alias("owed"))
+    total = F.sum("owed").over(W.partitionBy())
+    shards = F.greatest(F.lit(1), F.ceil(total / (block_words * SHARD_SLOTS))).cast("long")
+    owed = owed.withColumn("shards", shards).where("words > 0 AND owed > 0")
+    owed = owed.withColumn("blocks", F.expr(f"(words + {block_words - 1}) div {block_words}"))
+    missing = F.col("blocks") * block_words - F.col("words")
+    given = F.lit(0).cast("long")
+    for no in range(REPEATS):
+        short = permuted(F.col("blocks") - 1, F.col("blocks"), F.col("rank"), F.lit(no), back=True)
+        owed = owed.withColumn(f"short_{no}", short)
+        due = F.least("words", F.greatest(F.lit(0), F.col("owed") - no * F.col("words")))
+        early = F.ceil(due / block_words)
+        late = F.least("blocks", F.ceil((due + missing) / block_words))
+        given = given + F.when(early <= F.col(f"short_{no}") + 1, early).otherwise(
+            F.greatest(F.col(f"short_{no}") + 1, late)
+        )
+    return owed.withColumn("slots", given.cast("long"))
+
+
+def draw_counts(numbers: DataFrame) -> DataFrame:
+    """The draw: how many slots of each source fall into each output shard.
+
+    ``numbers`` has a row per slot: rank, slot, shards.
     """
-    big = "decimal(18,0)"
-    shares = F.greatest(*(F.when(blocks % f == 0, 1).otherwise(0) for f in FACTORS)) == 1
-    first = F.when(shares, PRIME).otherwise(MULTIPLIERS[0])
-    factor = F.when(second, MULTIPLIERS[1]).otherwise(first).cast(big)
-    step = F.pmod(factor, blocks.cast(big)).cast(big)
-    return F.pmod(turn.cast(big) * step + (rank * 7919 + 11).cast(big), blocks.cast(big)).cast("long")
+    shard = (_random("shard", F.col("rank"), F.col("slot")) % F.col("shards")).alias("shard")
+    return numbers.groupBy("rank", shard).agg(F.count("*").alias("drawn"))
 
 
 def mixture(sizes: DataFrame, targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -113,40 +176,35 @@ def mixture(sizes: DataFrame, targets: DataFrame, block_words: int = BLOCK_WORDS
         (start - F.col("block") * block_words).alias("offset"),
         (end - start).alias("length"),
     )
+    owed = stored(_owed_slots(targets, block_words))
     # A block's number is also a slot's number: the slots need no list of their own.
-    slots = pieces.where("offset = 0").select("rank", F.col("block").alias("turn"))
-    owed = targets.select("rank", F.col("source_size").alias("words"), F.round("target").cast("long").alias("owed"))
-    total = F.sum("owed").over(W.partitionBy())  # one row per source
-    shards = F.greatest(F.lit(1), F.ceil(total / (block_words * SHARD_SLOTS))).cast("long")
-    owed = owed.withColumn("shards", shards)
-    slots = slots.join(owed, "rank").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))))
-    blocks = F.expr(f"(words + {block_words - 1}) div {block_words}")
-    index = _permuted(F.col("turn"), F.col("blocks"), F.col("pass") % 2 == 1, F.col("rank"))
-    slots = slots.withColumn("blocks", blocks).withColumn("block", index)
-    # Only the last block is short; words before a slot depend on whether it came earlier.
-    short = F.col("blocks") * block_words - F.col("words")
-    last = slots.where("block = blocks - 1").select("rank", "pass", F.col("turn").alias("short_turn"))
-    slots = slots.join(last, ["rank", "pass"])
-    done = F.col("pass") * F.col("words") + F.col("turn") * block_words
-    done = done - F.when(F.col("turn") > F.col("short_turn"), short).otherwise(0)
-    slots = slots.withColumn("left", F.col("owed") - done).where("left > 0")
-    shard = F.pmod(F.xxhash64("rank", "pass", "turn"), F.col("shards"))
-    slots = slots.select("rank", "pass", "block", "left", shard.alias("shard"))
+    numbers = pieces.where("offset = 0").select("rank", F.col("block").alias("number"))
+    passes = F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))).alias("no")
+    numbers = numbers.join(owed.select("rank", "blocks", "slots", "shards"), "rank")
+    numbers = numbers.select("*", passes).withColumn("slot", F.col("no") * F.col("blocks") + F.col("number"))
+    drawn = draw_counts(numbers.where("slot < slots"))
+    # One row per source and shard, which holds about SHARD_SLOTS slots.
+    so_far = W.partitionBy("rank").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    drawn = drawn.withColumn("first", F.coalesce(F.sum("drawn").over(so_far), F.lit(0)))
+    slot = F.explode(F.sequence("first", F.col("first") + F.col("drawn") - 1)).alias("slot")
+    slots = drawn.select("rank", "shard", slot).join(owed, "rank")
+    slots = slots.withColumn("pass", F.expr("slot div blocks")).withColumn("turn", F.expr("slot % blocks"))
+    short_turn = F.when(F.col("pass") == 0, F.col("short_0"))
+    for no in range(1, REPEATS):
+        short_turn = short_turn.when(F.col("pass") == no, F.col(f"short_{no}"))
+    missing = F.when(F.col("turn") > short_turn, F.col("blocks") * block_words - F.col("words")).otherwise(0)
+    done = F.col("pass") * F.col("words") + F.col("turn") * block_words - missing
+    index = permuted(F.col("turn"), F.col("blocks"), F.col("rank"), F.col("pass"))
+    slots = slots.select("shard", "rank", "pass", index.alias("block"), (F.col("owed") - done).alias("left"))
     taken = F.least("length", F.col("left") - F.col("offset"))
     mix = slots.join(pieces, ["rank", "block"]).where("left > offset")
     return mix.select("shard", "rank", "pass", "block", "doc_id", "first_word", taken.alias("words"))
 
 
-def shard_counts(mix: DataFrame) -> DataFrame:
-    """The multinomial draw: slots and words of each source in each output shard."""
-    slots = mix.groupBy("shard", "rank", "pass", "block").agg(F.sum("words").alias("words"))
-    return slots.groupBy("shard", "rank").agg(F.count("*").alias("slots"), F.sum("words").alias("words"))
-
-
 def mix_documents(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken.
+    """Per document: doc_id, size, source_size, target, taken, shards.
 
-    Null and empty texts have size 0 and are never taken.  Null sources are one
+    ``shards`` counts the output shards that hold words of the document.  Null and empty texts have size 0 and are never taken.  Null sources are one
     source, after all others.  Rows that repeat doc_id and source are one
     document whose size is their sum.  Other columns are ignored.
     """
@@ -156,10 +214,17 @@ def mix_documents(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataF
         "doc_id", "rank", "size", "source_size", "target"
     )
     mix = mixture(ranked.select("doc_id", "rank", "size"), targets, block_words)
-    taken = mix.groupBy("doc_id", "rank").agg(F.sum("words").alias("taken"))
+    taken = mix.groupBy("doc_id", "rank").agg(
+        F.sum("words").alias("taken"), F.count_distinct("shard").alias("shards")
+    )
     joined = ranked.alias("d").join(
         taken.alias("t"), F.expr("d.doc_id <=> t.doc_id AND d.rank = t.rank"), "left"
     )
     return joined.select(
-        "d.doc_id", "d.size", "d.source_size", "d.target", F.coalesce("t.taken", F.lit(0)).alias("taken")
+        "d.doc_id",
+        "d.size",
+        "d.source_size",
+        "d.target",
+        F.coalesce("t.taken", F.lit(0)).alias("taken"),
+        F.coalesce("t.shards", F.lit(0)).alias("shards"),
     )

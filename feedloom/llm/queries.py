@@ -55,7 +55,7 @@ def page_captures(pages: DataFrame) -> DataFrame:
 
 
 def page_list_entries(pages: DataFrame) -> DataFrame:
-    """Dated list entries for every host, parent domain and first path of the pages.
+    """Dated list entries for every host, parent domain, first path and whole path of the pages.
 
     Each pattern is listed, dropped, and for some listed again, on days that
     follow from the smallest page id it has.
@@ -63,12 +63,14 @@ def page_list_entries(pages: DataFrame) -> DataFrame:
     url = F.col("url")
     host = F.lower(F.regexp_extract(url, url_lists.PARTS, 1))
     labels = F.split(host, r"\.")
-    step = F.element_at(F.filter(F.split(F.regexp_extract(url, url_lists.PARTS, 2), "/"), lambda s: s != ""), 1)
+    steps = F.filter(F.split(F.regexp_extract(url, url_lists.PARTS, 2), "/"), lambda s: s != "")
+    deep = F.when(F.size(steps) > 1, F.concat(host, F.lit("/"), F.array_join(steps, "/")))
     parent = F.when(F.size(labels) >= 4, F.array_join(F.slice(labels, F.size(labels) - 2, 3), "."))
     kinds = F.array(
         F.struct(F.lit("hosts").alias("list"), host.alias("pattern")),
         F.struct(F.lit("domains").alias("list"), parent.alias("pattern")),
-        F.struct(F.lit("paths").alias("list"), F.concat(host, F.lit("/"), step).alias("pattern")),
+        F.struct(F.lit("paths").alias("list"), F.concat(host, F.lit("/"), F.try_element_at(steps, F.lit(1))).alias("pattern")),
+        F.struct(F.lit("pages").alias("list"), deep.alias("pattern")),
     )
     patterns = pages.where(host != "").select("page_id", F.explode(kinds).alias("p")).select("page_id", "p.*")
     first = patterns.where("pattern IS NOT NULL").groupBy("list", "pattern").agg(F.min("page_id").alias("first"))
@@ -87,7 +89,7 @@ def page_list_entries(pages: DataFrame) -> DataFrame:
 
 def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_lists.evaluate_captures(page_captures(pages), page_list_entries(pages), "2024-12-31")
+    return url_lists.evaluate_captures(page_captures(pages), page_list_entries(pages))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +145,23 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+
+
+def _network(x: str) -> str:
+    """Four Feistel rounds on ``x`` in SQL."""
+
+    def more(part: str, no: int, by: str, size: str) -> str:
+        key = f"rank || ':' || pass || ':{no}:' || ({by})"
+        return f"(({part}) + ('0x' || left(md5({key}), 8))::BIGINT) % {size}"
+
+    left, right = f"{x} // b", f"{x} % b"
+    left = more(left, 0, right, "a")
+    right = more(right, 1, left, "b")
+    left = more(left, 2, right, "a")
+    right = more(right, 3, left, "b")
+    return f"(({left}) * b + {right})"
+
+
 _CLOSURE = """
 , reach(id, other) AS (
   SELECT id, id FROM nodes UNION SELECT r.id, e.b FROM reach r JOIN edges e ON e.a = r.other
@@ -188,26 +207,34 @@ t AS (
     ORDER BY ((doc_id % 1024) + 1024) % 1024, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), k AS (SELECT rank, source_size AS words, (source_size + 127) // 128 AS blocks, round(target)::BIGINT AS owed FROM t),
+sized AS (SELECT *, ceil(sqrt(blocks))::BIGINT AS a, ceil(blocks / ceil(sqrt(blocks)))::BIGINT AS b,
+  greatest(1, ceil(sum(owed) OVER () / 131072))::BIGINT AS shards FROM k),
 slots AS (
-  SELECT k.*, p.p AS pass, unnest(range(blocks)) AS turn FROM k, (VALUES (0), (1)) p(p)
+  SELECT k.*, p.p AS pass, unnest(range(blocks)) AS turn FROM sized k, (VALUES (0), (1)) p(p) WHERE words > 0
 ), placed AS (
-  SELECT *, ((turn::HUGEINT * ((CASE pass WHEN 0 THEN 909090909090909091 % 576460752303423488 ELSE 188748146801 END)
-    % blocks) + rank * 7919 + 11) % blocks)::BIGINT AS block FROM slots
+  SELECT *, list_reduce(list_prepend(""" + _network("turn") + """, range(72)),
+    lambda x, i: CASE WHEN x < blocks THEN x ELSE """ + _network("x") + """ END) AS block FROM slots
 ), last AS (SELECT rank, pass, turn AS short_turn FROM placed WHERE block = blocks - 1),
 left_over AS (
-  SELECT rank, pass, block, owed - (pass * words + turn * 128
+  SELECT rank, pass, turn, block, blocks, shards, owed - (pass * words + turn * 128
     - CASE WHEN turn > short_turn THEN blocks * 128 - words ELSE 0 END) AS owing
   FROM placed JOIN last USING (rank, pass)
-), piece AS (
+), drawn AS (
+  SELECT rank, ('0x' || left(md5('shard:' || rank || ':' || (pass * blocks + turn)), 8))::BIGINT % shards AS shard
+  FROM left_over WHERE owing > 0
+), dealt AS (SELECT rank, shard, row_number() OVER (PARTITION BY rank ORDER BY shard) - 1 AS slot FROM drawn),
+piece AS (
   SELECT doc_id, rank, pos, size, unnest(range(pos // 128, (pos + size - 1) // 128 + 1)) AS block FROM laid WHERE size > 0
 ), cut AS (
   SELECT doc_id, rank, block, greatest(pos, block * 128) - block * 128 AS first,
     least(pos + size, block * 128 + 128) - greatest(pos, block * 128) AS length FROM piece
 ), took AS (
-  SELECT doc_id, rank, sum(greatest(0, least(length, owing - first)))::BIGINT AS taken
-  FROM cut JOIN left_over USING (rank, block) GROUP BY doc_id, rank
+  SELECT doc_id, rank, sum(least(length, owing - first))::BIGINT AS taken, count(DISTINCT shard) AS shards
+  FROM cut JOIN left_over USING (rank, block) JOIN dealt USING (rank)
+  WHERE dealt.slot = pass * blocks + turn AND owing > first GROUP BY doc_id, rank
 )
-SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM laid LEFT JOIN took USING (doc_id, rank)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, coalesce(shards, 0) AS shards
+FROM laid LEFT JOIN took USING (doc_id, rank)
 """,
     "op3_embedding_dedup": """
 WITH RECURSIVE v AS (
@@ -243,6 +270,7 @@ k AS (
   SELECT 'hosts' AS list, host AS pattern, page_id FROM h
   UNION ALL SELECT 'domains', array_to_string(labels[-3:], '.'), page_id FROM h WHERE len(labels) >= 4
   UNION ALL SELECT 'paths', host || '/' || steps[1], page_id FROM h WHERE len(steps) > 0
+  UNION ALL SELECT 'pages', host || '/' || array_to_string(steps, '/'), page_id FROM h WHERE len(steps) > 1
 ), f AS (SELECT list, pattern, min(page_id) AS first FROM k GROUP BY list, pattern),
 e AS (
   SELECT list, pattern, first % 180 AS day, 0 AS seq, true AS listed FROM f
@@ -254,7 +282,7 @@ e AS (
       DATE '9999-12-31') AS stop FROM e
 ), c AS (
   SELECT page_id, fetched, unnest([array_to_string(labels[j:], '.') FOR j IN range(1, greatest(2, len(labels)))]) AS pattern FROM h
-  UNION SELECT page_id, fetched, unnest([host || '/' || array_to_string(steps[:j], '/') FOR j IN range(1, least(2, len(steps)) + 1)]) FROM h
+  UNION SELECT page_id, fetched, unnest([host || '/' || array_to_string(steps[:j], '/') FOR j IN range(1, len(steps) + 1)]) FROM h
 ), m AS (
   SELECT page_id, count(*) AS n, arg_max(c.pattern, (length(c.pattern), c.pattern)) AS matched
   FROM c JOIN i ON c.pattern = i.pattern AND i.listed AND start <= fetched AND fetched < stop GROUP BY page_id

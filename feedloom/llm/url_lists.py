@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import need_columns
 
-PATH_SEGMENTS = 2
 OPEN_END = "9999-12-31"
 PARTS = r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?([^?#]*)"
 
@@ -42,14 +41,18 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     return steps.where("listed").select("list", "pattern", F.col("day").alias("valid_from"), end.alias("valid_to"))
 
 
-def url_patterns(url: Column, segments: int = PATH_SEGMENTS) -> Column:
-    """All patterns that can list a URL: host, parent domains of two labels or more, paths."""
+def url_patterns(url: Column, segments: int) -> Column:
+    """All patterns that can list a URL: host, parent domains of two labels or more, paths.
+
+    Paths have up to ``segments`` leading segments.
+    """
     host = F.lower(F.regexp_extract(url, PARTS, 1))
     labels = F.split(host, r"\.")
     tails = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(labels) - 1))
     domains = F.transform(tails, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     steps = F.filter(F.split(F.regexp_extract(url, PARTS, 2), "/"), lambda s: s != "")
-    depths = F.when(F.size(steps) > 0, F.sequence(F.lit(1), F.least(F.lit(segments), F.size(steps))))
+    deepest = F.least(F.lit(segments), F.size(steps))
+    depths = F.when(deepest > 0, F.sequence(F.lit(1), deepest))
     depths = F.coalesce(depths, F.array().cast("array<int>"))
     paths = F.transform(depths, lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, i), "/")))
     return F.when(host != "", F.array_distinct(F.concat(domains, paths))).otherwise(F.array().cast("array<string>"))
@@ -59,21 +62,29 @@ def _month(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def evaluate_captures(captures: DataFrame, entries: DataFrame, last_month_day: str) -> DataFrame:
+def evaluate_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Per capture: capture_id, fetched, n_active, blocked, matched.
 
     ``n_active`` counts the (list, pattern) entries active at ``fetched``;
     ``matched`` is the longest such pattern (ties by text).  Captures whose url
     or date is null, or whose url has no host, match nothing.  Rows that repeat
-    a capture id and date are one capture.  Intervals are laid out up to
-    ``last_month_day``, the last day any capture may have.
+    a capture id and date are one capture.  How deep paths are looked up and how
+    far intervals are laid out follow from the entries and captures at hand, so
+    entries of any depth and captures of any day can match.  Other columns are
+    ignored.
     """
     need_columns(captures, "capture_id", "url", "fetched")
     spans = validity_intervals(entries)
-    end = F.least(F.date_sub("valid_to", 1), F.lit(last_month_day).cast("date"))
-    months = F.sequence(_month(F.col("valid_from")), F.greatest(_month(F.col("valid_from")), _month(end)))
+    slashes = F.length("pattern") - F.length(F.replace("pattern", F.lit("/")))
+    depth = entries.agg(F.coalesce(F.max(slashes), F.lit(0))).first()[0]
+    first, last = captures.agg(F.min("fetched"), F.max("fetched")).first()
+    # Only the months of captures are laid out.
+    start = F.greatest("valid_from", F.lit(first).cast("date"))
+    end = F.least(F.date_sub("valid_to", 1), F.lit(last).cast("date"))
+    spans = spans.withColumn("start", start).withColumn("end", end).where("start <= end")
+    months = F.sequence(_month(F.col("start")), _month(F.col("end")))
     spans = spans.select("list", "pattern", "valid_from", "valid_to", F.explode(months).alias("month"))
-    rows = captures.select("capture_id", "fetched", F.explode(url_patterns(F.col("url"))).alias("pattern"))
+    rows = captures.select("capture_id", "fetched", F.explode(url_patterns(F.col("url"), depth)).alias("pattern"))
     rows = rows.where("fetched IS NOT NULL").withColumn("month", _month(F.col("fetched"))).distinct()
     hits = rows.join(spans, ["pattern", "month"]).where("valid_from <= fetched AND fetched < valid_to")
     best = F.max(F.struct(F.length("pattern").alias("size"), "pattern"))["pattern"]
