@@ -1,9 +1,11 @@
 """WARC archives: writing, reading back, and revisit resolution.
 
-A record is text: header lines, a blank line and the payload.  Spark's text
-writer puts the record separator (two line ends) after each, so every part file
-is a WARC archive in gzip.  Reading goes by Content-Length, so payloads may
-hold anything, the separator included.
+A record is text: header lines, a blank line and an HTTP response, whose body is
+the payload; a revisit has the HTTP head only.  Spark's text writer puts the record
+separator (two line ends) after each, so every part file is a WARC archive,
+packed as one gzip stream.  Reading goes by Content-Length, so payloads may hold
+anything, the separator included.  An archive has a bounded number of records and
+of bytes, as one task reads it whole.
 
 Revisit resolution shuffles narrow headers by payload digest, takes the
 smallest record id as the original, and joins the others to it.
@@ -23,9 +25,11 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import need_columns, shared_folder
 
 MIN_PAYLOAD = 100
+# The pages have no time of their capture, so one is given, and reruns agree.
 DATE = "2024-01-01T00:00:00Z"
-# Records of one archive; each archive is read by one task.
+# Records and payload bytes of one archive; a longer payload has one of its own.
 ARCHIVE_RECORDS = 1000
+ARCHIVE_BYTES = 1 << 28
 LINE = "\r\n"
 
 RECORD = (
@@ -76,7 +80,7 @@ def _urn(record_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(record_id.cast("string"), F.lit("none")), F.lit(">"))
 
 
-def record_text() -> Column:
+def record_text(date: str = DATE) -> Column:
     """A record of columns page_id, url, html, record_type, refers_to, payload_digest.
 
     Line ends and other control characters of a URL are percent-encoded, so
@@ -86,7 +90,14 @@ def record_text() -> Column:
     for code in (37, *range(32), 127):
         url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}"))
     revisit = F.col("record_type") == "revisit"
-    body = F.when(revisit, "").otherwise(F.coalesce("html", F.lit("")))
+    payload = F.coalesce("html", F.lit(""))
+    head = F.concat(
+        F.lit(f"HTTP/1.1 200 OK{LINE}"),
+        _line("Content-Type", F.lit("text/html; charset=utf-8")),
+        _line("Content-Length", F.octet_length(payload).cast("string")),
+        F.lit(LINE),
+    )
+    body = F.when(revisit, head).otherwise(F.concat(head, payload))
     reference = F.concat(
         _line("WARC-Refers-To", _urn(F.col("refers_to"))),
         _line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
@@ -95,24 +106,29 @@ def record_text() -> Column:
         F.lit(f"WARC/1.1{LINE}"),
         _line("WARC-Type", F.col("record_type")),
         _line("WARC-Record-ID", _urn(F.col("page_id"))),
-        _line("WARC-Date", F.lit(DATE)),
+        _line("WARC-Date", F.lit(date)),
         _line("WARC-Target-URI", url),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
         F.when(revisit, reference).otherwise(""),
-        _line("Content-Type", F.lit("text/html; charset=utf-8")),
+        _line("Content-Type", F.lit("application/http; msgtype=response")),
         _line("Content-Length", F.octet_length(body).cast("string")),
         F.lit(LINE),
         body,
     )
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """Write (page_id, url, html, record_type, refers_to, payload_digest) rows as archives."""
+def write_archives(records: DataFrame, path: str, pages: DataFrame | None = None) -> None:
+    """Write (page_id, url, html, record_type, refers_to, payload_digest) rows as archives.
+
+    ``pages`` is a table cheaper to read than ``records`` with the same html.
+    """
+    longest = (records if pages is None else pages).agg(F.max(F.octet_length("html"))).first()[0] or 1
+    limit = max(1, min(ARCHIVE_RECORDS, ARCHIVE_BYTES // max(1, longest)))
     (
         records.select(record_text().alias("record"))
         .write.option("lineSep", LINE * 2)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", ARCHIVE_RECORDS)
+        .option("maxRecordsPerFile", limit)
         .text(path)
     )
 
@@ -128,7 +144,8 @@ def _records(data: bytes) -> Iterator[tuple]:
         while (line := stream.readline().rstrip(b"\r\n")):
             name, _, value = line.decode().partition(": ")
             head[name] = value
-        payload = stream.read(int(head["Content-Length"]))
+        block = stream.read(int(head["Content-Length"]))
+        payload = block[block.index(b"\r\n\r\n") + 4 :]  # after the HTTP head
         if stream.read(4) != b"\r\n\r\n":
             raise ValueError("a record does not end where its length says")
         yield (
@@ -258,9 +275,17 @@ def deduplicated_archives(pages: DataFrame, path: str, min_payload: int = MIN_PA
     records = rows.join(kinds, match).select(
         rows.page_id, "url", "html", rows.payload_digest, "record_type", "refers_to"
     )
-    write_archives(records, path)
+    write_archives(records, path, pages)
     return follow_revisits(read_archives(pages.sparkSession, path, with_payload=False))
 
 
 def archived_pages(pages: DataFrame) -> DataFrame:
+    """Per row of ``pages``: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Read back from archives written below the shared folder.  A null html is an
+    empty payload, a null url an empty one; a null page_id is a response.  Rows that
+    repeat a page_id and payload are one response each, and of equal payloads the
+    smallest page_id is the one referred to, so there are no ties.  Long payloads
+    are kept whole.  Other columns are ignored; no rows give no rows.
+    """
     return deduplicated_archives(pages, shared_folder(pages.sparkSession))
