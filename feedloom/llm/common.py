@@ -46,6 +46,15 @@ def long_rows(df: DataFrame) -> DataFrame:
     return df
 
 
+def filtered(documents: DataFrame, keep) -> DataFrame:
+    """The rows that ``keep``, a function of Arrow batches that reads ``text``, gives back.
+
+    Other columns may have any name, dots included.
+    """
+    plain = documents.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(documents.columns)])
+    return plain.mapInArrow(keep, plain.schema).toDF(*documents.columns)
+
+
 def need_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import long_rows, need_columns
+from feedloom.llm.common import filtered, long_rows, need_columns
 
 UNKNOWN = "und"
 FOLDS = 4
@@ -146,6 +146,9 @@ def identify_language(documents: DataFrame) -> DataFrame:
 
     A null or letterless text is ``und``.  A null doc_id is not held out and
     does not train.  With one known language every text with a letter is that.
+    Long texts are compressed whole, in chunks.  Of equal sizes the first language
+    by name wins, with score 0 and rejected.  Rows that repeat fare alike, and train
+    as often as they come.  Other columns are ignored; no rows give no rows.
     """
     dictionaries = documents.sparkSession.sparkContext.broadcast(train(documents))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -159,4 +162,4 @@ def identify_language(documents: DataFrame) -> DataFrame:
 def keep_identified(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` whose language is not rejected, all columns."""
     dictionaries = documents.sparkSession.sparkContext.broadcast(train(documents))
-    return documents.mapInArrow(_keep(dictionaries), documents.schema)
+    return filtered(documents, _keep(dictionaries))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import WordHasher, long_rows, need_columns, shingles, stored
+from feedloom.llm.common import WordHasher, filtered, long_rows, need_columns, shingles, stored
 
 THRESHOLD = 0.3
 FOLDS = 5
@@ -234,7 +234,7 @@ def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = text_statistics(docs, "doc_id").join(training_labels(labels), "doc_id")
     model = fit(known.select("x", "label"))
-    return documents.mapInArrow(_keep(model), documents.schema)
+    return filtered(documents, _keep(model))
 
 
 def _keep(model: Discriminant):

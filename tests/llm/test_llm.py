@@ -59,6 +59,33 @@ def test_join_odd_rows(odd, empty):
     assert ngram_join.jaccard_components(empty).collect() == []
 
 
+@pytest.mark.parametrize("times", [1, 2, 3])
+def test_join_of_repeated_rows(spark, times):
+    """A table with every row several times has the groups of the table itself."""
+    rng = np.random.default_rng(11)
+    texts = {}
+    for pair in range(40):
+        words = [f"p{pair}w{i}" for i in range(240)]
+        for copy in range(3):
+            new = list(words)
+            for at in rng.choice(240, 2 * copy, replace=False):
+                new[at] = f"e{copy}x{at}"
+            texts[3 * pair + copy] = " ".join(new)
+    sets = {d: shingle_set(t) for d, t in texts.items()}
+    label = {d: d for d in texts}
+    for _ in range(3):
+        for a in texts:
+            for b in range(a // 3 * 3, a // 3 * 3 + 3):
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                    label[a] = label[b] = min(label[a], label[b])
+    rows = [(d, t) for d, t in texts.items()] * times
+    rng.shuffle(rows)
+    frame = spark.createDataFrame([(int(d), t) for d, t in rows], "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.component_id) for r in ngram_join.jaccard_components(frame).collect()]
+    assert sorted(got) == sorted(list(label.items()) * times)
+
+
 def test_tree_loses_no_pair():
     rng = np.random.default_rng(5)
     sets = []
@@ -154,10 +181,24 @@ def test_url_lists(spark):
             (4, None, "2024-02-01"), (5, "nonsense", "2024-02-01"), (6, "http://b.com", None), (7, "http://xb.com/", "2024-02-01")]
     captures = spark.createDataFrame(rows, "capture_id long, url string, fetched string")
     captures = captures.withColumn("fetched", F.col("fetched").cast("date"))
-    got = {r.capture_id: (r.n_active, r.matched) for r in url_lists.evaluate_captures(captures, entries, "2024-12-31").collect()}
+    got = {r.capture_id: (r.n_active, r.matched) for r in url_lists.evaluate_captures(captures, entries).collect()}
     assert got == {1: (2, "a.b.com/x"), 2: (1, "a.b.com/x"), **{k: (0, None) for k in (3, 4, 5, 6, 7)}}
 
 
+def test_url_lists_of_any_depth_and_day(spark):
+    entries = [("l", "b.com", "1999-01-10", 0, True), ("p", "a.b.com/x/y/z/w", "2024-02-01", 0, True), ("p", "a.b.com/x/y/z/w", "2024-02-01", 0, True)]
+    entries = spark.createDataFrame(entries, "list string, pattern string, day string, seq int, listed boolean")
+    entries = entries.withColumn("day", F.col("day").cast("date"))
+    rows = [(1, "http://a.b.com/x/y/z/w/v", "2031-05-05"), (1, "http://a.b.com/x/y/z/w/v", "2031-05-05"), (2, "http://a.b.com/x/y", "1999-01-10"),
+            (3, "http://a.b.com/x/y/z/w", "2024-01-31"), (4, "http://b.com/" + "s/" * 20_000, "2024-01-31")]
+    captures = spark.createDataFrame(rows, "capture_id long, url string, fetched string")
+    captures = captures.withColumn("fetched", F.col("fetched").cast("date")).withColumn("month", F.lit(0)).withColumn("pattern", F.lit("q"))
+    got = {r.capture_id: (r.n_active, r.matched) for r in url_lists.evaluate_captures(captures, entries).collect()}
+    assert got == {1: (2, "a.b.com/x/y/z/w"), 2: (1, "b.com"), 3: (1, "b.com"), 4: (1, "b.com")}
+    for a, b in ((captures.where("capture_id < 0"), entries), (captures, entries.where("seq > 0"))):
+        assert all(r.n_active == 0 for r in url_lists.evaluate_captures(a, b).collect())
+
+
 def test_quality(spark, odd, empty):
     more = SF.replace("0.001", "0.01")  # the smallest tables have 19 held-out labels
     docs = spark.read.parquet(f"{more}/documents.parquet")
@@ -252,6 +293,86 @@ def test_pipeline(spark):
     assert last and "sequence_id" in last[0]
 
 
+def _five_word_runs(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_pipeline_of_odd_rows(spark, odd):
+    """Stages on odd rows, with columns named like those a stage might use."""
+    import corpus_pipeline
+
+    names = ("cuts", "_id", "_copy", "_source", "_words", "row", "number", "words", "copy", "rank", "size", "at", "token", "a.b")
+    docs = odd
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(i))
+    rows = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert rows.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in rows.collect()), key=repr)
+    texts = {d: t for d, t, *_ in ODD}
+    groups = {}
+    for d, t in texts.items():
+        key = frozenset(_five_word_runs(t or "")) or d
+        key = frozenset(_five_word_runs(BASE)) if d in (1, 2) else key
+        if d is not None:
+            groups[key] = min(groups.get(key, d), d)
+    expected = [(d, texts[d]) for d in groups.values()] + [(None, BASE)]
+    assert got == sorted(expected, key=repr)
+    mix = corpus_pipeline.mixed(spark, docs, SF)
+    assert mix.columns == docs.columns
+    taken = {}
+    for r in mix.collect():
+        taken[r.source] = taken.get(r.source, 0) + len((r.text or "").split())
+        assert r.n_chars == len(r.text)
+    sizes = mixing.document_sizes(docs.withColumn("doc_id", F.monotonically_increasing_id()))
+    assert taken == {r.source: round(r.target) for r in mixing.weighted_targets(sizes).collect() if round(r.target)}
+    empty = docs.where("doc_id > 100")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).collect() == [], name
+
+
+def test_mix_of_rows_without_ids(spark):
+    """Rows with a null or repeated doc_id are cut each by its own words."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(240):
+        words = " ".join(f"r{i}w{k}" for k in range(int(rng.integers(1, 400))))
+        rows.append((None if i % 3 == 0 else 7 if i % 3 == 1 else i, words, "en", "abc"[i % 3], 0, "x"))
+    docs = spark.createDataFrame(rows, DOCS)
+    got = corpus_pipeline.mixed(spark, docs, SF).collect()
+    by_row = {}
+    for r in got:
+        words = r.text.split()
+        (owner,) = {int(re.match(r"r(\d+)w", w).group(1)) for w in words}
+        by_row.setdefault(owner, []).append([int(w.split("w")[1]) for w in words])
+    taken = {s: 0 for s in "abc"}
+    for owner, passes in by_row.items():
+        assert len(passes) <= 2
+        for positions in passes:
+            assert positions == sorted(set(positions)) and positions[-1] < len(rows[owner][1].split())
+            taken[rows[owner][3]] += len(positions)
+    sizes = mixing.document_sizes(docs.withColumn("doc_id", F.monotonically_increasing_id()))
+    assert taken == {r.source: round(r.target) for r in mixing.weighted_targets(sizes).collect()}
+
+
+def test_packing_of_the_mix(spark, odd):
+    """The last stage holds every id of what the stage before it gave, once."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(packing.tokenizer_path())
+    docs = corpus_pipeline.mixed(spark, odd, SF).persist()
+    rows = corpus_pipeline.packed(spark, docs, SF).collect()
+    ids = sum(len(whole.encode(r.text, add_special_tokens=False).ids) + 1 for r in docs.collect())
+    assert sum(r.length for r in rows) == ids
+    per = {}
+    for r in rows:
+        per.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in p) <= packing.WINDOW for p in per.values())
+
+
 def test_near_duplicates_five_words(spark):
     import corpus_pipeline
 
@@ -286,13 +407,46 @@ def test_near_duplicates_five_words(spark):
     assert 90 in kept and 91 not in kept
 
 
-@pytest.mark.parametrize("blocks", [1, 5826, 5827, 11654, 273919])
+@pytest.mark.parametrize("blocks", [1, 2, 3, 5, 7, 100, 239, 5826, 5827, 11654, 65536, 273919])
 def test_each_block_once_a_pass(spark, blocks):
-    for second in (False, True):
-        block = mixing._permuted(F.col("id"), F.lit(blocks).cast("long"), F.lit(second), F.lit(2))
-        rows = spark.range(blocks).select(block.alias("block"))
-        assert rows.distinct().count() == blocks
-        assert rows.agg(F.min("block"), F.max("block")).first()[:] == (0, blocks - 1)
+    for no in range(2):
+        key = (F.lit(blocks).cast("long"), F.lit(2), F.lit(no))
+        rows = spark.range(blocks).select("id", mixing.permuted(F.col("id"), *key).alias("block"))
+        rows = rows.withColumn("back", mixing.permuted(F.col("block"), *key, back=True))
+        got = rows.agg(F.count_distinct("block"), F.min("block"), F.max("block"), F.count_if(F.col("id") != F.col("back"))).first()
+        assert got[:] == (blocks, 0, blocks - 1, 0)
+
+
+def test_permutations_differ(spark):
+    """Neither a rotated or mirrored identity, nor shared by sources or passes."""
+    blocks = F.lit(200).cast("long")
+    columns = [mixing.permuted(F.col("id"), blocks, F.lit(r), F.lit(p)).alias(f"b{r}{p}") for r in (0, 1) for p in (0, 1)]
+    rows = spark.range(200).select("id", *columns).orderBy("id").collect()
+    orders = [[r[c] for r in rows] for c in ("b00", "b01", "b10", "b11")]
+    assert len({tuple(o) for o in orders}) == 4
+    for order in orders:
+        steps = {(b - a) % 200 for a, b in zip(order, order[1:], strict=False)}
+        assert len(steps) > 60
+
+
+def test_shard_counts_are_a_draw(spark):
+    """Counts add up to the totals, spread as a draw does, and fix each shard's slots."""
+    docs = spark.range(40_000).select(
+        F.col("id").alias("doc_id"), F.lit(100).cast("long").alias("size"), (F.col("id") % 4).cast("string").alias("source")
+    )
+    targets = mixing.weighted_targets(docs)
+    ranked = docs.join(targets, "source").select("doc_id", "rank", "size")
+    mix = mixing.mixture(ranked, targets)
+    slots = mix.select("shard", "rank", "pass", "block").distinct().groupBy("rank", "shard").count().collect()
+    shards = len({r.shard for r in slots})
+    assert shards == -(-6_000_000 // (128 * 1024))
+    for rank in range(4):
+        n = np.array([r["count"] for r in slots if r["rank"] == rank])
+        mean = n.sum() / shards
+        assert 0.4 < ((n - mean) ** 2).sum() / (mean * (1 - 1 / shards)) / (shards - 1) < 2.2
+    words = {r["rank"]: r.words for r in mix.groupBy("rank").agg(F.sum("words").alias("words")).collect()}
+    owed = {r["rank"]: round(r.target) for r in targets.collect()}
+    assert words == owed
 
 
 @pytest.mark.parametrize("blocks", [5827, 11654])
@@ -300,6 +454,7 @@ def test_mixing_of_factor_blocks(spark, blocks):
     docs = spark.range(blocks).select(
         F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 128).alias("text"), F.lit("a").alias("source")
     )
+    docs = docs.withColumn("rank", F.lit("x")).withColumn("at", F.lit(0)).withColumn("block", F.lit(None))
     got = mixing.mix_documents(docs).agg(F.sum("taken"), F.min("taken"), F.max("taken")).first()
     assert got[:] == (blocks * 192, 128, 256)
 
@@ -336,6 +491,34 @@ def test_nearest_with_many_copies(spark):
         assert ids == best, q
 
 
+def _norm_cases():
+    rng = np.random.default_rng(12)
+    plain = rng.normal(size=(5000, 64))
+    yield "equal", plain / np.linalg.norm(plain, axis=1, keepdims=True)
+    yield "normal", plain
+    for sigma in (1, 2):
+        yield f"lognormal {sigma}", plain * rng.lognormal(0, sigma, (5000, 1))
+    for spread in (0.02, 0.2):
+        centres = rng.normal(size=(25, 64))
+        yield f"25 clusters {spread}", centres[rng.integers(0, 25, 5000)] + rng.normal(size=(5000, 64)) * spread
+    yield "many small clusters", rng.normal(size=(400, 64))[rng.integers(0, 400, 5000)] + rng.normal(size=(5000, 64)) * 0.01
+
+
+@pytest.mark.parametrize("name, x", list(_norm_cases()), ids=lambda v: v if isinstance(v, str) else "")
+def test_recall_of_a_shard(name, x):
+    q = x[::33]
+    shard = ann.Shard.unpacked(ann.Shard(np.arange(5000), x).packed())
+    found, score = shard.search(q, 20, ann.BEAM)
+    ids = shard.ids[found]
+    product = q @ x.T
+    kth = np.sort(product, axis=1)[:, -20]
+    true = np.argsort(-product, axis=1)[:, :20]
+    recall = np.array([np.isin(t, f).mean() for t, f in zip(true, ids, strict=True)])
+    print(name, recall.mean(), recall.min())
+    assert recall.mean() >= 0.95 and recall.min() >= 0.5
+    assert np.allclose(score, np.take_along_axis(product, ids, 1)) and (kth > -np.inf).all()
+
+
 def test_beam_holds_a_node_once():
     x = np.random.default_rng(2).normal(size=(300, 24))
     found, _ = ann.search_graph(x, ann.build_graph(x), x[:20], 20, ann.BEAM)
