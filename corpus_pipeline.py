@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,12 +23,21 @@ NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified; rejected ones go (op 9)."""
+    """Documents whose language is identified; rejected ones go (op 9).
+
+    Null, empty and letterless texts have no language and go; long ones are read
+    whole; of equal scores the first language by name wins, which is a narrow
+    margin, so such texts go.  Repeated rows fare alike; no rows give no rows.
+    """
     return langid.keep_identified(docs)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality classifier keeps (op 7)."""
+    """Documents the quality classifier keeps (op 7).
+
+    Null and empty texts count as texts without words; a score at the threshold
+    is kept.  Repeated rows fare alike; without labels all stay; no rows give none.
+    """
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -36,52 +45,64 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group that n-gram Jaccard links connect (op 1).
 
     Documents link from a Jaccard similarity of 0.8 of their runs of five words.
-    The smallest doc_id stays; of rows that repeat it, the smallest text.  Rows
-    with a null doc_id link with nothing and stay.
+    The smallest doc_id stays; of rows that repeat it, the smallest text, and of
+    those one.  Null and empty texts link with nothing.  Rows with a null doc_id
+    link with nothing and stay.  No rows give no rows.
     """
     groups = ngram_join.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi")
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    rows = rows.withColumn("_copy", first).where("_copy = 1").drop("_copy")
-    return rows.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    # The row travels as one column, so no name of its own can clash.
+    rows = docs.select("doc_id", "text", F.struct(*_all(docs)).alias("row")).join(kept, "doc_id", "left_semi")
+    order = W.partitionBy("doc_id").orderBy("text", F.xxhash64("row"))
+    rows = rows.withColumn("copy", F.row_number().over(order)).where("copy = 1").select("row.*")
+    return rows.unionByName(docs.where("doc_id IS NULL")).select(*_all(docs))
+
+
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as documents (op 2): a row per document and pass, with the words taken.
 
-    A document taken whole keeps its text as it is; of one taken in part, the
-    words taken are joined by single spaces.  Documents the mix leaves out go.
+    Every row is a document of its own, whatever its doc_id: rows are numbered and
+    stored before the mix.  A document taken whole keeps its text as it is; of one
+    taken in part, the words taken are joined by single spaces.  Documents the mix
+    leaves out go, as do null, empty and blank texts, which have no words.  Null
+    sources are one source.  No rows give no rows.
     """
-    sizes = stored(mixing.document_sizes(docs))
+    number = F.monotonically_increasing_id().alias("number")
+    rows = stored(docs.select(number, F.struct(*_all(docs)).alias("row")))
+    sizes = rows.select(F.col("number").alias("doc_id"), "row.text", "row.source")
+    sizes = stored(mixing.document_sizes(sizes))
     targets = stored(mixing.weighted_targets(sizes))
-    ranked = sizes.join(targets, sizes.source.eqNullSafe(targets.source)).select(
-        "doc_id", sizes.source, "rank", "size"
-    )
-    mix = mixing.mixture(ranked.select("doc_id", "rank", "size"), targets)
-    cuts = mix.groupBy("doc_id", "rank", "pass").agg(
+    ranked = sizes.join(targets, sizes.source.eqNullSafe(targets.source))
+    ranked = ranked.select("doc_id", "rank", "size")
+    mix = mixing.mixture(ranked, targets)
+    cuts = mix.groupBy("doc_id", "pass").agg(
         F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("cuts"),
         F.sum("words").alias("taken"),
     )
-    cuts = cuts.alias("c").join(
-        ranked.alias("r"), F.expr("c.doc_id <=> r.doc_id AND c.rank = r.rank")
-    )
+    cuts = cuts.join(ranked.select("doc_id", "size"), "doc_id")
     cuts = cuts.select(
-        F.col("c.doc_id").alias("_id"),
-        F.col("source").alias("_source"),
-        F.when(F.col("taken") < F.col("size"), F.col("cuts")).alias("cuts"),
+        F.col("doc_id").alias("number"), F.when(F.col("taken") < F.col("size"), F.col("cuts")).alias("cuts")
     )
-    rows = docs.join(cuts, docs.doc_id.eqNullSafe(F.col("_id")) & docs.source.eqNullSafe(F.col("_source")))
-    words = F.expr(rf"regexp_extract_all(text, r'{mixing.WORD}', 0)")
-    part = F.transform("cuts", lambda c: F.slice(F.col("_words"), (c["first_word"] + 1).cast("int"), c["words"].cast("int")))
-    rows = rows.withColumn("_words", F.when(F.col("cuts").isNotNull(), words))
-    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(part), " "))
-    rows = rows.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return rows.select(*docs.columns)
+    rows = rows.join(cuts, "number")
+    words = F.expr(rf"regexp_extract_all(row.text, r'{mixing.WORD}', 0)")
+    rows = rows.withColumn("words", F.when(F.col("cuts").isNotNull(), words))
+    part = F.transform("cuts", lambda c: F.slice("words", (c["first_word"] + 1).cast("int"), c["words"].cast("int")))
+    text = F.when(F.col("cuts").isNull(), F.col("row.text")).otherwise(F.array_join(F.flatten(part), " "))
+    rows = rows.select("row", text.alias("text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
+    return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences (op 8)."""
+    """Pieces of token sequences (op 8).
+
+    A null text is empty and gives its end mark; repeated rows and null ids are
+    documents of their own; long texts are cut.  No rows give no rows.
+    """
     return packing.pack_documents(docs)
 
 
@@ -98,6 +119,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each reads what the one before it stored.
+
+    Odd rows fare as each stage says.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
