@@ -124,18 +124,20 @@ def _facts(words: int, percent: int, hot_list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, (hot, rank) = WordHasher(), hot_list.value
         for batch in batches:
-            n, h1, h2, lead, prefix, signs = [], [], [], [], [], []
+            n, h1, h2, lead, rare, prefix, signs = [], [], [], [], [], [], []
             for data in _texts(batch, "text"):
                 s = shingles(hasher.words(data), words)
                 n.append(len(s))
                 h1.append(int(np.sum(s * s + s, dtype=np.uint64).view(np.int64)))
                 h2.append(int(np.bitwise_xor.reduce(s).view(np.int64)) if len(s) else 0)
                 lead.append(s[:LEADERS].view(np.int64))
+                rare.append(len(s))
                 keep = len(s) - (percent * len(s) + 99) // 100 + 1 if len(s) else 0
                 first = s
                 if len(hot) and len(s):
                     at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
                     is_hot = hot[at] == s
+                    rare[-1] -= int(is_hot.sum())
                     last = s[is_hot][np.argsort(rank[at[is_hot]])]
                     first = np.concatenate([s[~is_hot], last])
                 prefix.append(first[:keep].view(np.int64))
@@ -148,10 +150,11 @@ def _facts(words: int, percent: int, hot_list):
                     pa.array(h1, pa.int64()),
                     pa.array(h2, pa.int64()),
                     pa.array(lead, longs),
+                    pa.array(rare, pa.int64()),
                     pa.array(prefix, longs),
                     pa.array(signs, pa.binary()),
                 ],
-                ["doc_id", "n", "h1", "h2", "lead", "prefix", "sign"],
+                ["doc_id", "n", "h1", "h2", "lead", "rare", "prefix", "sign"],
             )
 
     return run
@@ -357,15 +360,24 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     sets = docs.select("doc_id", "text").mapInArrow(_sets(words), "doc_id long, elements binary")
     for s in "ab":
         side = sets.select(F.col("doc_id").alias(s), F.col("elements").alias(f"set_{s}"))
-        pairs = pairs.join(side, s)
+        # Shuffled, so that no task needs two Python workers, which stay in memory.
+        pairs = pairs.join(side.hint("shuffle_merge"), s)
     return pairs.select("a", "b", "set_a", "set_b").mapInArrow(
         _linked(percent), "a long, b long"
     ).distinct()
 
 
 def _leader_pairs(reps: DataFrame, percent: int) -> DataFrame:
-    low = reps.select("doc_id", F.explode("lead").alias("token"))
-    leader = low.groupBy("token").agg(F.min("doc_id").alias("b"), F.count("*").alias("docs"))
+    """Each document with the leaders of its lowest hashes.
+
+    A shingle's leader has the fewest rare shingles: of a group of copies with edits
+    of their own that is the text they come from, which links with more of them than
+    they do with each other.
+    """
+    low = reps.select("doc_id", "rare", F.explode("lead").alias("token"))
+    leader = low.groupBy("token").agg(
+        F.min(F.struct("rare", "doc_id"))["doc_id"].alias("b"), F.count("*").alias("docs")
+    )
     pairs = low.join(leader.where("docs > 1"), "token").where("doc_id <> b")
     pairs = pairs.select(F.col("doc_id").alias("a"), "b").distinct()
     for s in "ab":
@@ -444,7 +456,7 @@ def jaccard_components(
     facts = stored(
         docs.mapInArrow(
             _facts(words, percent, hot),
-            "doc_id long, n long, h1 long, h2 long, lead array<long>, prefix array<long>, sign binary",
+            "doc_id long, n long, h1 long, h2 long, lead array<long>, rare long, prefix array<long>, sign binary",
         )
     )
     known = facts.where("doc_id IS NOT NULL AND n > 0")
@@ -452,11 +464,12 @@ def jaccard_components(
     classes = known.groupBy("h1", "h2", "n").agg(
         F.min("doc_id").alias("doc_id"),
         F.first("lead").alias("lead"),
+        F.first("rare").alias("rare"),
         F.first("prefix").alias("prefix"),
         F.first("sign").alias("sign"),
     )
     classes = stored(classes)
-    reps = classes.select("h1", "h2", "doc_id", "n", "lead", "prefix", "sign")
+    reps = classes.select("h1", "h2", "doc_id", "n", "lead", "rare", "prefix", "sign")
     classes = classes.select("h1", "h2", "n", F.col("doc_id").alias("rep"))
     texts = docs.where("doc_id IS NOT NULL")
     near = verified(texts, stored(_leader_pairs(reps, percent)), words, percent)

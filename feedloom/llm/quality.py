@@ -233,7 +233,8 @@ def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = text_statistics(docs, "doc_id").join(training_labels(labels), "doc_id")
-    model = fit(known.select("x", "label"))
+    # Stored, so that no task needs two Python workers, which stay in memory.
+    model = fit(stored(known.select("x", "label")))
     return filtered(documents, _keep(model))
 
 
