@@ -25,8 +25,14 @@ BUCKETS = 256
 
 
 def words_of(text: Column) -> Column:
-    """Distinct lower-case words of a text; '' may be one."""
-    return F.array_distinct(F.split(F.lower(text), r"(?U)\W+", -1))
+    """Distinct lower-case words of a text; '' may be one.
+
+    Plain ASCII is cut by a class of characters that is cheap to test.
+    """
+    ascii_only = F.octet_length(text) == F.length(text)
+    plain = F.split(F.lower(text), "[^a-z0-9_]+", -1)
+    words = F.when(ascii_only, plain).otherwise(F.split(F.lower(text), r"(?U)\W+", -1))
+    return F.array_distinct(words)
 
 
 def terms_of(text: Column) -> Column:

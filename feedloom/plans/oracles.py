@@ -673,7 +673,7 @@ ORACLES: dict[str, str] = {
     "stream_ingest": f"""
       WITH {_event_feed(10**12, 10**12, stop=False, ev=_TWO_FEEDS, run="(run // 2)")},
       told AS (
-        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY page // 13, 'run-' || (run // 2), run % 2, pos) AS nth,
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY page // 25, 'run-' || (run // 2), run % 2, pos) AS nth,
           count(*) OVER (PARTITION BY user_id) AS times
         FROM feed
       ),
@@ -689,6 +689,14 @@ ORACLES: dict[str, str] = {
         CASE WHEN failed THEN 'failed' ELSE 'completed' END,
         coalesce(fetched, 0)::INTEGER, coalesce(fresh, 0)::INTEGER, (coalesce(fetched, 0) - coalesce(fresh, 0))::INTEGER
       FROM (SELECT DISTINCT run FROM ev) LEFT JOIN totals USING (run) LEFT JOIN ends USING (run)
+      UNION ALL
+      SELECT 'open', 'run-' || (run // 2), CASE run % 2 WHEN 0 THEN 'home' ELSE 'following' END, 'running',
+        count(DISTINCT page // 25)::INTEGER, NULL, NULL
+      FROM ev GROUP BY run
+      UNION ALL
+      SELECT 'report', 'run-' || (run // 2), CASE run % 2 WHEN 0 THEN 'home' ELSE 'following' END, NULL,
+        coalesce(fetched, 0)::INTEGER, NULL, NULL
+      FROM (SELECT DISTINCT run FROM ev) LEFT JOIN totals USING (run)
     """,
     "stream_threads": _THREADS.format(author="", handle=""),
 }

@@ -829,14 +829,15 @@ def stream_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Pages of a run that arrive together.
-ARRIVING_PAGES = 13
+ARRIVING_PAGES = 25
 
 
 def stream_ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two feeds per run through the whole pipeline as a stream of arriving files.
 
-    The pages of every run come in four batches.  The stored posts, and the ledger,
-    are those of all pages at once.
+    The pages of every run come in two batches.  The stored posts and the ledger are
+    those of all pages at once; a run is opened once per batch, and the reports of
+    both batches list each of its posts once.
     """
     base = shared_dir(spark)
     pages = _two_feed_pages(spark, sf_dir).withColumn("captured_at", F.lit(INGEST_TS))
@@ -859,7 +860,13 @@ def stream_ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = run_ledger_table(spark, f"{base}/out").select(
         F.lit("run"), "id", "operation", "status", "tweets_fetched", "tweets_new", "tweets_updated"
     )
-    return posts.union(runs)
+    opened = spark.read.parquet(f"{base}/out/runs_open").groupBy("id", "operation", "status")
+    opened = opened.agg(F.count("*").cast("int").alias("n"))
+    opened = opened.select(F.lit("open"), "id", "operation", "status", "n", none, none)
+    lines = spark.read.text(f"{base}/out/digest").groupBy("run_id", "operation")
+    reports = lines.agg(F.count_if(F.startswith("value", F.lit("### ["))).cast("int").alias("n"))
+    reports = reports.select(F.lit("report"), "run_id", "operation", F.lit(None).cast("string"), "n", none, none)
+    return posts.union(runs).union(opened).union(reports)
 
 
 def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
