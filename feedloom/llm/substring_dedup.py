@@ -110,26 +110,28 @@ def _count(size: int, bits: int, lines: int):
     return run
 
 
-OCCURRENCE = "h1 long, h2 long, doc long, place long, later boolean"
+# What is known to be a later occurrence has 0 for h2.
+OCCURRENCE = "h1 long, h2 long, doc long, place long"
 
 
 def _grouped(held: list[tuple]) -> pa.RecordBatch:
     """Occurrences of one task: the earliest of each window stay open, the others are later."""
     h1, h2, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
+    h2 = np.maximum(h2, np.uint64(1))
     order = np.lexsort((place, doc, h1))
-    h1, h2, doc, place = h1[order], h2[order], doc[order], place[order]
-    once = np.ones(len(h1), bool)  # equal rows are at one place
-    once[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-    h1, h2, doc, place = h1[once], h2[once], doc[once], place[once]
-    new = np.ones(len(h1), bool)
-    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    a, b, d, p = h1[order], h2[order], doc[order], place[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    once = new.copy()  # equal rows are at one place
+    once[1:] |= (p[1:] != p[:-1]) | (d[1:] != d[:-1])
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (doc != doc[first]) | (place >> 32 != place[first] >> 32)
-    # What is known to be later is dealt evenly.
-    spread = mix(doc.view(np.uint64) + mix(place.view(np.uint64)))
-    h1, h2 = np.where(later, spread, h1).view(np.int64), np.where(later, 0, h2.view(np.int64))
-    columns = [pa.array(x) for x in (h1, h2, doc, place, later)]
-    return pa.RecordBatch.from_arrays(columns, ["h1", "h2", "doc", "place", "later"])
+    later, keep = np.empty(len(a), bool), np.empty(len(a), bool)
+    later[order], keep[order] = (d != d[first]) | (p >> 32 != p[first] >> 32), once
+    # In the order of the texts, so that shuffled rows resemble their neighbours.
+    h1 = np.where(later, mix(doc.view(np.uint64)), h1)
+    h2 = np.where(later, np.uint64(0), h2)
+    columns = [pa.array(x[keep]) for x in (h1.view(np.int64), h2.view(np.int64), doc, place)]
+    return pa.RecordBatch.from_arrays(columns, ["h1", "h2", "doc", "place"])
 
 
 def _occurrences(size: int, repeated: Broadcast):
@@ -164,9 +166,9 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        h1, h2, doc, place, later = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        out = later.copy()
-        open_at = np.flatnonzero(~later)
+        h1, h2, doc, place = (c.to_numpy() for c in batch.columns)
+        out = h2 == 0
+        open_at = np.flatnonzero(~out)
         if len(open_at):
             h1, h2, d, p = h1[open_at], h2[open_at], doc[open_at], place[open_at] >> 32
             if last is not None:
