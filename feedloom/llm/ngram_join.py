@@ -393,10 +393,7 @@ def _run_pairs(reps: DataFrame, label: DataFrame, percent: int) -> DataFrame:
 
     A run's members are set classes, each once, however many rows have the set.
     """
-    reps = reps.join(label, reps.doc_id == label.id, "left")
-    reps = stored(
-        reps.select("h1", "h2", "doc_id", "n", "sign", "prefix", F.coalesce("component", "doc_id").alias("label"))
-    )
+    reps = reps.join(label, reps.doc_id == label.id, "left").withColumn("label", F.coalesce("component", "doc_id"))
     rows = reps.select("h1", "h2", "doc_id", "n", "label", F.explode("prefix").alias("token"))
     runs = (
         rows.groupBy("token")
