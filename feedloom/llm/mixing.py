@@ -187,6 +187,9 @@ def mixture(sizes: DataFrame, targets: DataFrame, block_words: int = BLOCK_WORDS
     so_far = W.partitionBy("rank").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     drawn = drawn.withColumn("first", F.coalesce(F.sum("drawn").over(so_far), F.lit(0)))
     slot = F.explode(F.sequence("first", F.col("first") + F.col("drawn") - 1)).alias("slot")
+    # These few rows become many slots, each with a walk: they are spread over all tasks.
+    tasks = int(drawn.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = drawn.repartition(tasks, "rank", "shard")
     slots = drawn.select("rank", "shard", slot).join(owed, "rank")
     slots = slots.withColumn("pass", F.expr("slot div blocks")).withColumn("turn", F.expr("slot % blocks"))
     short_turn = F.when(F.col("pass") == 0, F.col("short_0"))
