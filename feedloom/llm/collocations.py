@@ -6,10 +6,11 @@ these longest windows are counted; Spark's ROLLUP over the lead columns then sum
 them to the counts of all shorter prefixes, that is of all phrases, and to the
 number of words of a language.
 
-No phrase with a rare part can be frequent, so a window is also padded from its
-first rare word or rare pair on.  Rare is what a count-min sketch of words and
-neighbouring pairs keeps below the floor; the sketch overestimates, so no
-frequent phrase is lost.  It has a fixed size (``BITS`` cells).
+No phrase with a rare part can be frequent, so a window is also padded where its
+words so far are rare.  Rare is what a count-min sketch of all phrases keeps below
+the floor; the sketch overestimates, so no frequent phrase is lost.  It has a fixed
+size (``BITS`` cells).  What is left to count is frequent phrases, of which a task
+has few, and it adds up its own before they are shuffled.
 """
 
 from __future__ import annotations
@@ -79,10 +80,29 @@ class Vocabulary(dict):
         return self.known[0]
 
 
-def pair_hashes(word: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Hashes of each number and the next."""
-    h = word[numbers]
-    return mix(mix(h[:-1]) * np.uint64(0xFF51AFD7ED558CCD) + h[1:])
+def longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of phrases, by those without the last word and that of the last word."""
+    return mix(prefix * np.uint64(0xFF51AFD7ED558CCD) + word)
+
+
+def prefixes(numbers: np.ndarray, word: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per length: the places where a phrase of that length begins, and its hash.
+
+    The caller may send back which of them to go on with.
+    """
+    at = np.flatnonzero(numbers)
+    h = word[numbers[at]]
+    for k in range(1, longest + 1):
+        going = yield at, h
+        if going is not None:
+            at, h = at[going], h[going]
+            yield at, h
+        if k == longest:
+            return
+        inside = at + k < len(numbers)
+        inside[inside] = numbers[at[inside] + k] > 0
+        at, h = at[inside], h[inside]
+        h = longer(h, word[numbers[at + k]])
 
 
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Vocabulary, np.ndarray]]:
@@ -114,40 +134,36 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Vocab
             yield lang, words, np.concatenate(parts)
 
 
-def _count(bits: int):
+def _count(bits: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = CountSketch(bits, 1)
         for _, words, numbers in _by_language(batches):
-            h = words.hashes()
-            count = np.bincount(numbers, minlength=len(h))[1:]
-            seen = np.flatnonzero(count)
-            sketch.add(h[1:][seen], count[seen])
-            inside = (numbers[:-1] > 0) & (numbers[1:] > 0)
-            sketch.add(pair_hashes(h, numbers)[inside])
+            for _, h in prefixes(numbers, words.hashes(), longest):
+                sketch.add(h)
         yield from sketch.chunks()
 
     return run
 
 
-def lead_windows(numbers: np.ndarray, frequent: np.ndarray, linked: np.ndarray, longest: int) -> np.ndarray:
+def lead_windows(numbers: np.ndarray, word: np.ndarray, longest: int, frequent) -> np.ndarray:
     """Per word its window as a row of ``longest`` numbers, padded with 0.
 
-    ``frequent`` says which numbers may be frequent, ``linked`` which places form
-    a pair with the next one that may be.  A rare word has a row of zeros.
+    ``frequent`` says of hashes which phrases may be; a window ends before the
+    first word that makes it rare, and a rare word has a row of zeros.
     """
     rows = np.zeros((len(numbers), longest), np.int32)
-    alive = frequent[numbers]
-    rows[alive, 0] = numbers[alive]
-    for k in range(1, longest):
-        # Alive: the pair that ends at column k - 1 and all before it are linked.
-        alive = alive[: len(numbers) - k] & linked[k - 1 : len(numbers) - 1]
-        at = np.flatnonzero(alive)
+    steps = prefixes(numbers, word, longest)
+    at, h = next(steps)
+    for k in range(longest):
+        at, _ = steps.send(frequent(h))
         rows[at, k] = numbers[at + k]
+        if k + 1 < longest:
+            at, h = next(steps)
     return rows[numbers > 0]
 
 
-def counted_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and how often each occurs."""
+def counted_rows(rows: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and how often each occurs; ``times`` weighs the rows."""
     key = rows[:, 0].astype(np.int64)
     kinds = np.zeros(len(rows), np.int64)
     for k in range(1, rows.shape[1]):
@@ -158,31 +174,38 @@ def counted_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         pairs = key[many] << 32 | rows[many, k]
         _, number = np.unique(pairs, return_inverse=True)
         key[many], kinds[many] = number, k
-    _, first, count = np.unique(kinds << 32 | key, return_index=True, return_counts=True)
-    return rows[first], count
+    _, first, number = np.unique(kinds << 32 | key, return_index=True, return_inverse=True)
+    count = np.bincount(number, times, len(first)) if len(first) else np.zeros(0)
+    return rows[first], count.astype(np.int64)
 
 
 def _windows(longest: int, floor_bits: Broadcast):
     names = ["lang", *(f"w{k}" for k in range(1, longest + 1)), "n"]
 
+    def batch(lang: str, words: Vocabulary, rows: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        used, place = np.unique(rows, return_inverse=True)
+        texts = pa.array([words.words[u] for u in used.tolist()], pa.binary()).cast(pa.string())
+        place = place.reshape(rows.shape)
+        columns = [texts.take(pa.array(place[:, k], mask=rows[:, k] == 0)) for k in range(longest)]
+        langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(count), np.int32)))
+        return pa.RecordBatch.from_arrays([langs, *columns, pa.array(count)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = floor_bits.value
+        own: dict[str, tuple[Vocabulary, np.ndarray, np.ndarray]] = {}
         for lang, words, numbers in _by_language(batches):
-            h = words.hashes()
-            frequent = bits.may_reach(h)
-            frequent[0] = False
-            ok = frequent[numbers]
-            linked = ok[:-1] & ok[1:]
-            at = np.flatnonzero(linked)
-            linked[at] = bits.may_reach(pair_hashes(h, numbers)[at])
-            rows, count = counted_rows(lead_windows(numbers, frequent, linked, longest))
-            used, rows = np.unique(rows, return_inverse=True)
-            texts = pa.array([words.words[u] for u in used.tolist()], pa.binary()).cast(pa.string())
-            rows = rows.reshape(len(count), longest)
-            empty = used[rows] == 0
-            columns = [texts.take(pa.array(rows[:, k], mask=empty[:, k])) for k in range(longest)]
-            langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(count), np.int32)))
-            yield pa.RecordBatch.from_arrays([langs, *columns, pa.array(count.astype(np.int64))], names)
+            rows, count = counted_rows(lead_windows(numbers, words.hashes(), longest, bits.may_reach))
+            if lang in own:
+                known, more, times = own.pop(lang)
+                if known is words:
+                    rows, count = counted_rows(np.concatenate([more, rows]), np.concatenate([times, count]))
+                else:
+                    yield batch(lang, known, more, times)
+            own[lang] = (words, rows, count)
+            if sum(len(r) for _, r, _ in own.values()) > HELD:
+                yield from (batch(g, *held) for g, held in own.items())
+                own = {}
+        yield from (batch(g, *held) for g, held in own.items())
 
     return run
 
@@ -198,7 +221,7 @@ def phrase_counts(
         raise ValueError("the floor must be 1 to 255, as far as a sketch counts")
     need_columns(documents, "text", "lang")
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), "text")
-    reached = merged(rows.mapInArrow(_count(bits), CHUNKS), floor, bits, 1)
+    reached = merged(rows.mapInArrow(_count(bits, longest), CHUNKS), floor, bits, 1)
     kept = rows.sparkSession.sparkContext.broadcast(reached)
     lead = [f"w{k}" for k in range(1, longest + 1)]
     schema = "lang string, " + ", ".join(f"{c} string" for c in lead) + ", n long"
