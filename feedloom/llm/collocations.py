@@ -37,6 +37,9 @@ NO_LANGUAGE = "und"
 _FROM = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t"
 _CODES = bytes.maketrans(_FROM, b"abcdefghijklmnopqrstuvwxyz" + b"." * 9 + b" ")
 BLOCK = 1 << 20
+# Tasks for each core of the cluster: a task sends a whole sketch, and a row for each
+# frequent phrase that it has, so more tasks than keep the cores busy send these again.
+TASKS_PER_CORE = 2
 # Words, and distinct words, that a task holds before it counts them.
 HELD = 1 << 20
 DISTINCT = 1 << 20
@@ -211,16 +214,25 @@ def _windows(longest: int, floor_bits: Broadcast):
 
 
 def phrase_counts(
-    documents: DataFrame, longest: int = LONGEST, floor: int = FLOOR, bits: int = BITS
+    documents: DataFrame,
+    longest: int = LONGEST,
+    floor: int = FLOOR,
+    bits: int = BITS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Rows (lang, k, words, phrase, f): phrases of 1 to ``longest`` words with f >= floor.
 
-    k = 0 (no words) has the number of all words of the language, however few.
+    k = 0 (no words) has the number of all words of the language, however few.  Texts
+    are read in at most ``tasks`` tasks, by default ``TASKS_PER_CORE`` for each core that
+    the session has now (name them where executors are added only under load).  A
+    task's memory does not grow with the texts that it reads.
     """
     if not 1 <= floor <= 255:
         raise ValueError("the floor must be 1 to 255, as far as a sketch counts")
     need_columns(documents, "text", "lang")
+    tasks = tasks or TASKS_PER_CORE * documents.sparkSession.sparkContext.defaultParallelism
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), "text")
+    rows = rows.coalesce(tasks)
     reached = merged(rows.mapInArrow(_count(bits, longest), CHUNKS), floor, bits, 1)
     kept = rows.sparkSession.sparkContext.broadcast(reached)
     lead = [f"w{k}" for k in range(1, longest + 1)]
@@ -238,7 +250,12 @@ def phrase_counts(
 
 
 def collocations(
-    documents: DataFrame, longest: int = LONGEST, floor: int = FLOOR, top: int = TOP, bits: int = BITS
+    documents: DataFrame,
+    longest: int = LONGEST,
+    floor: int = FLOOR,
+    top: int = TOP,
+    bits: int = BITS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The first ``top`` phrases of 2 to ``longest`` words per language.
 
@@ -249,7 +266,7 @@ def collocations(
     scores are ordered by a, then by phrase, so there are no ties.  Other columns
     are ignored.
     """
-    counts = stored(phrase_counts(documents, longest, floor, bits))
+    counts = stored(phrase_counts(documents, longest, floor, bits, tasks))
     total = counts.where("k = 0").select("lang", F.col("f").alias("n"))
     phrases = counts.where("k >= 2").select("lang", "phrase", "words", "k", F.col("f").alias("a"))
     cut = F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut")
