@@ -262,6 +262,9 @@ def test_collocations_equal_brute_force(spark):
     # A sketch that is full prunes nothing and changes nothing.
     assert mined_phrases(spark, rows, floor=5, bits=5) == phrases(rows, 5, 2000)
     assert mined_phrases(spark, rows, floor=5, longest=3) == phrases(rows, 5, 2000, 3)
+    # However many tasks read the texts.
+    for tasks in (1, 2, 50):
+        assert mined_phrases(spark, rows, floor=5, tasks=tasks) == phrases(rows, 5, 2000)
 
 
 def test_collocations_odd_rows(spark):
