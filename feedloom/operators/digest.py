@@ -45,8 +45,8 @@ def post_markdown(position: Column) -> Column:
     )
 
 
-# Parts of a report, in order.
-HEADER, NEW, UPDATED = range(3)
+# Parts of a report, in order, and the report as a whole.
+HEADER, NEW, UPDATED, WHOLE = range(4)
 
 
 def _heading(title: str, count: str, *notes: str) -> Column:
@@ -105,6 +105,23 @@ def render_digest(feed: DataFrame, changes: DataFrame, ledger: DataFrame) -> Dat
     return heads.unionByName(posts)
 
 
+def whole_reports(digest: DataFrame) -> DataFrame:
+    """The rows of ``render_digest`` joined to one text per report, as section ``WHOLE``.
+
+    For feeds with a count, which bounds a report; ``write_digest`` writes reports
+    of any length.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("section", "feed_pos", "markdown")))
+    text = F.array_join(F.transform(parts, lambda p: p["markdown"]), "\n")
+    return digest.groupBy(*FEED, "name").agg(text.alias("markdown")).select(
+        *FEED,
+        "name",
+        F.lit(WHOLE).alias("section"),
+        F.lit(0).cast("long").alias("feed_pos"),
+        "markdown",
+    )
+
+
 def write_digest(digest: DataFrame, path: str) -> None:
     """Reports as text under ``run_id=/operation=/name=``, in sorted parts.
 

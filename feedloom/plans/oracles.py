@@ -506,7 +506,10 @@ ORACLES: dict[str, str] = {
         FROM feed LEFT JOIN first_run USING (user_id))
       SELECT 'run-' || run AS run_id, 'home' AS operation, 'scrape_home_20240201_000000' AS name,
         section, pos AS feed_pos, md AS markdown
-      FROM part
+      FROM (
+        SELECT * FROM part
+        UNION ALL
+        SELECT run, 3, 0, string_agg(md, chr(10) ORDER BY section, pos) FROM part GROUP BY run)
     """,
     "two_feeds": f"""
       WITH {_event_feed(10**12, 10**12, stop=False, ev=_TWO_FEEDS, run="(run // 2)")},

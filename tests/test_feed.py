@@ -8,7 +8,7 @@ import pytest
 import shapes as s
 from pyspark.sql import functions as F
 
-from feedloom.operators.digest import render_digest, write_digest
+from feedloom.operators.digest import WHOLE, render_digest, whole_reports, write_digest
 from feedloom.operators.feed import (
     assemble_feed,
     canonical_operation,
@@ -219,6 +219,22 @@ def test_long_report_is_written_in_order(spark):
     assert text.startswith("# Scrape Report\n") and os.path.basename(folder) == "name=scrape_home_20260101_000000"
 
 
+def test_whole_reports_join_the_parts_in_order(spark):
+    """Every report is also one text; a run without posts has its header only."""
+    rows = [
+        ("b", 2, 3, "three"), ("b", 1, 10, "ten"), ("b", 0, 0, "head"), ("b", 2, 0, "known"),
+        ("b", 1, 0, "new"), ("b", 1, 2, "two"), ("a", 0, 0, "alone"),
+    ]
+    parts = spark.createDataFrame(rows, "run_id string, section int, feed_pos long, markdown string")
+    parts = parts.withColumns({"operation": F.lit("home"), "name": F.concat(F.lit("n"), F.col("run_id"))})
+    whole = whole_reports(parts.repartition(5))
+    assert whole.columns == ["run_id", "operation", "name", "section", "feed_pos", "markdown"]
+    assert sorted(tuple(r) for r in whole.collect()) == [
+        ("a", "home", "na", WHOLE, 0, "alone"),
+        ("b", "home", "nb", WHOLE, 0, "head\nnew\ntwo\nten\nknown\nthree"),
+    ]
+
+
 def test_uncapped_feed_has_no_window_over_a_feed(spark):
     rng = random.Random(2)
     pages = [("r", "home", n, f"c{n}" if n else None, f"c{n + 1}") for n in range(3000)]
