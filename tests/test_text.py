@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import json
 import unicodedata
 
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.redaction import KEY_PARTS, PATTERNS, looks_like_secret, mask_secret, may_hold_key, secret_words
 from feedloom.functions.scalars import is_infinite, safe_int, strict_int
-from feedloom.functions.text import FOLDED, ZERO_WIDTH, _decode_column, _decode_lists, normalize_text, normalize_texts
+from feedloom.functions.text import FOLDED, ZERO_WIDTH, _decode_column, _decode_json, _decode_lists, decode_lists, normalize_text, normalize_texts
 from feedloom.operators.redact import redact_table, secret_report
 
 RELAXED = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -212,3 +213,29 @@ def test_secret_words(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     rows = frame.select("i", secret_words(F.col("t")).alias("w"), F.filter(F.split("t", r"(?U)\s+"), looks_like_secret).alias("v")).collect()
     assert all(r.w == r.v for r in rows) and [len(r.w) for r in sorted(rows)] == [1, 1, 0, 0, 2, 0]
+
+
+def test_lists_reach_python_as_text(spark):
+    """Spark's Arrow writer walks a list column from its start for every row of a batch."""
+    import pyarrow as pa
+
+    assert decode_lists.returnType.simpleString() == "string"
+    texts = pa.array(['["\u2014",null,"a&lt;"]', None, "[]"], pa.string())
+    assert [t and json.loads(t) for t in _decode_json(texts).to_pylist()] == [["--", None, "a<"], None, []]
+    rows = spark.createDataFrame([(1, ["\u201cx\u201d", None, "\x00 &amp; \\"]), (2, None), (3, [])], "i int, t array<string>")
+    got = {r.i: r.n for r in rows.select("i", normalize_texts(F.col("t")).alias("n")).collect()}
+    assert got == {1: ['"x"', "", "\x00 & \\"], 2: None, 3: []}
+
+
+def test_texts_are_decoded_few_at_a_time():
+    """A batch's texts are never all Python text at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["\u4e00" * 100_000] * 100, pa.string())
+    tracemalloc.start()
+    assert _decode_column(texts).equals(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15_000_000  # all at once: 50 MB and more
