@@ -10,10 +10,14 @@ Jaccard similarity reaches the threshold.  The join is exact:
 3. A few lowest hashes name a leader per shingle; verified links to leaders
    give first components.  They only save work: inside one component nothing
    is left to find.
-4. For each run that spans components, a signature tree is built: leaves are
-   documents, nodes hold OR-combined bitmaps and size ranges, and a dual
-   traversal drops node pairs whose largest possible overlap is too small.
-5. Surviving pairs are verified on whole sets; links become components.
+4. Runs that span components and have the same two ends, by hash of the member,
+   are one run with the members of all: shingles of one passage have much the same
+   documents, which would else meet in a run for each shingle.
+5. For each such run a signature tree is built: leaves are documents, nodes hold
+   OR-combined bitmaps and size ranges, and a dual traversal drops node pairs
+   whose largest possible overlap is too small.  What lies before a document's
+   first shingle of the run is no part of an overlap that begins there.
+6. Surviving pairs are verified on whole sets; links become components.
 
 Runs over ``BLOCK`` documents are cut into blocks, and all pairs of blocks are
 traversed, so no task holds an unbounded run.
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -44,9 +48,9 @@ FAN = 8
 # cannot change a result.
 HOT = 8
 HOT_LIMIT = 1 << 18
-# Places of the filter that keeps documents without a candidate out of the
-# verification's shuffle; the broadcast never has more rows than this.
-PLACES = 1 << 18
+# Words of 64 places of the filter that keeps documents without a candidate out of
+# the verification's shuffle; the broadcast never has more rows than this.
+PLACE_WORDS = 1 << 18
 
 
 def required(total, percent: int):
@@ -168,15 +172,19 @@ class SignatureTree:
     """Levels from documents to the root; each node covers ``FAN`` nodes below.
 
     Per node: OR of the bitmaps, smallest and largest set size, most elements
-    beyond one per bit, and the range of component labels.
+    beyond one per bit, the range of component labels, and the most elements
+    that may be shared (``rest``; without it, the whole sets).
     """
 
-    def __init__(self, n: np.ndarray, signs: np.ndarray, label: np.ndarray) -> None:
+    def __init__(
+        self, n: np.ndarray, signs: np.ndarray, label: np.ndarray, rest: np.ndarray | None = None
+    ) -> None:
         self.order = np.lexsort((label, n))
+        rest = (n if rest is None else rest)[self.order]
         n, signs, label = n[self.order], signs[self.order], label[self.order]
-        level = (signs, n, n, n - _ones(signs), label, label)
+        level = (signs, n, n, n - _ones(signs), label, label, rest)
         self.levels = [level]
-        ways = (np.bitwise_or, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum)
+        ways = (np.bitwise_or, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum, np.maximum)
         while len(level[1]) > 1:
             at = np.arange(0, len(level[1]), FAN)
             level = tuple(f.reduceat(x, at, axis=0) for f, x in zip(ways, level, strict=True))
@@ -185,9 +193,9 @@ class SignatureTree:
 
 def _possible(a, i, b, j, percent: int) -> np.ndarray:
     """Which node pairs can hold a link between different components."""
-    (sa, la, ha, xa, ca, da), (sb, lb, hb, xb, cb, db) = a, b
+    (sa, la, ha, xa, ca, da, ra), (sb, lb, hb, xb, cb, db, rb) = a, b
     most = _ones(sa[i] & sb[j]) + np.minimum(xa[i], xb[j])
-    most = np.minimum(most, np.minimum(ha[i], hb[j]))
+    most = np.minimum(most, np.minimum(ra[i], rb[j]))
     fits = most >= required(la[i] + lb[j], percent)
     fits &= (100 * ha[i] >= percent * lb[j]) & (100 * hb[j] >= percent * la[i])
     return fits & ~((ca[i] == da[i]) & (cb[j] == db[j]) & (ca[i] == cb[j]))
@@ -236,7 +244,7 @@ def traverse(a: SignatureTree, b: SignatureTree, percent: int) -> tuple[np.ndarr
 
 
 def _tree_pairs(percent: int):
-    """Sorted rows (token, lo, hi, part, doc_id, n, label, sign) to candidate pairs."""
+    """Sorted rows (run, lo, hi, part, doc_id, n, rest, label, sign) to candidate pairs."""
 
     def one(rows: dict) -> tuple[np.ndarray, np.ndarray]:
         """Traverses the trees of each two bitmap widths; the wider is folded."""
@@ -257,6 +265,7 @@ def _tree_pairs(percent: int):
                         rows["n"][r],
                         folded(np.frombuffer(b"".join(rows["sign"][r]), np.uint64).reshape(len(r), -1), width),
                         rows["label"][r],
+                        rows["rest"][r],
                     )
                     for r in ([x] if x is y else [x, y])
                 ]
@@ -267,7 +276,7 @@ def _tree_pairs(percent: int):
         return np.concatenate([none, *left]), np.concatenate([none, *right])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held = ("token", "lo", "hi", "part", "doc_id", "n", "label"), None
+        names, held = ("run", "lo", "hi", "part", "doc_id", "n", "rest", "label"), None
 
         def pairs(rows: dict, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
             left, right, size = [], [], 0
@@ -315,7 +324,7 @@ def _bounded(percent: int):
                     sign = np.frombuffer(b"".join(side[own]), np.uint64).reshape(len(own), -1)
                     sign = folded(sign, min(w, v) // 8)
                     n, label = (batch.column(c).to_numpy()[own] for c in (f"n_{s}", s))
-                    sides.append((sign, n, n, n - _ones(sign), label, label))
+                    sides.append((sign, n, n, n - _ones(sign), label, label, n))
                 at = np.arange(len(own))
                 keep[own] = _possible(sides[0], at, sides[1], at, percent)
             keep = pa.array(keep)
@@ -352,11 +361,13 @@ def _linked(percent: int):
 
 def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES))
+    place = F.xxhash64("doc_id")
+    word, bit = F.pmod(place, F.lit(PLACE_WORDS)).alias("word"), F.expr("int(shiftrightunsigned(xxhash64(doc_id), 58))")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    places = ids.select(place.alias("place")).distinct()
-    # At most PLACES rows, whatever the input.
-    docs = docs.withColumn("place", place).join(F.broadcast(places), "place", "left_semi")
+    mask = F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")
+    places = ids.select(word, bit.alias("bit")).groupBy("word").agg(mask)
+    # At most PLACE_WORDS rows, whatever the input.
+    docs = docs.withColumn("word", word).join(F.broadcast(places), "word").where(F.bit_get("mask", bit) == 1)
     sets = docs.select("doc_id", "text").mapInArrow(_sets(words), "doc_id long, elements binary")
     for s in "ab":
         side = sets.select(F.col("doc_id").alias(s), F.col("elements").alias(f"set_{s}"))
@@ -388,53 +399,62 @@ def _leader_pairs(reps: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(_bounded(percent), "a long, b long").distinct()
 
 
-def _run_pairs(reps: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs from the runs of prefix shingles that span components.
+def _run_members(reps: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Members (run, k, n, rest, label) of the runs of prefix shingles that span components.
 
     A run's members are set classes, each once, however many rows have the set.
+    ``rest`` counts a member's elements from the first that it shares with the run.
     """
     reps = reps.join(label, reps.doc_id == label.id, "left").withColumn("label", F.coalesce("component", "doc_id"))
-    rows = reps.select("h1", "h2", "doc_id", "n", "label", F.explode("prefix").alias("token"))
-    runs = (
-        rows.groupBy("token")
-        .agg(
-            F.count("*").alias("docs"),
-            # Two sums without carry of different hashes, and the ends, name the members.
-            F.bit_xor(F.xxhash64("h1", "h2", "n")).alias("print_1"),
-            F.bit_xor(F.xxhash64("n", "h2", "h1")).alias("print_2"),
-            F.min("doc_id").alias("least"),
-            F.max("doc_id").alias("most"),
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-        )
-        .where("docs > 1 AND low < high")
-        # Runs of the same documents are traversed once.
-        .groupBy("docs", "print_1", "print_2", "least", "most")
-        .agg(F.min("token").alias("token"))
-        .select("token", F.ceil(F.col("docs") / BLOCK).alias("parts"))
+    rows = reps.select("k", "n", "label", F.posexplode("prefix").alias("at", "token"))
+    rows = rows.select("token", "k", "n", "label", (F.col("n") - F.col("at")).alias("rest"))
+    # Dealt by shingle once, for the count and for the join.
+    rows = rows.where("token IS NOT NULL").repartition("token")
+    runs = rows.groupBy("token").agg(
+        F.count("*").alias("docs"),
+        F.max(_short(percent)).alias("short"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        # Of a hash that took two runs for one, there would only be more pairs to drop.
+        F.xxhash64(F.min(F.xxhash64("k")), F.max(F.xxhash64("k"))).alias("run"),
+    )
+    runs = runs.where("docs > 1 AND low < high AND short").select("token", "run")
+    return rows.join(runs, "token").groupBy("run", "k").agg(
+        F.first("n").alias("n"), F.max("rest").alias("rest"), F.first("label").alias("label")
     )
-    members = rows.drop("h2").join(runs, "token")
+
+
+def _short(percent: int) -> Column:
+    """Whether a member can be the smaller set of a link that begins in its run."""
+    return (100 + percent) * F.col("rest") >= 2 * percent * F.col("n")
+
+
+def _run_pairs(reps: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs from the runs of prefix shingles that span components."""
+    members = stored(_run_members(reps, label, percent))
+    sizes = members.groupBy("run").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    members = members.join(sizes, "run")
+    members = members.withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")))
     # Of a run in one part, only documents with one of like size beside them matter.
-    beside = W.partitionBy("token").orderBy("n", "doc_id")
-    near = (100 * F.lag("n").over(beside) >= percent * F.col("n")) | (
-        100 * F.col("n") >= percent * F.lead("n").over(beside)
+    beside = W.partitionBy("run", "part").orderBy("n", "k")
+    smaller = F.max(F.when(_short(percent), F.col("n"))).over(beside.rowsBetween(W.unboundedPreceding, -1))
+    near = (100 * smaller >= percent * F.col("n")) | (
+        _short(percent) & (100 * F.col("n") >= percent * F.lead("n").over(beside))
     )
-    small = members.where("parts = 1").withColumn("near", near).where("near").drop("near")
-    members = small.union(members.where("parts > 1"))
-    members = members.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    members = members.withColumn("near", near).where("near OR parts > 1")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     members = members.withColumn("other", other).select(
-        "token",
+        "run",
         F.least("part", "other").alias("lo"),
         F.greatest("part", "other").alias("hi"),
         "part",
-        "doc_id",
-        "h1",
+        "k",
+        "rest",
+        "label",
     )
-    # Texts that share a doc_id are classes of their own.
-    full = members.join(reps.select("doc_id", "h1", "n", "label", "sign"), ["doc_id", "h1"])
-    full = full.select("token", "lo", "hi", "part", "doc_id", "n", "label", "sign")
-    full = full.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    full = members.join(reps.select("k", "doc_id", "n", "sign"), "k")
+    full = full.select("run", "lo", "hi", "part", "doc_id", "n", "rest", "label", "sign")
+    full = full.repartition("run", "lo", "hi").sortWithinPartitions("run", "lo", "hi")
     return full.mapInArrow(_tree_pairs(percent), "a long, b long").distinct()
 
 
@@ -465,8 +485,9 @@ def jaccard_components(
         F.first("prefix").alias("prefix"),
         F.first("sign").alias("sign"),
     )
-    classes = stored(classes)
-    reps = classes.select("h1", "h2", "doc_id", "n", "lead", "rare", "prefix", "sign")
+    # Texts that share a doc_id are classes of their own, so classes are numbered.
+    classes = stored(classes.withColumn("k", F.monotonically_increasing_id()))
+    reps = classes.select("k", "doc_id", "n", "lead", "rare", "prefix", "sign")
     classes = classes.select("h1", "h2", "n", F.col("doc_id").alias("rep"))
     texts = docs.where("doc_id IS NOT NULL")
     near = verified(texts, stored(_leader_pairs(reps, percent)), words, percent)

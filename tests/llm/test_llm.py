@@ -86,6 +86,45 @@ def test_join_of_repeated_rows(spark, times):
     assert sorted(got) == sorted(list(label.items()) * times)
 
 
+def test_copies_with_edits_meet_in_few_runs(spark, monkeypatch):
+    """A pair comes out of a few runs, not of one for each shingle its texts share."""
+    rng = np.random.default_rng(3)
+    texts = {}
+    for copy in range(60):
+        words = [f"w{i}" for i in range(300)]
+        for at in rng.choice(300, 3 + copy % 7, replace=False):
+            words[at] = f"e{copy}x{at}"
+        texts[copy] = " ".join(words)
+    sets = {}
+    for d, t in texts.items():
+        words = t.split()
+        sets[d] = {tuple(words[i : i + 5]) for i in range(296)}
+    label = {d: d for d in texts}
+    for _ in range(4):
+        for a in texts:
+            for b in texts:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                    label[a] = label[b] = min(label[a], label[b])
+    made, pairs = spark.sparkContext.accumulator(0), ngram_join._tree_pairs
+
+    def counted(percent):
+        run = pairs(percent)
+
+        def count(batches):
+            for batch in run(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return count
+
+    monkeypatch.setattr(ngram_join, "_tree_pairs", counted)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(frame, 5, 80).collect()}
+    assert got == label and len(set(label.values())) > 1
+    assert made.value <= 60 * 59 // 2
+
+
 def test_tree_loses_no_pair():
     rng = np.random.default_rng(5)
     sets = []
