@@ -13,6 +13,7 @@ from feedloom.functions.redaction import KEY_PARTS, PATTERNS, looks_like_secret,
 from feedloom.functions.scalars import is_infinite, safe_int, strict_int
 from feedloom.functions.text import FOLDED, ZERO_WIDTH, _decode_column, _decode_json, _decode_lists, decode_lists, normalize_text, normalize_texts
 from feedloom.operators.redact import redact_table, secret_report
+from feedloom.session import configure
 
 RELAXED = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -239,3 +240,15 @@ def test_texts_are_decoded_few_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 15_000_000  # all at once: 50 MB and more
+
+
+def test_batches_to_python_are_bounded(spark):
+    """A worker holds a few hundred texts at once, however many rows its task has; less stays less."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, kept in (("10000", "256"), ("0", "256"), ("100", "100")):
+            spark.conf.set(key, given)
+            assert configure(spark).conf.get(key) == kept
+    finally:
+        spark.conf.set(key, before)
