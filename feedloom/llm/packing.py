@@ -34,6 +34,8 @@ CACHE_WORDS = 400_000
 TOKENIZER = "word_bpe_49k.json"
 # A full stop or comma after a word, which the tokenizer sets apart anyway.
 MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+# Marks after a word are set apart too, whatever their number.
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -42,6 +44,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class Known(dict):
+    """Words with their ids; one that is missing has its place in ``new``."""
+
+    def __missing__(self, word: bytes) -> bytearray:
+        return self.new[word]
+
+
 class WordTokens:
     """Ids of a text as little-endian 32-bit bytes, as the tokenizer gives them.
 
@@ -62,7 +71,7 @@ class WordTokens:
         self.ends[[i for t, i in vocabulary.items() if t.endswith(self.END)]] = True
         # Kept as long as the Python process, which runs many tasks.
         kept = sys.modules.setdefault("_feedloom_tokens", types.ModuleType("_feedloom_tokens"))
-        self.known: dict[bytes, bytes] = kept.__dict__.setdefault(path, {})
+        self.known: Known = kept.__dict__.setdefault(path, Known())
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -74,9 +83,18 @@ class WordTokens:
         return word.isalpha() and max(word) < "ɐ" and "İ" not in word
 
     def _learn(self, words: set[bytes]) -> None:
-        plain, other = [], []
+        plain, other, marked = [], [], []
         for word in words:
-            (plain if self._plain(word.decode()) else other).append(word)
+            if self._plain(word.decode()):
+                plain.append(word)
+            elif (head := word.rstrip(MARKS)) != word and self._plain(head.decode()):
+                marked.append((word, head, word[len(head) :]))
+            else:
+                other.append(word)
+        parts = {x for _, head, tail in marked for x in (head, tail)}
+        parts = parts.difference(self.known, words)
+        plain += (x for x in parts if self._plain(x.decode()))
+        other += (x for x in parts if not self._plain(x.decode()))
         for at in range(0, len(plain), 4096):
             part = plain[at : at + 4096]
             ids = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids
@@ -91,6 +109,8 @@ class WordTokens:
                 start = end
         for word in other:
             self.known[word] = self.whole(word.decode())
+        for word, head, tail in marked:
+            self.known[word] = self.known[head] + self.known[tail]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         group, size = [], 0
@@ -103,21 +123,21 @@ class WordTokens:
         yield from self._group(group)
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
-        words = []
+        # A word not known yet is a place in its texts, which is filled once all are learnt.
+        self.known.new = new = defaultdict(bytearray)
+        get, ids = self.known.__getitem__, []
         for text in texts:
             # Special tokens are matched as written, so such texts go as they are.
             # A full stop or comma after a letter is a word of its own.
             odd = "<|" in text
-            words.append(None if odd else MARK.sub(rb" \1", text.encode().lower()).split())
-        distinct = set().union(*(w for w in words if w is not None))
-        missing = distinct.difference(self.known)
-        if len(self.known) + len(missing) > CACHE_WORDS:
+            words = None if odd else MARK.sub(rb" \1", text.encode().lower()).split()
+            ids.append([self.whole(text)] if odd else list(map(get, words)))
+        if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
-            missing = distinct
-        self._learn(missing)
-        get = self.known.__getitem__
-        for text, own in zip(texts, words, strict=True):
-            yield self.whole(text) if own is None else b"".join(map(get, own))
+        self._learn(set(new))
+        for word, place in new.items():
+            place += self.known[word]
+        yield from map(b"".join, ids)
 
 
 class Packer:

@@ -278,12 +278,23 @@ def test_packing(odd, empty):
     assert packing.pack_documents(empty).collect() == []
 
 
-@pytest.mark.parametrize("text", ["It's 3.5, 'S. don't... ÉCOLE, x.", "<|endoftext|> <|ENDOFTEXT|> a", "İi ﬁ e\u0301 ΣΑΣ. 漢字, \u00a0b", "a.b. c,d,\ne"])
+@pytest.mark.parametrize("text", ["It's 3.5, 'S. don't... ÉCOLE, x.", "<|endoftext|> <|ENDOFTEXT|> a", "İi ﬁ e\u0301 ΣΑΣ. 漢字, \u00a0b", "a.b. c,d,\ne", "abc*** É!! it's!! 12! x́!! ab-- '' don't'' İ!! a1?? !!! b½!"])
 def test_word_tokens(text):
     tokens = packing.WordTokens(packing.tokenizer_path())
     assert list(tokens.encode([text]))[0] == tokens.whole(text)
 
 
+def test_marked_words_are_learnt_together(monkeypatch):
+    """A plain word with marks behind is not encoded alone, only its marks are, once."""
+    tokens = packing.WordTokens(packing.tokenizer_path())
+    text, alone, whole = "zqone*** zqtwo*** zqthré*** zqone", [], tokens.whole
+    want = whole(text)
+    monkeypatch.setattr(tokens, "whole", lambda word: alone.append(word) or whole(word))
+    monkeypatch.setattr(tokens, "known", packing.Known())
+    assert list(tokens.encode([text, text])) == [want, want]
+    assert alone == ["***"]
+
+
 def test_level_array():
     packer = packing.Packer(8, 0)
     list(packer.add("a", b"\0" * 12))
