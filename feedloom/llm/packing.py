@@ -95,8 +95,8 @@ class WordTokens:
         parts = parts.difference(self.known, words)
         plain += (x for x in parts if self._plain(x.decode()))
         other += (x for x in parts if not self._plain(x.decode()))
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
+        for at in range(0, len(plain), 512):
+            part = plain[at : at + 512]
             ids = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids
             ids = np.asarray(ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
