@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,18 +124,31 @@ def whole_reports(digest: DataFrame) -> DataFrame:
     )
 
 
-def write_digest(digest: DataFrame, path: str) -> None:
+# Reports and posts that one task writes.  A report is a folder of its own, which takes
+# far longer to make than its text takes to write, so bytes alone do not tell the work.
+TASK_REPORTS = 64
+TASK_POSTS = 20_000
+
+
+def digest_tasks(reports: int, posts: int) -> int:
+    """Tasks for so many reports with so many posts in all."""
+    return max(1, math.ceil(reports / TASK_REPORTS), math.ceil(posts / TASK_POSTS))
+
+
+def write_digest(digest: DataFrame, path: str, tasks: int | None = None) -> None:
     """Reports as text under ``run_id=/operation=/name=``, in sorted parts.
 
     Rows are dealt by range, so a long report is written by several tasks; its
-    part files, read by name, follow each other.
+    part files, read by name, follow each other.  Without ``tasks`` their number
+    is Spark's choice, which goes by bytes.
     """
     folder = (*FEED, "name")
     # Not null, so that the writer sees that rows are sorted by folder already.
     keys = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in folder]
     order = (*folder, "section", "feed_pos")
     rows = digest.select(*keys, "section", "feed_pos", "markdown")
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = order if tasks is None else (tasks, *order)
+    rows = rows.repartitionByRange(*dealt).sortWithinPartitions(*order)
     rows.select(*folder, "markdown").write.mode("overwrite").option("lineSep", "\n").partitionBy(
         *folder
     ).text(path)

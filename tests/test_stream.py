@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import json
 import os
 import tempfile
@@ -8,6 +9,7 @@ import tempfile
 import pytest
 import shapes as s
 
+from feedloom.operators.digest import digest_tasks
 from feedloom.plans.ingest import ingest_batch, ingest_profiles, run_ledger_table, tweet_table, user_table
 from feedloom.streaming.ingest import CAPTURE, stream_ingest
 
@@ -162,3 +164,24 @@ def test_broken_constraints(spark):
     assert [r.id for r in tweet_table(spark, f"{base}/out").read().collect()] == [1]
     kept = spark.read.parquet(f"{base}/out/quarantine/v=0").collect()
     assert [(r.id, r.violations) for r in kept] == [(2, ["author_handle_longer_than_50"])]
+
+
+def test_many_short_reports_are_shared_among_tasks(spark):
+    """A report is a folder; bytes alone would put all of them into one task."""
+    base = tempfile.mkdtemp(prefix="feedloom-test-")
+    os.makedirs(f"{base}/in")
+    runs = [f"r{i:03d}" for i in range(130)]
+    for i, run in enumerate(runs):
+        write_page(f"{base}/in", "a.json", run, "home", 0, s.home(s.single(s.post(i + 1)), s.single(s.post(i + 2))), 1)
+    ingest_batch(spark.read.schema(CAPTURE).json(f"{base}/in"), f"{base}/out", 0)
+    files = glob.glob(f"{base}/out/digest/v=0/run_id=*/operation=home/name=*/part-*")
+    assert len({os.path.basename(f).split("-")[1] for f in files}) >= 3
+    lines = spark.read.text(f"{base}/out/digest/v=0").where("startswith(value, '### [')")
+    assert {(r.run_id, r["count"]) for r in lines.groupBy("run_id").count().collect()} == {(r, 2) for r in runs}
+    # Places are numbered from stored rows, not worked out for every use.
+    seen = spark.read.parquet(f"{base}/out/seen/v=0").select("run_id", "id").collect()
+    assert len(seen) == len(set(seen)) == 2 * len(runs)
+
+
+def test_digest_tasks():
+    assert [digest_tasks(*n) for n in ((0, 0), (64, 20_000), (65, 0), (1, 20_001), (36_000, 0))] == [1, 1, 2, 2, 563]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.redaction import KEY_PARTS, PATTERNS, looks_like_secret, mask_secret, may_hold_key, secret_words
 from feedloom.functions.scalars import is_infinite, safe_int, strict_int
-from feedloom.functions.text import FOLDED, ZERO_WIDTH, _decode_column, _decode_json, _decode_lists, decode_lists, normalize_text, normalize_texts
+from feedloom.functions.text import FOLDED, ZERO_WIDTH, _decode_column, _decode_json, _decode_lists, _each, decode_lists, normalize_text, normalize_texts
 from feedloom.operators.redact import redact_table, secret_report
 from feedloom.session import configure
 
@@ -252,3 +252,12 @@ def test_batches_to_python_are_bounded(spark):
             assert configure(spark).conf.get(key) == kept
     finally:
         spark.conf.set(key, before)
+
+
+def test_batch_without_texts_is_not_taken_apart():
+    def change(text):
+        raise AssertionError("no text to change")
+
+    for n in (0, 1, 300):
+        assert _each(pa.nulls(n, pa.string()), change).equals(pa.nulls(n, pa.string()))
+    assert _decode_column(pa.array([None, "\u2014"])).to_pylist() == [None, "--"]
